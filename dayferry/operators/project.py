@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,21 +32,31 @@ def _typed(c: ColumnSpec) -> Column:
 
 
 def failed_casts(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
-    """Per typed column: rows, values present, values lost by the cast. One pass over the input."""
+    """Per typed column: rows, values present, values lost by the cast."""
     typed = [c for c in columns if c.type is not None]
     if not typed:
         raise ValueError("no typed columns to check")
-    present = [F.count(column(c.source)) for c in typed]
-    failed = [F.count_if(column(c.source).isNotNull() & _typed(c).isNull()) for c in typed]
-    rows = F.count(F.lit(1))
-    report = F.array(*[
+    return column_report(df, [
         F.struct(
             F.lit(c.target).alias("target_column"),
             F.lit(c.type).alias("type"),
-            rows.alias("records"),
-            p.alias("present"),
-            f.alias("failed"),
+            F.count(F.lit(1)).alias("records"),
+            F.count(column(c.source)).alias("present"),
+            F.count_if(column(c.source).isNotNull() & _typed(c).isNull()).alias("failed"),
         )
-        for c, p, f in zip(typed, present, failed)
+        for c in typed
     ])
-    return df.agg(report.alias("report")).select(F.inline("report"))
+
+
+def column_report(df: DataFrame, entries: Sequence[Column], chunk: int = 32) -> DataFrame:
+    """One row per entry, each a struct of aggregates over the whole input.
+
+    A wide table is aggregated a few columns at a time: one aggregate over 100 columns becomes
+    a method too large for the JIT, and on a columnar source the passes together read each
+    column once.
+    """
+    passes = [
+        df.agg(F.array(*entries[i : i + chunk]).alias("report")).select(F.inline("report"))
+        for i in range(0, len(entries), chunk)
+    ]
+    return reduce(DataFrame.unionAll, passes)

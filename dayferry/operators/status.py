@@ -72,19 +72,17 @@ def status_display(status: DataFrame) -> DataFrame:
 
 
 def status_document(
-    runs: DataFrame, results: DataFrame, settings: Mapping[str, str] | None = None
+    ledger: DataFrame, results: DataFrame, settings: Mapping[str, str] | None = None
 ) -> DataFrame:
     """One row about the newest run: its state and error, and the totals of its task results.
 
-    ``runs`` is the collapsed ledger. Both inputs shrink to one row in their own aggregate;
-    the newest run enters as a scalar subquery, so nothing is joined.
+    Both inputs shrink to one row in their own aggregate; the newest ledger row enters as a
+    scalar subquery, so nothing is joined.
     """
-    newest = runs.agg(
+    newest = ledger.agg(
         F.max_by(F.struct("id", "start_time", "status", "error_message"), F.struct("start_time", "id"))
     ).scalar()
     pairs = [F.lit(x) for pair in (settings or {}).items() for x in pair]
-    config = F.create_map(*pairs) if pairs else F.lit(None)
-    nothing = F.create_map().cast("map<string,string>")
     return (
         run_totals(results)
         .withColumn("newest", newest)
@@ -96,7 +94,7 @@ def status_document(
             "total_records",
             "completed_tasks",
             "failed_tasks",
-            nothing.alias("progress_info"),
-            F.coalesce(config.cast("map<string,string>"), nothing).alias("config"),
+            F.create_map().cast("map<string,string>").alias("progress_info"),
+            F.create_map(*pairs).cast("map<string,string>").alias("config"),
         )
     )

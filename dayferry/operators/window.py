@@ -50,14 +50,14 @@ def rolling_window(df: DataFrame, time_column: str, days: int, as_of: dt.date |
     if as_of is not None:
         return between_days(df, time_column, *window_bounds(as_of, days))
     kind = time_type(df, time_column)
-    first = F.date_sub(_newest_day(time_column), check_days(days) - 1).cast(kind)
+    first = F.date_sub(_newest(time_column), check_days(days) - 1).cast(kind)
     return df.where(column(time_column) >= df.agg(first).scalar())
 
 
-def _newest_day(time_column: str) -> Column:
+def _newest(time_column: str) -> Column:
     return F.to_date(F.max(column(time_column)))
 
 
-def newest_day(df: DataFrame, time_column: str) -> DataFrame:
-    """One row with the newest day in the data as ``as_of``."""
-    return df.agg(_newest_day(time_column).alias("as_of"))
+def newest_day(df: DataFrame, time_column: str) -> Column:
+    """The newest day in the data, as a scalar subquery for use in another frame."""
+    return df.agg(_newest(time_column)).scalar()

@@ -23,45 +23,45 @@ _WINDOW_SCHEMA = T.StructType([
     T.StructField("table_index", T.LongType()),
     T.StructField("days", T.LongType()),
     T.StructField("first_task_id", T.LongType()),
-    T.StructField("as_of", T.DateType()),
 ])
 
 
 def table_windows(
     spark: SparkSession,
     registry: Sequence[TableSpec],
-    as_of: dt.date | Mapping[str, dt.date] | DataFrame,
+    as_of: dt.date | Mapping[str, dt.date | Column],
     days: int | None = None,
 ) -> DataFrame:
     """One row per table with its window.
 
-    ``as_of`` is one date, a date per target table, or a frame (target_table, as_of).
-    Tables without a date drop out. Task ids are numbered here, from the window lengths,
-    so no global sort or unpartitioned window is needed later.
+    ``as_of`` is one date, or a date or scalar subquery per target table; tables without one
+    drop out. Task ids are numbered here, from the window lengths, so no global sort or
+    unpartitioned window is needed later.
     """
     rows, next_id = [], 1
-    derived = isinstance(as_of, DataFrame)
     for i, spec in enumerate(registry):
         n = window_days(spec, days)
-        if derived:
-            day = None
-        else:
-            day = as_of.get(spec.target_table) if isinstance(as_of, Mapping) else as_of
         rows.append({
             "source_table": spec.source_table,
             "target_table": spec.target_table,
             "table_index": i,
             "days": n,
             "first_task_id": next_id,
-            "as_of": day,
         })
         next_id += n
-    windows = small_frame(spark, rows, _WINDOW_SCHEMA)
-    if derived:
-        return windows.drop("as_of").join(as_of, "target_table").select(*_WINDOW_SCHEMA.names)
+    if isinstance(as_of, Mapping):
+        each = [F.when(F.col("target_table") == t, _day(d)) for t, d in as_of.items()]
+        newest = F.coalesce(*each, F.lit(None).cast("date"))
+    else:
+        newest = _day(as_of)
+    windows = small_frame(spark, rows, _WINDOW_SCHEMA).withColumn("as_of", newest)
     return windows.where(F.col("as_of").isNotNull())
 
 
+def _day(d: dt.date | Column) -> Column:
+    return d if isinstance(d, Column) else F.lit(d)
+
+
 def day_tasks(windows: DataFrame, priority: Column | None = None) -> DataFrame:
     """One row per table and day of its window, oldest day first."""
     first = F.date_sub("as_of", (F.col("days") - 1).cast("int"))

@@ -55,8 +55,9 @@ class ParquetTarget:
             .partitionBy(DAY)
             .parquet(self.path(spec))
         )
-        self._clear_stale(rows, spec, first, last, written.get["days"])
-        return written.get["records"]
+        seen = written.get  # empty when the optimizer finds that there are no rows
+        self._clear_stale(rows, spec, first, last, seen.get("days", []))
+        return seen.get("records", 0)
 
     def _clear_stale(self, rows, spec, first, last, written_days) -> None:
         # A dynamic overwrite leaves the days that have become empty at the source.

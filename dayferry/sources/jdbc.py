@@ -143,7 +143,7 @@ class JdbcTarget:
         staging = spec.target_table + self.staging_suffix
         read = Observation()
         self._load(rows.drop(DAY).observe(read, F.count(F.lit(1)).alias("records")), staging)
-        expected = read.get["records"]
+        expected = read.get.get("records", 0)
         held = int(self._query(rows.sparkSession, f"SELECT COUNT(*) AS n FROM {staging}").first()[0])
         if held != expected:
             raise RuntimeError(f"{staging} holds {held} rows after loading {expected}; target left as it was")

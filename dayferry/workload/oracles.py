@@ -156,7 +156,8 @@ _EVENT_STATUS = """
 _TYPED = """
   select event_id,
          case when event_id % 10 = 0 then 'n/a' else cast(event_id as varchar) end as number,
-         regexp_extract(props, '"k": *([0-9]+)', 1) as k, cast(ts as date) as day, event_type
+         regexp_extract(props, '"k": *([0-9]+)', 1) as k, cast(ts as date) as day,
+         case when event_type = 'view' then value || ' EUR' else cast(value as varchar) end as sales14d
   from events"""
 
 
@@ -215,7 +216,7 @@ ORACLES: dict[str, str] = {
     "mapping_catalog": _mapping_catalog(),
     "typed_projection": f"""
         select event_id, try_cast(number as bigint) as number, try_cast(k as bigint) as k, day,
-               cast(null as boolean) as is_error
+               try_cast(sales14d as decimal(18, 4)) as sales14d
         from ({_TYPED})""",
     "typed_projection_failures": f"""
         with t as ({_TYPED})
@@ -223,7 +224,8 @@ ORACLES: dict[str, str] = {
                count(number) - count(try_cast(number as bigint)) as failed from t
         union all select 'k', 'bigint', count(*), count(k), count(k) - count(try_cast(k as bigint)) from t
         union all select 'day', 'date', count(*), count(day), 0 from t
-        union all select 'is_error', 'boolean', count(*), count(event_type), count(event_type) from t""",
+        union all select 'sales14d', 'decimal(18,4)', count(*), count(sales14d),
+          count(sales14d) - count(try_cast(sales14d as decimal(18, 4))) from t""",
     "day_task_plan": _plan(),
     "task_order_topk": f"""
         select task_id, -records as priority, target_table, day,

@@ -33,15 +33,15 @@ from dayferry.workload.standins import EVENTS, LINEITEM, ORDERS, REGISTRY, table
 # --- windows and counts ---------------------------------------------------------------------
 
 
-def _window_counts(spark: SparkSession, sf_dir: str, spec: TableSpec, days: int | None = None) -> DataFrame:
+def _window_counts(spark, sf_dir, spec: TableSpec, days: int | None = None, as_of=None) -> DataFrame:
     rows = table(spark, sf_dir, spec.source_table)
-    rows = window.rolling_window(rows, spec.time_column, window_days(spec, days))
+    rows = window.rolling_window(rows, spec.time_column, window_days(spec, days), as_of)
     return counts.day_counts(project.map_columns(rows, spec.columns), spec.target_time_column)
 
 
-def _all_window_counts(spark, sf_dir, specs=REGISTRY, days=None) -> DataFrame:
+def _all_window_counts(spark, sf_dir, specs=REGISTRY, days=None, as_of=None) -> DataFrame:
     return standins.stack([
-        _window_counts(spark, sf_dir, s, days).select(
+        _window_counts(spark, sf_dir, s, days, as_of and as_of[s.target_table]).select(
             F.lit(s.target_table).alias("target_table"), "day", "records"
         )
         for s in specs
@@ -125,15 +125,15 @@ def mapping_catalog(spark, sf_dir):
             F.when(F.col(key) % (i + 2) != 0, F.col(key)).alias(c) for i, c in enumerate(spec.source_columns)
         ])
         mapped = project.map_columns(wide, spec.columns)
-        filled = F.array(*[
+        filled = [
             F.struct(
                 F.lit(spec.target_table).alias("target_table"),
                 F.lit(c).alias("target_column"),
                 F.count(project.column(c)).alias("filled"),
             )
             for c in mapped.columns
-        ])
-        reports.append(mapped.agg(filled.alias("r")).select(F.inline("r")))
+        ]
+        reports.append(project.column_report(mapped, filled))
     return mapping_frame(spark, REPORT_TABLES).join(
         standins.stack(reports), ["target_table", "target_column"]
     )
@@ -145,12 +145,14 @@ def _text_events(spark, sf_dir) -> tuple[DataFrame, tuple]:
         F.when(F.col("event_id") % 10 == 0, "n/a").otherwise(F.col("event_id").cast("string")).alias("No."),
         F.get_json_object("props", "$.k").alias("props.k"),
         F.col("ts").cast("string").alias("Time"),
-        F.col("event_type").alias("Event Type"),
+        F.when(F.col("event_type") == "view", F.concat(F.col("value").cast("string"), F.lit(" EUR")))
+        .otherwise(F.col("value").cast("string"))
+        .alias("Sales 14d"),
     )
     columns = mapping(
-        ["event_id", "No.", "props.k", "Time", "Event Type"],
-        ["event_id", "number", "k", "day", "is_error"],
-        [None, "bigint", "bigint", "date", "boolean"],
+        ["event_id", "No.", "props.k", "Time", "Sales 14d"],
+        ["event_id", "number", "k", "day", "sales14d"],
+        [None, "bigint", "bigint", "date", "decimal(18,4)"],
     )
     return events, columns
 
@@ -168,45 +170,41 @@ def typed_projection_failures(spark, sf_dir):
 # --- the table-by-day plan ------------------------------------------------------------------
 
 
-def _plan(spark, sf_dir, specs=REGISTRY, days=None) -> DataFrame:
-    newest = standins.newest_days(spark, sf_dir, specs)
-    return tasks.day_tasks(tasks.table_windows(spark, specs, newest, days))
+def day_task_plan(spark, sf_dir):
+    newest = standins.newest_days(spark, sf_dir)
+    return tasks.day_tasks(tasks.table_windows(spark, REGISTRY, newest))
 
 
-def day_task_plan(spark, sf_dir):
-    return _plan(spark, sf_dir)
+def _covered(spark, sf_dir, days=None) -> DataFrame:
+    newest = standins.as_of(spark, sf_dir)
+    planned = tasks.day_tasks(tasks.table_windows(spark, REGISTRY, newest, days))
+    return tasks.day_coverage(planned, _all_window_counts(spark, sf_dir, days=days, as_of=newest))
 
 
 def task_order_topk(spark, sf_dir):
     """The 20 heaviest days first."""
-    covered = tasks.day_coverage(_plan(spark, sf_dir), _all_window_counts(spark, sf_dir))
-    planned = covered.withColumn("priority", -F.col("records"))
+    planned = _covered(spark, sf_dir).withColumn("priority", -F.col("records"))
     first = tasks.order_tasks(tasks.describe_tasks(planned), 20)
     return first.select("task_id", "priority", "target_table", "day", "description")
 
 
 def lane_depth(spark, sf_dir):
     """Tasks per lane, counting days that have records."""
-    covered = tasks.day_coverage(_plan(spark, sf_dir), _all_window_counts(spark, sf_dir))
-    return tasks.lane_depth(covered.where("records > 0"))
+    return tasks.lane_depth(_covered(spark, sf_dir).where("records > 0"))
 
 
 def day_coverage(spark, sf_dir):
-    found = tasks.day_coverage(_plan(spark, sf_dir, days=90), _all_window_counts(spark, sf_dir, days=90))
-    return found.select("target_table", "day", "records")
+    return _covered(spark, sf_dir, days=90).select("target_table", "day", "records")
 
 
 def missing_days(spark, sf_dir):
     """Days of the last year without an urgent, still open order."""
-    found = (
-        window.rolling_window(table(spark, sf_dir, "orders"), "o_orderdate", 365)
-        .where("o_orderpriority = '1-URGENT' and o_orderstatus = 'O'")
-        .groupBy(F.to_date("o_orderdate").alias("day"))
-        .agg(F.count(F.lit(1)).alias("records"))
-        .withColumn("target_table", F.lit(ORDERS.target_table))
-    )
-    gaps = tasks.missing_days(_plan(spark, sf_dir, [ORDERS], days=365), found)
-    return gaps.select("target_table", "day", "task_id")
+    newest = standins.as_of(spark, sf_dir, [ORDERS])
+    orders = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'O'")
+    orders = window.rolling_window(orders, "o_orderdate", 365, newest[ORDERS.target_table])
+    found = counts.day_counts(orders, "o_orderdate", F.lit(ORDERS.target_table).alias("target_table"))
+    planned = tasks.day_tasks(tasks.table_windows(spark, [ORDERS], newest, 365))
+    return tasks.missing_days(planned, found).select("target_table", "day", "task_id")
 
 
 # --- ledger -----------------------------------------------------------------------------------
@@ -263,7 +261,8 @@ def rows_to_json(spark, sf_dir):
 def status_document(spark, sf_dir):
     runs = latest_run_state(spark, sf_dir)
     results = runs.select(F.col("total_records").alias("records"), "status")
-    document = status.status_document(runs, results, {"ods_query_days": "24", "other_tables_days": "60"})
+    settings = {"ods_query_days": "24", "other_tables_days": "60"}
+    document = status.status_document(standins.ledger(spark, sf_dir), results, settings)
     return document.withColumns({c: F.to_json(c) for c in ("progress_info", "config")})
 
 
@@ -366,9 +365,13 @@ def table_status_display(spark, sf_dir):
 # --- sources, sinks and the whole run -----------------------------------------------------------
 
 
+def _newest(spark, sf_dir, spec: TableSpec) -> dt.date:
+    return standins.as_of(spark, sf_dir, [spec])[spec.target_table]
+
+
 def day_sliced_scan(spark, sf_dir):
     """Records per slice, for the clauses that a sliced read of the window would send."""
-    first, last = window.window_bounds(standins.as_of(spark, sf_dir, EVENTS), EVENTS.default_days)
+    first, last = window.window_bounds(_newest(spark, sf_dir, EVENTS), EVENTS.default_days)
     clauses = day_predicates(EVENTS.time_column, first, last)
     number = F.coalesce(*[F.when(F.expr(c), i) for i, c in enumerate(clauses)])
     rows = standins.source(sf_dir)(spark, EVENTS, first, last)
@@ -393,7 +396,7 @@ def _load(rows: DataFrame, target: ParquetTarget, first, last) -> None:
 
 def partitioned_sink_roundtrip(spark, sf_dir):
     """The typed window, written by day and read back."""
-    first, last = window.window_bounds(standins.as_of(spark, sf_dir, EVENTS), EVENTS.default_days)
+    first, last = window.window_bounds(_newest(spark, sf_dir, EVENTS), EVENTS.default_days)
     target = ParquetTarget(shared_dir(spark, "roundtrip"))
     _load(standins.source(sf_dir)(spark, EVENTS, first, last), target, first, last)
     return target.table(spark, EVENTS)
@@ -401,7 +404,7 @@ def partitioned_sink_roundtrip(spark, sf_dir):
 
 def window_reload_idempotent(spark, sf_dir):
     """A first load before the purchases arrived, then the full window twice."""
-    first, last = window.window_bounds(standins.as_of(spark, sf_dir, EVENTS), EVENTS.default_days)
+    first, last = window.window_bounds(_newest(spark, sf_dir, EVENTS), EVENTS.default_days)
     target = ParquetTarget(shared_dir(spark, "reload"))
     rows = standins.source(sf_dir)(spark, EVENTS, first, last)
     for load in (rows.where("event_type <> 'purchase'"), rows, rows):
@@ -411,7 +414,7 @@ def window_reload_idempotent(spark, sf_dir):
 
 def window_reload_stale_days(spark, sf_dir):
     """The full 24 days, then 10 days from a source that has lost its weekends."""
-    newest = standins.as_of(spark, sf_dir, EVENTS)
+    newest = _newest(spark, sf_dir, EVENTS)
     target = ParquetTarget(shared_dir(spark, "stale"))
     rows = standins.source(sf_dir)
     for days, kept in ((24, "true"), (10, "dayofweek(ts) not in (1, 7)")):
@@ -421,7 +424,7 @@ def window_reload_stale_days(spark, sf_dir):
 
 
 def sync_run(spark, sf_dir):
-    """The whole run over three tables: one row per table and day."""
+    """The whole run over two tables: one row per table and day."""
     base = shared_dir(spark, "sync")
     results = sync(
         spark,
@@ -429,7 +432,7 @@ def sync_run(spark, sf_dir):
         standins.source(sf_dir),
         ParquetTarget(f"{base}/data"),
         RunStore(f"{base}/store"),
-        as_of=standins.as_of(spark, sf_dir, ORDERS),
+        as_of=_newest(spark, sf_dir, ORDERS),
         tables=["ods_campain", "ods_campaign_dsp"],
     )
     return results.select("source_table", "target_table", "day", "records", "status")

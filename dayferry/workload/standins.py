@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayferry.operators.ledger import LEDGER_SCHEMA, with_duration
@@ -59,18 +59,26 @@ def stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def newest_days(spark: SparkSession, sf_dir: str, specs=REGISTRY) -> DataFrame:
-    """(target_table, as_of): the newest day of each stand-in, left to the plan."""
-    return stack([
-        newest_day(table(spark, sf_dir, s.source_table), s.time_column)
-        .select(F.lit(s.target_table).alias("target_table"), "as_of")
-        for s in specs
-    ])
+def newest_days(spark: SparkSession, sf_dir: str, specs=REGISTRY) -> dict[str, Column]:
+    """The newest day of each stand-in, left to the plan."""
+    return {
+        s.target_table: newest_day(table(spark, sf_dir, s.source_table), s.time_column) for s in specs
+    }
+
 
+def as_of(spark: SparkSession, sf_dir: str, specs=REGISTRY) -> dict[str, dt.date]:
+    """The newest day of each stand-in as a value, as a production run would be given it.
 
-def as_of(spark: SparkSession, sf_dir: str, spec: TableSpec) -> dt.date:
-    """The newest day as a value, as a production run would be given it."""
-    return newest_day(table(spark, sf_dir, spec.source_table), spec.time_column).first()[0]
+    One job, one row per table. Filters on the values prune and push down in any plan, which
+    a subquery that is shared between parts of a plan does not.
+    """
+    found = stack([
+        table(spark, sf_dir, s.source_table)
+        .agg(F.to_date(F.max(s.time_column)).alias("as_of"))
+        .withColumn("target_table", F.lit(s.target_table))
+        for s in specs
+    ])
+    return {r.target_table: r.as_of for r in found.collect()}
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
