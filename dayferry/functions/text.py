@@ -21,27 +21,32 @@ def names_label(names: Column) -> Column:
     return F.when(names.isNull() | (F.size(names) == 0), F.lit("all")).otherwise(F.concat_ws(",", names))
 
 
+# The texts of a run's result and of a task.
+_COMPLETED = ("Migration completed successfully. Migrated ", " records.")
+_FAILED = "Migration failed: "
+_ERROR = "Migration error: "
+_STOPPED = "Migration stopped"
+_STARTED = "Migration started"
+_TASK = "MigrationTask(id=%d, priority=%d, date=%s, table=%s)"
+
+
 def result_message(status: Column, total_records: Column, error: Column, raised: Column | None = None) -> Column:
     """What a caller is told about a run. ``raised`` marks a run ended by an exception."""
     raised = F.lit(False) if raised is None else raised
     error = F.coalesce(error, F.lit("None"))
     total = F.coalesce(total_records, F.lit(0)).cast("string")
+    before, after = _COMPLETED
     return (
-        F.when(
-            status == "success",
-            F.concat(F.lit("Migration completed successfully. Migrated "), total, F.lit(" records.")),
-        )
-        .when((status == "failed") & raised, F.concat(F.lit("Migration error: "), error))
-        .when(status == "failed", F.concat(F.lit("Migration failed: "), error))
-        .when(status == "stopped", F.lit("Migration stopped"))
-        .when(status == "running", F.lit("Migration started"))
+        F.when(status == "success", F.concat(F.lit(before), total, F.lit(after)))
+        .when((status == "failed") & raised, F.concat(F.lit(_ERROR), error))
+        .when(status == "failed", F.concat(F.lit(_FAILED), error))
+        .when(status == "stopped", F.lit(_STOPPED))
+        .when(status == "running", F.lit(_STARTED))
     )
 
 
 def task_text(task_id: Column, priority: Column, date_str: Column, target_table: Column) -> Column:
-    return F.format_string(
-        "MigrationTask(id=%d, priority=%d, date=%s, table=%s)", task_id, priority, date_str, target_table
-    )
+    return F.format_string(_TASK, task_id, priority, date_str, target_table)
 
 
 # Nulls are kept, and times keep their microseconds.

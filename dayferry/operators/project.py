@@ -11,24 +11,37 @@ from pyspark.sql import functions as F
 from dayferry.registry import ColumnSpec
 
 
+def quoted(name: str) -> str:
+    """A column name as a SQL identifier; it may hold dots, spaces or backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def column(name: str) -> Column:
-    """A top-level column by its literal name, which may hold dots, spaces or backticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A top-level column by its literal name."""
+    return F.col(quoted(name))
+
+
+# The wide projections below are given as SQL text: a table has up to 137 columns, and building
+# Column objects one call at a time would take longer than planning the query.
 
 
 def map_columns(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """Keep the mapped columns under their target names, in mapping order."""
-    return df.select(*[column(c.source).alias(c.target) for c in columns])
+    return df.selectExpr(*[f"{quoted(c.source)} AS {quoted(c.target)}" for c in columns])
 
 
 def map_typed(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     """As map_columns, each column cast to its declared type. A value that does not cast becomes null."""
-    return df.select(*[_typed(c).alias(c.target) for c in columns])
+    return df.selectExpr(*[f"{_typed(c)} AS {quoted(c.target)}" for c in columns])
 
 
-def _typed(c: ColumnSpec) -> Column:
-    raw = column(c.source)
-    return raw if c.type is None else raw.try_cast(c.type)
+def _typed(c: ColumnSpec) -> str:
+    return quoted(c.source) if c.type is None else f"try_cast({quoted(c.source)} AS {c.type})"
 
 
 def failed_casts(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
@@ -37,26 +50,22 @@ def failed_casts(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     if not typed:
         raise ValueError("no typed columns to check")
     return column_report(df, [
-        F.struct(
-            F.lit(c.target).alias("target_column"),
-            F.lit(c.type).alias("type"),
-            F.count(F.lit(1)).alias("records"),
-            F.count(column(c.source)).alias("present"),
-            F.count_if(column(c.source).isNotNull() & _typed(c).isNull()).alias("failed"),
-        )
+        f"""struct({text(c.target)} AS target_column, {text(c.type)} AS type, count(1) AS records,
+            count({quoted(c.source)}) AS present,
+            count_if({quoted(c.source)} IS NOT NULL AND {_typed(c)} IS NULL) AS failed)"""
         for c in typed
     ])
 
 
-def column_report(df: DataFrame, entries: Sequence[Column], chunk: int = 32) -> DataFrame:
-    """One row per entry, each a struct of aggregates over the whole input.
+def column_report(df: DataFrame, entries: Sequence[str], chunk: int = 32) -> DataFrame:
+    """One row per entry, each the SQL text of a struct of aggregates over the whole input.
 
     A wide table is aggregated a few columns at a time: one aggregate over 100 columns becomes
     a method too large for the JIT, and on a columnar source the passes together read each
     column once.
     """
     passes = [
-        df.agg(F.array(*entries[i : i + chunk]).alias("report")).select(F.inline("report"))
+        df.agg(F.expr(f"array({', '.join(entries[i : i + chunk])})").alias("report")).selectExpr("inline(report)")
         for i in range(0, len(entries), chunk)
     ]
     return reduce(DataFrame.unionAll, passes)

@@ -29,11 +29,15 @@ class ParquetSource:
 class ParquetTarget:
     """One folder per target table, one partition per day.
 
-    A load replaces whole days, so running a window again leaves the same rows.
+    A load replaces whole days, so running a window again leaves the same rows. ``gather``
+    shuffles rows by day before the write, which a source in no particular order needs to
+    avoid a file per task and day. Turn it off when each read partition already holds few
+    days (a source partitioned by day, or a JDBC read cut by day): the load then has no shuffle.
     """
 
-    def __init__(self, base: str):
+    def __init__(self, base: str, gather: bool = True):
         self.base = base.rstrip("/")
+        self.gather = gather
 
     def path(self, spec: TableSpec) -> str:
         return f"{self.base}/{spec.target_table}"
@@ -41,15 +45,15 @@ class ParquetTarget:
     def replace_days(self, rows: DataFrame, spec: TableSpec, first: dt.date, last: dt.date) -> int:
         """Write the rows of the days first..last and return how many were written.
 
-        The rebalance shuffle gathers a day into few files, and the adaptive planner splits
-        a hot day over many tasks by its size. The count is observed behind that shuffle, in
-        the writing stage, where a recomputed task is not counted twice.
+        Rebalancing gathers a day into few files, and the adaptive planner splits a hot day
+        over many tasks by its size. The count is observed behind that shuffle, in the writing
+        stage, where a recomputed task is not counted twice.
         """
         written = Observation()
+        placed = rows.hint("rebalance", DAY) if self.gather else rows
         days = F.sort_array(F.collect_set(F.col(DAY).cast("string"))).alias("days")
         (
-            rows.hint("rebalance", DAY)
-            .observe(written, F.count(F.lit(1)).alias("records"), days)
+            placed.observe(written, F.count(F.lit(1)).alias("records"), days)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(DAY)

@@ -8,15 +8,12 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from dayferry.operators.project import quoted
 from dayferry.operators.window import time_type
 from dayferry.registry import TableSpec
 from dayferry.sources import DAY
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _literal(moment: dt.datetime, kind: str) -> str:
     text = moment.date().isoformat() if kind == "date" else moment.isoformat(" ", timespec="microseconds")
     return f"'{text}'"

@@ -121,19 +121,16 @@ def mapping_catalog(spark, sf_dir):
     reports = []
     for spec in REPORT_TABLES:
         name, key = _MAPPING_INPUTS[spec.target_table]
-        wide = table(spark, sf_dir, name).select(*[
-            F.when(F.col(key) % (i + 2) != 0, F.col(key)).alias(c) for i, c in enumerate(spec.source_columns)
+        wide = table(spark, sf_dir, name).selectExpr(*[
+            f"CASE WHEN {key} % {i + 2} <> 0 THEN {key} END AS {project.quoted(c)}"
+            for i, c in enumerate(spec.source_columns)
         ])
-        mapped = project.map_columns(wide, spec.columns)
         filled = [
-            F.struct(
-                F.lit(spec.target_table).alias("target_table"),
-                F.lit(c).alias("target_column"),
-                F.count(project.column(c)).alias("filled"),
-            )
-            for c in mapped.columns
+            f"""struct({project.text(spec.target_table)} AS target_table, {project.text(c)} AS target_column,
+                count({project.quoted(c)}) AS filled)"""
+            for c in spec.target_columns
         ]
-        reports.append(project.column_report(mapped, filled))
+        reports.append(project.column_report(project.map_columns(wide, spec.columns), filled))
     return mapping_frame(spark, REPORT_TABLES).join(
         standins.stack(reports), ["target_table", "target_column"]
     )

@@ -1,0 +1,102 @@
+"""JDBC without a database: the clauses are run by Spark, the target is a stand-in."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from dayferry.registry import TableSpec, mapping
+from dayferry.sources import DAY
+from dayferry.sources.jdbc import JdbcTarget, day_predicates, swap_statements
+
+FIRST, LAST = dt.date(2024, 1, 7), dt.date(2024, 1, 30)
+SPEC = TableSpec("src", "dst", mapping(["Time", "id"], ["time", "id"]), "Time")
+
+
+def hits(df, clauses):
+    """Rows per number of clauses that select them."""
+    n = sum((F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in clauses[1:]),
+            F.coalesce(F.expr(clauses[0]), F.lit(False)).cast("int"))
+    return {r.n: r["count"] for r in df.select(n.alias("n")).groupBy("n").count().collect()}
+
+
+@pytest.mark.parametrize(
+    "options, partitions",
+    [({}, 24), ({"parts_per_day": 4}, 96), ({"parts_per_day": 4, "max_partitions": 10}, 10),
+     ({"max_partitions": 7}, 7), ({"max_partitions": 1}, 1), ({"max_partitions": 100}, 24),
+     ({"parts_per_day": 3, "split_on": "key"}, 72),
+     ({"parts_per_day": 3, "split_on": "key", "max_partitions": 10}, 9),
+     ({"parts_per_day": 5, "split_on": "key", "max_partitions": 2}, 2)],
+)
+def test_each_row_is_read_once(spark, sf_dir, options, partitions):
+    clauses = day_predicates("ts", FIRST, LAST, **options)
+    assert len(clauses) == partitions
+    # Keys of both signs, and a third of them null.
+    key = F.when(F.col("event_id") % 3 != 0, 5000 - F.col("event_id"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("key", key)
+    inside = events.where("ts >= '2024-01-07' and ts < '2024-01-31'").count()
+    assert hits(events, clauses) == {0: events.count() - inside, 1: inside}
+
+
+def test_date_column(spark):
+    clauses = day_predicates("d", FIRST, dt.date(2024, 1, 8), "date")
+    assert clauses == [
+        "`d` >= '2024-01-07' AND `d` < '2024-01-08'",
+        "`d` >= '2024-01-08' AND `d` < '2024-01-09'",
+    ]
+    with pytest.raises(ValueError, match="split_on"):
+        day_predicates("d", FIRST, LAST, "date", parts_per_day=2)
+    days = spark.range(40).select(F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("d"))
+    clauses = day_predicates("d", FIRST, LAST, "date", max_partitions=5)
+    assert hits(days, clauses) == {0: 16, 1: 24}
+
+
+def test_bad_slicing():
+    with pytest.raises(ValueError):
+        day_predicates("d", FIRST, LAST, parts_per_day=0)
+    with pytest.raises(ValueError):
+        day_predicates("d", FIRST, LAST, max_partitions=0)
+
+
+def test_swap_statements():
+    delete, insert = swap_statements("dst", "dst_staging", ["time", "od`d"], "time", FIRST, LAST)
+    assert delete == "DELETE FROM dst WHERE `time` >= '2024-01-07' AND `time` < '2024-01-31'"
+    assert insert == "INSERT INTO dst (`time`, `od``d`) SELECT `time`, `od``d` FROM dst_staging"
+
+
+class FolderTarget(JdbcTarget):
+    """Keeps the staging table as Parquet; ``extra`` loads it more than once."""
+
+    def __init__(self, folder, extra=0):
+        self.ran = []
+        super().__init__("jdbc:none", {}, self.ran.append)
+        self.folder, self.extra = folder, extra
+
+    def _load(self, rows, table):
+        rows.write.mode("overwrite").parquet(f"{self.folder}/{table}")
+        for _ in range(self.extra):
+            rows.sparkSession.range(2).select(
+                F.lit("2024-01-07").cast("timestamp_ntz").alias("time"), "id"
+            ).write.mode("append").parquet(f"{self.folder}/{table}")
+
+    def _query(self, spark, sql):
+        assert sql == "SELECT COUNT(*) AS n FROM dst_staging"
+        return spark.read.parquet(f"{self.folder}/dst_staging").agg(F.count(F.lit(1)).alias("n"))
+
+
+def staged(spark):
+    return spark.range(30).select(F.lit("2024-01-07").cast("timestamp_ntz").alias("time"), "id", F.lit(1).alias(DAY))
+
+
+def test_target_swaps_after_the_count_agrees(spark, tmp_path):
+    target = FolderTarget(str(tmp_path))
+    assert target.replace_days(staged(spark), SPEC, FIRST, LAST) == 30
+    assert target.ran == [swap_statements("dst", "dst_staging", ["time", "id"], "time", FIRST, LAST)]
+    assert spark.read.parquet(f"{tmp_path}/dst_staging").columns == ["time", "id"]
+
+
+def test_target_is_left_alone_when_rows_were_loaded_twice(spark, tmp_path):
+    target = FolderTarget(str(tmp_path), extra=1)
+    with pytest.raises(RuntimeError, match="holds 32 rows after loading 30"):
+        target.replace_days(staged(spark), SPEC, FIRST, LAST)
+    assert target.ran == []

@@ -16,11 +16,15 @@ def physical(df):
 
 
 def test_awkward_names(spark):
-    names = ["Impression.rank", "DPV 14天", "T-Pixel", "back`tick", "Time"]
+    names = ["Impression.rank", "DPV 14天", "T-Pixel", "back`tick", "quo'te"]
     df = spark.createDataFrame([(1, 2, 3, 4, 5)], "a int, b int, c int, d int, e int").toDF(*names)
-    out = map_columns(df, mapping(names[::-1], ["e", "d", "c", "b", "a"]))
-    assert out.columns == ["e", "d", "c", "b", "a"]
+    targets = ["e'", "d.d", "c c", "b`", "a"]
+    out = map_columns(df, mapping(names[::-1], targets))
+    assert out.columns == targets
     assert tuple(out.first()) == (5, 4, 3, 2, 1)
+    typed = mapping(names[::-1], targets, ["string"] * 5)
+    assert map_typed(df, typed).columns == targets
+    assert sorted(r.target_column for r in failed_casts(df, typed).collect()) == sorted(targets)
 
 
 def test_typed_projection_counts_what_it_loses(spark):
@@ -37,7 +41,7 @@ def test_typed_projection_counts_what_it_loses(spark):
 
 def test_column_report_in_chunks(spark):
     df = spark.range(10).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(7)])
-    entries = [F.struct(F.lit(c).alias("c"), F.sum(c).alias("s")) for c in df.columns]
+    entries = [f"struct('{c}' AS c, sum({c}) AS s)" for c in df.columns]
     one, many = column_report(df, entries), column_report(df, entries, chunk=3)
     assert Counter(one.collect()) == Counter(many.collect())
     assert {r.c: r.s for r in many.collect()} == {f"c{i}": 45 + 10 * i for i in range(7)}
