@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +58,9 @@ def sync(
     total, error = 0, None
     try:
         with ThreadPoolExecutor(concurrent_tables) as pool:
-            copies = [pool.submit(_copy_table, spark, s, read, target, as_of, days) for s in chosen]
+            # The caller's job group and pool hold in these threads too.
+            copy = inheritable_thread_target(spark)(_copy_table)
+            copies = [pool.submit(copy, spark, s, read, target, as_of, days) for s in chosen]
             outcomes = [c.result() for c in copies]
         results = _task_results(spark, chosen, target, as_of, days, outcomes)
         results = store.write_results(results, run_id)

@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,3]")  # a failed task is tried again
         .appName("tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")

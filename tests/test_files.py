@@ -3,6 +3,7 @@ import glob
 from collections import Counter
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from dayferry.operators.project import map_typed
@@ -102,6 +103,23 @@ def test_hot_day_is_written_by_many_tasks(spark, tmp_path, adaptive):
     assert max(n for d, n in files.items() if d != "2024-01-10") <= 2
 
 
+@pytest.mark.parametrize("gather", [True, False])
+def test_counts_are_exact_when_tasks_are_repeated(spark, tmp_path, gather):
+    def fail_once(batches):
+        for batch in batches:
+            yield batch
+        context = TaskContext.get()
+        if context.attemptNumber() == 0 and context.partitionId() % 2:
+            raise OSError("lost")
+
+    # Each row has been handed on when its task fails.
+    source = rows(spark, {d: 100 * d for d in range(1, 11)}, parts=10).toDF("t", "id")
+    flaky = source.mapInPandas(fail_once, source.schema).toDF("The.Time", "id")
+    target = ParquetTarget(str(tmp_path), gather=gather)
+    assert load(target, flaky, 10) == 5500
+    assert held(spark, target) == {d: 100 * d for d in range(1, 11)}
+
+
 def test_source_reads_the_window(spark, tmp_path):
     path = str(tmp_path / "src")
     rows(spark, {d: d for d in range(1, 21)}).write.parquet(path)

@@ -153,6 +153,24 @@ def test_store_that_fails_is_recorded(setup):
     assert (last.status, last.error_message) == ("failed", "disk full")
 
 
+def test_copies_belong_to_the_callers_job_group(setup):
+    groups = []
+
+    class Noting(dayferry.ParquetTarget):
+        def replace_days(self, rows, *args):
+            groups.append(rows.sparkSession.sparkContext.getLocalProperty("spark.jobGroup.id"))
+            return super().replace_days(rows, *args)
+
+    setup["target"] = Noting(setup["target"].base)
+    context = setup["spark"].sparkContext
+    context.setJobGroup("nightly", "sync")
+    try:
+        dayferry.sync(registry=[EVENTS, CLICKS], **setup)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert groups == ["nightly", "nightly"]
+
+
 def test_status_document_after_a_run(setup):
     results = dayferry.sync(registry=[EVENTS], **setup)
     doc = dayferry.status_document(setup["store"].ledger(setup["spark"]), results).first()
