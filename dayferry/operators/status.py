@@ -27,30 +27,34 @@ STATUS_SCHEMA = T.StructType([
 ])
 
 
-def upsert_status(current: DataFrame, updates: DataFrame) -> DataFrame:
-    """The status after the updates: a known table gets the new row, a new table is added.
+def current_status(log: DataFrame) -> DataFrame:
+    """One row per table from a log of status rows with a ``version``; the highest version wins.
 
-    The whole row is replaced, so a null in the update clears the old value; only the id of
-    a known table stays. Union and max_by() rather than a full outer join: the newer side
-    wins inside each task, and a table with many rows is not joined in one task.
+    The whole row is taken from it, so a null there clears an older value; only the id of a
+    table stays the one it was first given. An aggregate rather than a join or a window: the
+    newer row wins inside each task, so a table with many rows never lands whole in one task.
     """
-    both = (
-        current.select(*STATUS_SCHEMA.names, F.lit(0).alias("side"))
-        .unionByName(updates.select(*STATUS_SCHEMA.names, F.lit(1).alias("side")))
-    )
     values = F.struct("last_sync_time", "records_count", "status", "last_error")
-    # Within a side the newest sync wins, then the higher id.
-    order = F.struct("side", "last_sync_time", "id")
+    # Within a version the newest sync wins, then the higher id.
+    order = F.struct("version", "last_sync_time", "id")
     return (
-        both.groupBy("table_name")
+        log.groupBy("table_name")
         .agg(
-            F.min(F.struct("side", "id")).getField("id").alias("id"),
+            F.min(F.struct("version", "id")).getField("id").alias("id"),
             F.max_by(values, order).alias("v"),
         )
         .select("id", "table_name", "v.*")
     )
 
 
+def upsert_status(current: DataFrame, updates: DataFrame) -> DataFrame:
+    """The status after the updates: a known table gets the new row, a new table is added."""
+    versions = [
+        rows.select(*STATUS_SCHEMA.names, F.lit(i).alias("version")) for i, rows in enumerate((current, updates))
+    ]
+    return current_status(versions[0].unionByName(versions[1]))
+
+
 def status_of(status: DataFrame, table_name: str) -> DataFrame:
     return status.where(F.col("table_name") == table_name)
 

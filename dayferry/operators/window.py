@@ -24,7 +24,8 @@ def time_type(df: DataFrame, time_column: str) -> str:
     if field is None:
         raise ValueError(f"no time column {time_column!r}")
     if not isinstance(field.dataType, _TIME_TYPES):
-        raise ValueError(f"time column {time_column!r} is {field.dataType.simpleString()}, not a date or timestamp")
+        kind = field.dataType.simpleString()
+        raise ValueError(f"time column {time_column!r} is {kind}, not a date or timestamp")
     return field.dataType.simpleString()
 
 

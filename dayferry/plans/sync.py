@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from dayferry.frames import small_frame
 from dayferry.operators.ledger import run_record
-from dayferry.operators.project import map_typed
-from dayferry.operators.status import STATUS_SCHEMA, upsert_status
+from dayferry.operators.project import column, map_typed
+from dayferry.operators.status import STATUS_SCHEMA
 from dayferry.operators.window import window_bounds
 from dayferry.plans.tasks import day_coverage, day_tasks, table_windows
 from dayferry.registry import TableSpec, check_days, select_tables, window_days
@@ -45,8 +45,8 @@ def sync(
     ``days`` replaces the default window of every selected table. Up to ``concurrent_tables``
     tables are copied at once, so that the last tasks of one overlap with the next; a table
     that fails is reported and does not stop the others. Data is written first, then the table
-    status, then the final ledger row; each step can be repeated, so a run that died is simply
-    run again.
+    status, then the final ledger row. Days are replaced whole and the rest is appended, so a
+    run that died is simply run again.
     """
     chosen = select_tables(registry, tables)
     if days is not None:
@@ -71,14 +71,14 @@ def sync(
         ).first()
         total, error = totals["total"] or 0, totals["error"]
         ended = clock()
-        known = store.status(spark)
-        updates = _status_updates(results, known, chosen, ended)
-        store.write_status(upsert_status(known, updates), version=run_id + 1)
+        store.update_status(_status_updates(results, store.status(spark), chosen, ended), run_id)
         status = "failed" if totals["failed"] else "success"
     except Exception as e:
-        store.append(run_record(spark, run_id + 1, started, clock(), "failed", tables, total, str(e)))
+        last_id = store.next_id(spark)
+        store.append(run_record(spark, last_id, started, clock(), "failed", tables, total, str(e)))
         raise
-    store.append(run_record(spark, run_id + 1, started, ended, status, tables, total, error))
+    last_id = store.next_id(spark)
+    store.append(run_record(spark, last_id, started, ended, status, tables, total, error))
     return results
 
 
@@ -89,8 +89,8 @@ def _copy_table(spark, spec, read, target, as_of, days) -> dict:
         missing = spec.missing_columns(rows.columns)
         if missing:
             raise ValueError(f"{spec.source_table} lacks mapped columns: {', '.join(missing)}")
-        day = F.to_date(F.col("`" + spec.target_time_column + "`"))
-        rows = map_typed(rows, spec.columns).withColumn(DAY, day)
+        rows = map_typed(rows, spec.columns)
+        rows = rows.withColumn(DAY, F.to_date(column(spec.target_time_column)))
         written = target.replace_days(rows, spec, first, last)
         return {"target_table": spec.target_table, "written": written, "error": None}
     except Exception as e:

@@ -112,7 +112,8 @@ _TYPE_RULES = [
     ("date", r"^time(_column)?$"),
     ("timestamp_ntz", r"^interval_(start|end)$"),
     ("double", r"percent|rank|share|ctr|cvr|acos|roas|dpvr|atcr|snssr|sn_ssr|(^|_)rate(_|$)"),
-    ("string", r"(^|_)(name|id|tag|status|type|code|size|currency|text|url|all)$|^(query|adgroup|asin|sku|title|brand)$"),
+    ("string", r"(^|_)(name|id|tag|status|type|code|size|currency|text|url|all)$"),
+    ("string", r"^(query|adgroup|asin|sku|title|brand)$"),
     ("decimal(18,4)", r"spend|_bid$|cost|(^|_)sales|cp[acdmp]|cpc|ecp_|erpm|_value_|royalties"),
 ]
 

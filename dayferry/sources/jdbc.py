@@ -155,6 +155,7 @@ class JdbcTarget:
         """Records per day, counted by the target database."""
         t = quoted(spec.target_time_column)
         [inside] = day_predicates(spec.target_time_column, first, last, "date", max_partitions=1)
-        sql = f"SELECT CAST({t} AS DATE) AS d, COUNT(*) AS n FROM {spec.target_table} WHERE {inside} GROUP BY CAST({t} AS DATE)"
+        day = f"CAST({t} AS DATE)"
+        sql = f"SELECT {day} AS d, COUNT(*) AS n FROM {spec.target_table} WHERE {inside} GROUP BY {day}"
         counts = self._query(spark, sql)
         return counts.toDF(DAY, "records").select(F.col(DAY).cast("date"), F.col("records").cast("bigint"))

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dayferry.frames import small_frame
 from dayferry.operators.ledger import LEDGER_SCHEMA
-from dayferry.operators.status import STATUS_SCHEMA
+from dayferry.operators.status import STATUS_SCHEMA, current_status
+
+_STATUS_LOG_SCHEMA = T.StructType([*STATUS_SCHEMA.fields, T.StructField("version", T.LongType())])
 
 
 class RunStore:
     """Three Parquet tables under one shared folder. One sync at a time writes to it.
 
-    The ledger is only ever appended to. Each finished run writes a new version of the status
-    and then its final ledger row, which makes that version the current one; a run that dies
-    in between leaves the earlier version in force.
+    Ledger and status log are only ever appended to, so no write reads the path it replaces,
+    and a run that dies leaves nothing half overwritten. Task results have a folder per run.
     """
 
     def __init__(self, base: str):
@@ -24,9 +26,10 @@ class RunStore:
         self.status_path = f"{base}/status"
         self.results_path = f"{base}/results"
 
-    def create(self, spark: SparkSession) -> "RunStore":
-        """Make an empty ledger unless there is one."""
+    def create(self, spark: SparkSession) -> RunStore:
+        """Make an empty ledger and status log unless there are some."""
         small_frame(spark, [], LEDGER_SCHEMA).write.mode("ignore").parquet(self.ledger_path)
+        small_frame(spark, [], _STATUS_LOG_SCHEMA).write.mode("ignore").parquet(self.status_path)
         return self
 
     def ledger(self, spark: SparkSession) -> DataFrame:
@@ -39,15 +42,13 @@ class RunStore:
         return (self.ledger(spark).agg(F.max("id")).first()[0] or 0) + 1
 
     def status(self, spark: SparkSession) -> DataFrame:
-        """The status as of the last run that finished."""
-        finished = F.col("status").isin("success", "failed")
-        version = self.ledger(spark).where(finished).agg(F.max("id")).first()[0]
-        if version is None:
-            return small_frame(spark, [], STATUS_SCHEMA)
-        return spark.read.schema(STATUS_SCHEMA).parquet(f"{self.status_path}/version={version}")
-
-    def write_status(self, status: DataFrame, version: int) -> None:
-        status.write.mode("overwrite").parquet(f"{self.status_path}/version={version}")
+        """One row per table."""
+        return current_status(spark.read.schema(_STATUS_LOG_SCHEMA).parquet(self.status_path))
+
+    def update_status(self, updates: DataFrame, version: int) -> None:
+        """Log new status rows. The version is the id of their run; higher ones replace lower."""
+        rows = updates.select(*STATUS_SCHEMA.names, F.lit(version).cast("bigint").alias("version"))
+        rows.write.mode("append").parquet(self.status_path)
 
     def write_results(self, results: DataFrame, run_id: int) -> DataFrame:
         path = f"{self.results_path}/run_id={run_id}"

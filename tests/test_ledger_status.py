@@ -2,7 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from dayferry.frames import small_frame
 from dayferry.operators.counts import run_totals

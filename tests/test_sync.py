@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import dayferry
-from dayferry.operators.ledger import latest_run_state
+from dayferry.operators.ledger import latest_run_state, stop_record
 from dayferry.registry import TableSpec, mapping
 from dayferry.sources.preflight import Probe, preflight
 
@@ -126,8 +126,7 @@ def test_run_that_dies_keeps_the_earlier_status(setup):
     before = status(setup)
 
     class Dying(dayferry.RunStore):
-        def write_status(self, table_status, version):
-            super().write_status(table_status.where("false"), version)
+        def update_status(self, updates, version):
             raise KeyboardInterrupt
 
     store = setup["store"]
@@ -136,12 +135,16 @@ def test_run_that_dies_keeps_the_earlier_status(setup):
         dayferry.sync(registry=[CLICKS, EVENTS], **setup)
     setup["store"] = store
     assert status(setup) == before
-    assert ledger(setup)[0][1] == "running"
+    assert ledger(setup)[0][:2] == (3, "running")
     dayferry.sync(registry=[CLICKS, EVENTS], **setup)
-    assert [x[1] for x in status(setup)] == ["ods_clicks", "ods_query"]
+    assert [x[:2] for x in status(setup)] == [(1, "ods_clicks"), (3, "ods_query")]
+    assert [x[:2] for x in ledger(setup)[:2]] == [(5, "success"), (4, "running")]
 
 
 def test_store_that_fails_is_recorded(setup):
+    dayferry.sync(registry=[EVENTS], **setup)
+    before = status(setup)
+
     class Failing(dayferry.RunStore):
         def write_results(self, results, run_id):
             raise OSError("disk full")
@@ -150,7 +153,22 @@ def test_store_that_fails_is_recorded(setup):
     with pytest.raises(OSError):
         dayferry.sync(registry=[CLICKS], **setup)
     last = dayferry.run_history(setup["store"].ledger(setup["spark"]), 1).first()
-    assert (last.status, last.error_message) == ("failed", "disk full")
+    assert (last.id, last.status, last.error_message) == (4, "failed", "disk full")
+    assert status(setup) == before
+
+
+def test_run_stopped_by_its_user(setup):
+    spark, store = setup["spark"], setup["store"]
+
+    class Stopping(dayferry.ParquetTarget):
+        def replace_days(self, *args):
+            started = dayferry.run_history(store.ledger(spark), 1).first().start_time
+            store.append(stop_record(spark, store.next_id(spark), started, started, 0))
+            return super().replace_days(*args)
+
+    setup["target"] = Stopping(setup["target"].base)
+    dayferry.sync(registry=[EVENTS], **setup)
+    assert [x[:3] for x in ledger(setup)] == [(3, "success", "all"), (2, "stopped", ""), (1, "running", "all")]
 
 
 def test_copies_belong_to_the_callers_job_group(setup):
