@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from dayferry.operators.project import column
 from dayferry.registry import check_days
 
-_TIME_TYPES = (T.DateType, T.TimestampNTZType, T.TimestampType)
+_TIME_TYPES = (T.DateType, T.TimestampNTZType, T.TimestampType, T.StringType)
 
 
 def window_bounds(as_of: dt.date, days: int) -> tuple[dt.date, dt.date]:
@@ -20,6 +20,7 @@ def window_bounds(as_of: dt.date, days: int) -> tuple[dt.date, dt.date]:
 
 
 def time_type(df: DataFrame, time_column: str) -> str:
+    """The type of the time column: a date, a timestamp, or text that starts yyyy-MM-dd."""
     field = next((f for f in df.schema.fields if f.name.lower() == time_column.lower()), None)
     if field is None:
         raise ValueError(f"no time column {time_column!r}")
@@ -33,12 +34,14 @@ def between_days(df: DataFrame, time_column: str, first: dt.date, last: dt.date)
     """Rows of the days first..last.
 
     A plain range on the stored column: it prunes partitions, skips Parquet row groups,
-    and reaches a JDBC source unchanged.
+    and reaches a JDBC source unchanged. Text compares as text; rows whose text is no date
+    belong to no day.
     """
     kind = time_type(df, time_column)
     t = column(time_column)
     after = last + dt.timedelta(days=1)
-    return df.where((t >= F.lit(first).cast(kind)) & (t < F.lit(after).cast(kind)))
+    inside = df.where((t >= F.lit(first).cast(kind)) & (t < F.lit(after).cast(kind)))
+    return _dated(inside, time_column, kind)
 
 
 def rolling_window(df: DataFrame, time_column: str, days: int, as_of: dt.date | None = None) -> DataFrame:
@@ -51,14 +54,19 @@ def rolling_window(df: DataFrame, time_column: str, days: int, as_of: dt.date |
     if as_of is not None:
         return between_days(df, time_column, *window_bounds(as_of, days))
     kind = time_type(df, time_column)
-    first = F.date_sub(_newest(time_column), check_days(days) - 1).cast(kind)
-    return df.where(column(time_column) >= df.agg(first).scalar())
+    first = F.date_sub(_newest(time_column, kind), check_days(days) - 1).cast(kind)
+    return _dated(df.where(column(time_column) >= df.agg(first).scalar()), time_column, kind)
 
 
-def _newest(time_column: str) -> Column:
-    return F.to_date(F.max(column(time_column)))
+def _dated(df: DataFrame, time_column: str, kind: str) -> DataFrame:
+    return df.where(column(time_column).try_cast("date").isNotNull()) if kind == "string" else df
+
+
+def _newest(time_column: str, kind: str) -> Column:
+    t = column(time_column)
+    return F.max(t.try_cast("date")) if kind == "string" else F.to_date(F.max(t))
 
 
 def newest_day(df: DataFrame, time_column: str) -> Column:
     """The newest day in the data, as a scalar subquery for use in another frame."""
-    return df.agg(_newest(time_column)).scalar()
+    return df.agg(_newest(time_column, time_type(df, time_column))).scalar()

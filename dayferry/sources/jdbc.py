@@ -86,7 +86,7 @@ class JdbcSource:
 
     def __call__(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
         kind = time_type(self.table(spark, spec.source_table), spec.time_column)
-        kind = "date" if kind == "date" else "timestamp"
+        kind = "date" if kind in ("date", "string") else "timestamp"
         clauses = day_predicates(spec.time_column, first, last, kind, **self.slicing)
         return spark.read.jdbc(self.url, spec.source_table, predicates=clauses, properties=self.properties)
 

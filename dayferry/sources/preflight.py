@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from dayferry.frames import small_frame
 from dayferry.operators.project import column
+from dayferry.operators.window import time_type
 from dayferry.registry import TableSpec
 
 REPORT_SCHEMA = T.StructType([
@@ -50,7 +51,9 @@ def _run(spark: SparkSession, probe: Probe) -> dict:
         df = probe.open(spark)
         missing = probe.spec.missing_columns(df.columns) if probe.spec else []
         report["missing_columns"] = ",".join(missing)
+        kind = time_type(df, probe.time_column)
         t = column(probe.time_column)
+        t = t.try_cast("date") if kind == "string" else t
         found = df.agg(
             F.count(F.lit(1)).alias("records"),
             F.to_date(F.min(t)).alias("first_day"),

@@ -3,6 +3,7 @@ import itertools
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import dayferry
 from dayferry.operators.ledger import latest_run_state, stop_record
@@ -195,6 +196,39 @@ def test_status_document_after_a_run(setup):
     assert (doc.is_running, doc.total_records, doc.completed_tasks, doc.failed_tasks) == (False, 7954, 24, 0)
 
 
+def test_shipped_report_tables(spark, tmp_path):
+    """All four report tables with their own column names, every value as text."""
+    samples = {
+        "date": "2024-01-30", "timestamp_ntz": "2024-01-30 01:02:03", "string": "x", "bigint": "7",
+        "decimal(18,4)": "1.5", "double": "0.25",
+    }
+    paths = {}
+    for spec in dayferry.REPORT_TABLES:
+        values = [samples[c.type] for c in spec.columns]
+        late = ["2023-11-30" if c.source == spec.time_column else v for c, v in zip(spec.columns, values)]
+        bad = ["n/a" if c.type == "bigint" else v for c, v in zip(spec.columns, values)]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in ["Other", *spec.source_columns]])
+        paths[spec.source_table] = str(tmp_path / "in" / spec.source_table)
+        rows = [["o", *v] for v in (values, values, bad, late)]
+        spark.createDataFrame(rows, schema).write.parquet(paths[spec.source_table])
+    target = dayferry.ParquetTarget(str(tmp_path / "data"))
+    store = dayferry.RunStore(str(tmp_path / "store"))
+    results = dayferry.sync(
+        spark, dayferry.REPORT_TABLES, dayferry.ParquetSource(paths), target, store, as_of=AS_OF
+    )
+    assert {r.status for r in results.collect()} == {"success"}
+    assert results.count() == 24 + 3 * 60
+    # 2023-11-30 lies 61 days back.
+    assert {r.table_name: r.records_count for r in store.status(spark).collect()} == {
+        s.target_table: 3 for s in dayferry.REPORT_TABLES
+    }
+    for spec in dayferry.REPORT_TABLES:
+        held = target.table(spark, spec)
+        assert held.dtypes == [(c.target, c.type) for c in spec.columns] + [("day", "date")]
+        [n] = {c.target for c in spec.columns if c.type == "bigint"} & {"click", "click_throughs"}
+        assert sorted((r[n] is None, r[n]) for r in held.collect()) == [(False, 7), (False, 7), (True, None)]
+
+
 def test_preflight(setup):
     spark, read = setup["spark"], setup["read"]
     probes = [
