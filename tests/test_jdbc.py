@@ -1,4 +1,7 @@
-"""JDBC without a database: the clauses are run by Spark, the target is a stand-in."""
+"""JDBC without a database: the clauses are run by Spark, the target is a stand-in.
+
+No driver knows the URL below, so calls go as far as the driver lookup and open no connection.
+"""
 
 import datetime as dt
 
@@ -7,7 +10,8 @@ from pyspark.sql import functions as F
 
 from dayferry.registry import TableSpec, mapping
 from dayferry.sources import DAY
-from dayferry.sources.jdbc import JdbcTarget, day_predicates, swap_statements
+from dayferry.sources.jdbc import JdbcSource, JdbcTarget, day_predicates, swap_statements
+from dayferry.sources.preflight import Probe, preflight
 
 FIRST, LAST = dt.date(2024, 1, 7), dt.date(2024, 1, 30)
 SPEC = TableSpec("src", "dst", mapping(["Time", "id"], ["time", "id"]), "Time")
@@ -85,7 +89,8 @@ class FolderTarget(JdbcTarget):
 
 
 def staged(spark):
-    return spark.range(30).select(F.lit("2024-01-07").cast("timestamp_ntz").alias("time"), "id", F.lit(1).alias(DAY))
+    time = F.lit("2024-01-07").cast("timestamp_ntz").alias("time")
+    return spark.range(30).select(time, "id", F.lit(1).alias(DAY))
 
 
 def test_target_swaps_after_the_count_agrees(spark, tmp_path):
@@ -100,3 +105,24 @@ def test_target_is_left_alone_when_rows_were_loaded_twice(spark, tmp_path):
     with pytest.raises(RuntimeError, match="holds 32 rows after loading 30"):
         target.replace_days(staged(spark), SPEC, FIRST, LAST)
     assert target.ran == []
+
+
+NOWHERE = "jdbc:nowhere://host/db"
+
+
+def test_unreachable_source(spark):
+    source = JdbcSource(NOWHERE, {"fetchsize": "10000"}, parts_per_day=2, max_partitions=8)
+    with pytest.raises(Exception, match="No suitable driver"):
+        source(spark, SPEC, FIRST, LAST)
+    report = preflight(spark, [Probe("src", "source", lambda s: source.table(s, "src"), "Time", SPEC)]).first()
+    assert not report.success and "No suitable driver" in report.message
+
+
+def test_unreachable_target(spark):
+    ran = []
+    target = JdbcTarget(NOWHERE, {"batchsize": "5000"}, ran.append, max_connections=2)
+    with pytest.raises(Exception, match="No suitable driver"):
+        target.replace_days(staged(spark), SPEC, FIRST, LAST)
+    with pytest.raises(Exception, match="No suitable driver"):
+        target.day_counts(spark, SPEC, FIRST, LAST)
+    assert ran == []
