@@ -34,8 +34,8 @@ def between_days(df: DataFrame, time_column: str, first: dt.date, last: dt.date)
     """Rows of the days first..last.
 
     A plain range on the stored column: it prunes partitions, skips Parquet row groups,
-    and reaches a JDBC source unchanged. Text compares as text; rows whose text is no date
-    belong to no day.
+    and reaches a JDBC source unchanged. Text compares as text; rows whose text does not start
+    with a date as yyyy-MM-dd belong to no day.
     """
     kind = time_type(df, time_column)
     t = column(time_column)
@@ -59,12 +59,17 @@ def rolling_window(df: DataFrame, time_column: str, days: int, as_of: dt.date |
 
 
 def _dated(df: DataFrame, time_column: str, kind: str) -> DataFrame:
-    return df.where(column(time_column).try_cast("date").isNotNull()) if kind == "string" else df
+    return df.where(_is_iso(column(time_column))) if kind == "string" else df
+
+
+def _is_iso(text: Column) -> Column:
+    # Only zero-padded dates sort as text the way they sort as dates.
+    return F.substring(text, 1, 10) == text.try_cast("date").cast("string")
 
 
 def _newest(time_column: str, kind: str) -> Column:
     t = column(time_column)
-    return F.max(t.try_cast("date")) if kind == "string" else F.to_date(F.max(t))
+    return F.max(F.when(_is_iso(t), t.try_cast("date"))) if kind == "string" else F.to_date(F.max(t))
 
 
 def newest_day(df: DataFrame, time_column: str) -> Column:

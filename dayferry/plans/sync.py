@@ -17,8 +17,7 @@ from dayferry.operators.project import column, map_typed
 from dayferry.operators.status import STATUS_SCHEMA
 from dayferry.operators.window import window_bounds
 from dayferry.plans.tasks import day_coverage, day_tasks, table_windows
-from dayferry.registry import TableSpec, check_days, select_tables, window_days
-from dayferry.sources import DAY
+from dayferry.registry import DAY, ColumnSpec, TableSpec, check_days, select_tables, window_days
 from dayferry.sources.store import RunStore
 
 _OUTCOME_SCHEMA = T.StructType([
@@ -27,6 +26,8 @@ _OUTCOME_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
+_SOURCE_DAY = "__source_day"
+
 
 def sync(
     spark: SparkSession,
@@ -89,14 +90,18 @@ def _copy_table(spark, spec, read, target, as_of, days) -> dict:
         missing = spec.missing_columns(rows.columns)
         if missing:
             raise ValueError(f"{spec.source_table} lacks mapped columns: {', '.join(missing)}")
-        rows = map_typed(rows, spec.columns)
-        rows = rows.withColumn(DAY, F.to_date(column(spec.target_time_column)))
-        written = target.replace_days(rows, spec, first, last)
+        written = target.replace_days(with_day(rows, spec), spec, first, last)
         return {"target_table": spec.target_table, "written": written, "error": None}
     except Exception as e:
         return {"target_table": spec.target_table, "written": None, "error": str(e) or type(e).__name__}
 
 
+def with_day(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """The typed target rows with their day, taken from the time as the source has it."""
+    rows = rows.withColumn(_SOURCE_DAY, column(spec.time_column).try_cast("date"))
+    return map_typed(rows, [*spec.columns, ColumnSpec(_SOURCE_DAY, DAY)])
+
+
 def _task_results(spark, chosen, target, as_of, days, outcomes) -> DataFrame:
     """The plan with the records the target really holds, checked against what was written."""
     tasks = day_tasks(table_windows(spark, chosen, as_of, days))

@@ -13,6 +13,8 @@ from dayferry.frames import small_frame
 
 MIN_DAYS, MAX_DAYS = 1, 365
 
+DAY = "day"  # the partition column of a target
+
 
 @dataclass(frozen=True)
 class ColumnSpec:
@@ -34,6 +36,8 @@ class TableSpec:
             names = [getattr(c, side).lower() for c in self.columns]
             if len(set(names)) != len(names):
                 raise ValueError(f"{self.target_table}: duplicate {side} column names")
+        if DAY in (c.target.lower() for c in self.columns):
+            raise ValueError(f"{self.target_table}: target column name {DAY!r} is kept for the partition")
         if self.time_column not in self.source_columns:
             raise ValueError(f"{self.target_table}: time column {self.time_column!r} is not mapped")
         check_days(self.default_days)

@@ -7,23 +7,40 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dayferry.operators.window import between_days
-from dayferry.registry import TableSpec
-from dayferry.sources import DAY
+from dayferry.registry import DAY, TableSpec
 
 
 class ParquetSource:
-    """Source tables by name."""
+    """Source tables by name.
 
-    def __init__(self, paths: Mapping[str, str]):
+    A declared schema saves the job that would infer it. ``day_partitions`` names the partition
+    column that holds the day of the time column, for tables laid out that way; the window is
+    then also put on it, so files of other days are not opened.
+    """
+
+    def __init__(
+        self,
+        paths: Mapping[str, str],
+        schemas: Mapping[str, str | StructType] | None = None,
+        day_partitions: Mapping[str, str] | None = None,
+    ):
         self.paths = dict(paths)
+        self.schemas = dict(schemas or {})
+        self.day_partitions = dict(day_partitions or {})
 
     def table(self, spark: SparkSession, source_table: str) -> DataFrame:
-        return spark.read.parquet(self.paths[source_table])
+        schema = self.schemas.get(source_table)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(self.paths[source_table])
 
     def __call__(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
-        return between_days(self.table(spark, spec.source_table), spec.time_column, first, last)
+        rows = self.table(spark, spec.source_table)
+        if spec.source_table in self.day_partitions:
+            rows = between_days(rows, self.day_partitions[spec.source_table], first, last)
+        return between_days(rows, spec.time_column, first, last)
 
 
 class ParquetTarget:

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from dayferry.operators.project import quoted
 from dayferry.operators.window import time_type
-from dayferry.registry import TableSpec
-from dayferry.sources import DAY
+from dayferry.registry import DAY, TableSpec
 
 
 def _literal(moment: dt.datetime, kind: str) -> str:

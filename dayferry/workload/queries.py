@@ -12,7 +12,7 @@ from dayferry import functions as X
 from dayferry.frames import shared_dir
 from dayferry.operators import counts, ledger, project, status, window
 from dayferry.plans import tasks
-from dayferry.plans.sync import sync
+from dayferry.plans.sync import sync, with_day
 from dayferry.registry import (
     REPORT_TABLES,
     TableSpec,
@@ -22,7 +22,6 @@ from dayferry.registry import (
     select_tables,
     window_days,
 )
-from dayferry.sources import DAY
 from dayferry.sources.files import ParquetTarget
 from dayferry.sources.jdbc import day_predicates
 from dayferry.sources.preflight import Probe, preflight
@@ -387,8 +386,7 @@ def source_preflight(spark, sf_dir):
 
 
 def _load(rows: DataFrame, target: ParquetTarget, first, last) -> None:
-    typed = project.map_typed(rows, EVENTS.columns)
-    target.replace_days(typed.withColumn(DAY, F.to_date(EVENTS.target_time_column)), EVENTS, first, last)
+    target.replace_days(with_day(rows, EVENTS), EVENTS, first, last)
 
 
 def partitioned_sink_roundtrip(spark, sf_dir):

@@ -47,12 +47,24 @@ LINEITEM = TableSpec(
 REGISTRY = (EVENTS, ORDERS, LINEITEM)
 
 
+# Declared, because inferring a schema starts a job for each read.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def source(sf_dir: str) -> ParquetSource:
-    return ParquetSource({s.source_table: f"{sf_dir}/{s.source_table}.parquet" for s in REGISTRY})
+    return ParquetSource({t: f"{sf_dir}/{t}.parquet" for t in SCHEMAS}, SCHEMAS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return source(sf_dir).table(spark, name)
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:

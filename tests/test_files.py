@@ -6,10 +6,9 @@ import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from dayferry.operators.project import map_typed
 from dayferry.operators.window import between_days, window_bounds
+from dayferry.plans.sync import with_day
 from dayferry.registry import TableSpec, mapping
-from dayferry.sources import DAY
 from dayferry.sources.files import ParquetSource, ParquetTarget
 
 SPEC = TableSpec("src", "dst", mapping(["The.Time", "id"], ["time", "id"]), "The.Time")
@@ -28,8 +27,7 @@ def rows(spark, per_day, parts=4):
 def load(target, source, days):
     first, last = window_bounds(LAST, days)
     window = between_days(source, "The.Time", first, last)
-    typed = map_typed(window, SPEC.columns).withColumn(DAY, F.to_date("time"))
-    return target.replace_days(typed, SPEC, first, last)
+    return target.replace_days(with_day(window, SPEC), SPEC, first, last)
 
 
 def held(spark, target, days=31):
@@ -125,3 +123,17 @@ def test_source_reads_the_window(spark, tmp_path):
     rows(spark, {d: d for d in range(1, 21)}).write.parquet(path)
     read = ParquetSource({"src": path})
     assert read(spark, SPEC, *window_bounds(LAST, 2)).count() == 19
+
+
+def test_source_with_day_partitions(spark, tmp_path):
+    path = str(tmp_path / "src")
+    source = rows(spark, {d: d for d in range(1, 21)})
+    source.withColumn("dt", F.to_date("`The.Time`")).write.partitionBy("dt").parquet(path)
+    schema = "`The.Time` timestamp_ntz, id int, dt date"
+    read = ParquetSource({"src": path}, {"src": schema}, {"src": "dt"})
+    window = read(spark, SPEC, *window_bounds(LAST, 2))
+    assert window.count() == 19
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "GreaterThanOrEqual(The.Time" in plan.replace("`", "")
+    target = ParquetTarget(str(tmp_path / "out"), gather=False)
+    assert load(target, window, 2) == 19

@@ -8,8 +8,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from dayferry.registry import TableSpec, mapping
-from dayferry.sources import DAY
+from dayferry.registry import DAY, TableSpec, mapping
 from dayferry.sources.jdbc import JdbcSource, JdbcTarget, day_predicates, swap_statements
 from dayferry.sources.preflight import Probe, preflight
 

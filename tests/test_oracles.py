@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from dayferry.workload.standins import SCHEMAS, table
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -57,5 +58,11 @@ def test_matches_oracle(spark, duck, sf_dir, name):
     assert _rows(df.collect(), df.columns) == expected
 
 
+@pytest.mark.parametrize("name", sorted(SCHEMAS))
+def test_declared_schemas(spark, sf_dir, name):
+    declared = table(spark, sf_dir, name).schema
+    assert spark.read.parquet(f"{sf_dir}/{name}.parquet").schema == declared
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0

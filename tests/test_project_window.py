@@ -81,7 +81,7 @@ def test_window_against_brute_force(spark, kind, days):
 @pytest.mark.parametrize("as_of", [dt.date(2024, 3, 5), None])
 def test_window_over_text(spark, as_of):
     texts = ["2024-03-05", "2024-03-05 23:59:59", "2024-03-04T00:00:00", "2024-03-03 23:59:59.999", "2024-03-03",
-             "n/a", "", None, "2024-03-0x", "-"]
+             "n/a", "", None, "2024-03-0x", "-", "2024-3-5", " 2024-03-05", "2024-03-05x"]
     df = spark.createDataFrame([(t,) for t in texts], "`t.t` string")
     found = {r[0] for r in rolling_window(df, "t.t", 2, as_of).collect()}
     assert found == set(texts[:3])

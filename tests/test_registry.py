@@ -65,6 +65,8 @@ def test_table_spec_is_checked():
         TableSpec("a", "b", mapping(["Time", "TIME"], ["x", "y"]), "Time")
     with pytest.raises(ValueError, match="duplicate target"):
         TableSpec("a", "b", mapping(["Time", "B"], ["x", "X"]), "Time")
+    with pytest.raises(ValueError, match="kept for the partition"):
+        TableSpec("a", "b", mapping(["Time", "B"], ["x", "Day"]), "Time")
     with pytest.raises(ValueError, match="not mapped"):
         TableSpec("a", "b", mapping(["A"], ["x"]), "Time")
     with pytest.raises(ValueError):

@@ -246,3 +246,26 @@ def test_preflight(setup):
     assert [r.name for r in preflight(spark, probes, "target").collect()] == ["gone"]
     assert preflight(spark, probes, "source").count() == 2
     assert preflight(spark, probes, "neither").count() == 0
+
+
+def test_text_times_never_touch_days_outside_the_window(spark, tmp_path):
+    spec = TableSpec("t", "t", mapping(["Time", "n"], ["time", "n"], ["timestamp_ntz", "bigint"]), "Time", 200)
+    path = str(tmp_path / "in")
+
+    def put(*times):
+        df = spark.createDataFrame([(t, str(i)) for i, t in enumerate(times)], "Time string, n string")
+        df.write.mode("overwrite").parquet(path)
+
+    target = dayferry.ParquetTarget(str(tmp_path / "data"))
+    args = (dayferry.ParquetSource({"t": path}), target, dayferry.RunStore(str(tmp_path / "store")))
+    put("2024-01-05", "2024-01-05 10:00:00")
+    dayferry.sync(spark, [spec], *args, as_of=dt.date(2024, 1, 5))
+    # Unpadded January sorts as text between the bounds of a window that ends in December.
+    put("2024-1-5", "2024-12-30", "2024-12-30 99:00:00")
+    results = dayferry.sync(spark, [spec], *args, as_of=dt.date(2024, 12, 31))
+    assert {r.status for r in results.collect()} == {"success"}
+    held = {(str(r.day), r.n): r.time for r in target.table(spark, spec).collect()}
+    assert held == {
+        ("2024-01-05", 0): dt.datetime(2024, 1, 5), ("2024-01-05", 1): dt.datetime(2024, 1, 5, 10),
+        ("2024-12-30", 1): dt.datetime(2024, 12, 30), ("2024-12-30", 2): None,
+    }
