@@ -68,7 +68,7 @@ class ParquetTarget:
         """
         written = Observation()
         placed = rows.hint("rebalance", DAY) if self.gather else rows
-        days = F.sort_array(F.collect_set(F.col(DAY).cast("string"))).alias("days")
+        days = F.collect_set(DAY).alias("days")
         (
             placed.observe(written, F.count(F.lit(1)).alias("records"), days)
             .write.mode("overwrite")
@@ -83,7 +83,7 @@ class ParquetTarget:
     def _clear_stale(self, rows, spec, first, last, written_days) -> None:
         # A dynamic overwrite leaves the days that have become empty at the source.
         spark = rows.sparkSession
-        kept = F.col(DAY).cast("string").isin(written_days) if written_days else F.lit(False)
+        kept = F.col(DAY).isin(written_days) if written_days else F.lit(False)
         stale = self.day_counts(spark, spec, first, last).where(~kept).select(DAY).collect()
         for (day,) in stale:  # at most the days of the window
             rows.drop(DAY).limit(0).write.mode("overwrite").parquet(f"{self.path(spec)}/{DAY}={day}")
