@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from dayferry.operators.window import between_days
 from dayferry.registry import DAY, TableSpec
+from dayferry.sources.preflight import Probe
 
 
 class ParquetSource:
@@ -42,6 +43,10 @@ class ParquetSource:
             rows = between_days(rows, self.day_partitions[spec.source_table], first, last)
         return between_days(rows, spec.time_column, first, last)
 
+    def probe(self, spec: TableSpec) -> Probe:
+        name = spec.source_table
+        return Probe(name, "source", lambda spark: self.table(spark, name), spec.time_column, spec)
+
 
 class ParquetTarget:
     """One folder per target table, one partition per day.
@@ -96,3 +101,6 @@ class ParquetTarget:
         held = spark.read.schema(f"{DAY} date").parquet(self.path(spec))
         held = held.where(F.col(DAY).between(F.lit(first), F.lit(last)))
         return held.groupBy(DAY).agg(F.count(F.lit(1)).alias("records"))
+
+    def probe(self, spec: TableSpec) -> Probe:
+        return Probe(spec.target_table, "target", lambda spark: self.table(spark, spec), DAY)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dayferry.operators.project import quoted
 from dayferry.operators.window import time_type
 from dayferry.registry import DAY, TableSpec
+from dayferry.sources.preflight import Probe
 
 
 def _literal(moment: dt.datetime, kind: str) -> str:
@@ -62,11 +63,38 @@ def day_predicates(
     return [f"{span} AND {r}" for span in spans for r in rest]
 
 
-class JdbcSource:
-    """Reads a window of a source table, one partition per predicate.
+class _Jdbc:
+    """Connection settings. ``properties`` is passed to the driver (user, password, driver class,
+    timeouts, fetchsize)."""
 
-    ``properties`` is passed to the driver (user, password, driver class, timeouts, fetchsize).
-    """
+    def __init__(self, url: str, properties: Mapping[str, str]):
+        self.url = url
+        self.properties = dict(properties)
+
+    def _query(self, spark: SparkSession, sql: str) -> DataFrame:
+        """The result of a query that the database runs."""
+        reader = spark.read.format("jdbc").option("url", self.url).options(**self.properties)
+        return reader.option("query", sql).load()
+
+    def _table(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.jdbc(self.url, name, properties=self.properties)
+
+    def _probe(self, kind: str, table: str, time_column: str, spec: TableSpec | None) -> Probe:
+        # Spark would fetch the whole time column to aggregate it.
+        t = quoted(time_column)
+        sql = f"SELECT COUNT(*) AS n, MIN({t}) AS first_time, MAX({t}) AS last_time FROM {table}"
+        return Probe(
+            table,
+            kind,
+            lambda spark: self._table(spark, table),
+            time_column,
+            spec,
+            lambda spark: self._query(spark, sql),
+        )
+
+
+class JdbcSource(_Jdbc):
+    """Reads a window of a source table, one partition per predicate."""
 
     def __init__(
         self,
@@ -76,19 +104,18 @@ class JdbcSource:
         split_on: str | None = None,
         max_partitions: int | None = None,
     ):
-        self.url = url
-        self.properties = dict(properties)
+        super().__init__(url, properties)
         self.slicing = {"parts_per_day": parts_per_day, "split_on": split_on, "max_partitions": max_partitions}
 
-    def table(self, spark: SparkSession, source_table: str) -> DataFrame:
-        return spark.read.jdbc(self.url, source_table, properties=self.properties)
-
     def __call__(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
-        kind = time_type(self.table(spark, spec.source_table), spec.time_column)
+        kind = time_type(self._table(spark, spec.source_table), spec.time_column)
         kind = "date" if kind in ("date", "string") else "timestamp"
         clauses = day_predicates(spec.time_column, first, last, kind, **self.slicing)
         return spark.read.jdbc(self.url, spec.source_table, predicates=clauses, properties=self.properties)
 
+    def probe(self, spec: TableSpec) -> Probe:
+        return self._probe("source", spec.source_table, spec.time_column, spec)
+
 
 def swap_statements(
     target: str, staging: str, columns: Sequence[str], time_column: str, first: dt.date, last: dt.date
@@ -102,7 +129,7 @@ def swap_statements(
     ]
 
 
-class JdbcTarget:
+class JdbcTarget(_Jdbc):
     """Loads a staging table with Spark, then swaps whole days in the target.
 
     Spark's JDBC writer commits task by task, so a task that is repeated after a lost executor
@@ -120,8 +147,7 @@ class JdbcTarget:
         staging_suffix: str = "_staging",
         max_connections: int = 16,
     ):
-        self.url = url
-        self.properties = dict(properties)
+        super().__init__(url, properties)
         self.run_transaction = run_transaction
         self.staging_suffix = staging_suffix
         self.max_connections = max_connections
@@ -131,10 +157,6 @@ class JdbcTarget:
         writer = rows.write.mode("overwrite").option("truncate", "true")
         writer.option("numPartitions", self.max_connections).jdbc(self.url, table, properties=self.properties)
 
-    def _query(self, spark: SparkSession, sql: str) -> DataFrame:
-        reader = spark.read.format("jdbc").option("url", self.url).options(**self.properties)
-        return reader.option("query", sql).load()
-
     def replace_days(self, rows: DataFrame, spec: TableSpec, first: dt.date, last: dt.date) -> int:
         staging = spec.target_table + self.staging_suffix
         read = Observation()
@@ -158,3 +180,6 @@ class JdbcTarget:
         sql = f"SELECT {day} AS d, COUNT(*) AS n FROM {spec.target_table} WHERE {inside} GROUP BY {day}"
         counts = self._query(spark, sql)
         return counts.toDF(DAY, "records").select(F.col(DAY).cast("date"), F.col("records").cast("bigint"))
+
+    def probe(self, spec: TableSpec) -> Probe:
+        return self._probe("target", spec.target_table, spec.target_time_column, None)

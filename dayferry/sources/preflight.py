@@ -28,18 +28,22 @@ REPORT_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class Probe:
+    """A table to check. ``summarize`` gives one row of count, first and last time for a source
+    that can work it out by itself; otherwise Spark aggregates the time column."""
+
     name: str
     kind: str  # "source" or "target"
     open: Callable[[SparkSession], DataFrame]
     time_column: str
     spec: TableSpec | None = None
+    summarize: Callable[[SparkSession], DataFrame] | None = None
 
 
 def preflight(spark: SparkSession, probes: Sequence[Probe], scope: str = "all") -> DataFrame:
     """One row per probe of the scope: ``source``, ``target`` or ``all``.
 
-    Each probe is an aggregate over the time column alone and is run on its own, so that one
-    unreadable table is reported and the others are still checked.
+    Each probe is run on its own, so that one unreadable table is reported and the others are
+    still checked.
     """
     rows = [_run(spark, p) for p in probes if scope == "all" or p.kind == scope]
     return small_frame(spark, rows, REPORT_SCHEMA)
@@ -51,15 +55,13 @@ def _run(spark: SparkSession, probe: Probe) -> dict:
         df = probe.open(spark)
         missing = probe.spec.missing_columns(df.columns) if probe.spec else []
         report["missing_columns"] = ",".join(missing)
-        kind = time_type(df, probe.time_column)
-        t = column(probe.time_column)
-        t = t.try_cast("date") if kind == "string" else t
-        found = df.agg(
-            F.count(F.lit(1)).alias("records"),
-            F.to_date(F.min(t)).alias("first_day"),
-            F.to_date(F.max(t)).alias("last_day"),
-        ).first()
-        report |= found.asDict()
+        found = probe.summarize(spark) if probe.summarize else _summary(df, probe.time_column)
+        records, first, last = (F.col(f"`{c}`") for c in found.columns)
+        report |= found.select(
+            records.cast("bigint").alias("records"),
+            first.try_cast("date").alias("first_day"),
+            last.try_cast("date").alias("last_day"),
+        ).first().asDict()
         if missing:
             report["message"] = f"{probe.name} lacks mapped columns"
         else:
@@ -67,3 +69,9 @@ def _run(spark: SparkSession, probe: Probe) -> dict:
     except Exception as e:
         report["message"] = f"{probe.name} connection failed: {e}"
     return report
+
+
+def _summary(df: DataFrame, time_column: str) -> DataFrame:
+    t = column(time_column)
+    t = t.try_cast("date") if time_type(df, time_column) == "string" else t
+    return df.agg(F.count(F.lit(1)).alias("records"), F.min(t).alias("first"), F.max(t).alias("last"))

@@ -24,7 +24,7 @@ from dayferry.registry import (
 )
 from dayferry.sources.files import ParquetTarget
 from dayferry.sources.jdbc import day_predicates
-from dayferry.sources.preflight import Probe, preflight
+from dayferry.sources.preflight import preflight
 from dayferry.sources.store import RunStore
 from dayferry.workload import standins
 from dayferry.workload.standins import EVENTS, LINEITEM, ORDERS, REGISTRY, table
@@ -378,10 +378,7 @@ def source_preflight(spark, sf_dir):
     wanted = TableSpec(
         "orders", "ods_campain", mapping(["o_orderdate", "o_clerk"], ["time", "clerk"]), "o_orderdate"
     )
-    probes = [
-        Probe(s.source_table, "source", lambda spark, s=s: table(spark, sf_dir, s.source_table), s.time_column, s)
-        for s in (EVENTS, wanted, LINEITEM)
-    ]
+    probes = [standins.source(sf_dir).probe(s) for s in (EVENTS, wanted, LINEITEM)]
     return preflight(spark, probes)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dayferry.registry import DAY, TableSpec, mapping
 from dayferry.sources.jdbc import JdbcSource, JdbcTarget, day_predicates, swap_statements
-from dayferry.sources.preflight import Probe, preflight
+from dayferry.sources.preflight import preflight
 
 FIRST, LAST = dt.date(2024, 1, 7), dt.date(2024, 1, 30)
 SPEC = TableSpec("src", "dst", mapping(["Time", "id"], ["time", "id"]), "Time")
@@ -83,8 +83,8 @@ class FolderTarget(JdbcTarget):
             ).write.mode("append").parquet(f"{self.folder}/{table}")
 
     def _query(self, spark, sql):
-        assert sql == "SELECT COUNT(*) AS n FROM dst_staging"
-        return spark.read.parquet(f"{self.folder}/dst_staging").agg(F.count(F.lit(1)).alias("n"))
+        spark.read.parquet(f"{self.folder}/dst_staging").createOrReplaceTempView("dst_staging")
+        return spark.sql(sql)
 
 
 def staged(spark):
@@ -113,7 +113,7 @@ def test_unreachable_source(spark):
     source = JdbcSource(NOWHERE, {"fetchsize": "10000"}, parts_per_day=2, max_partitions=8)
     with pytest.raises(Exception, match="No suitable driver"):
         source(spark, SPEC, FIRST, LAST)
-    report = preflight(spark, [Probe("src", "source", lambda s: source.table(s, "src"), "Time", SPEC)]).first()
+    report = preflight(spark, [source.probe(SPEC)]).first()
     assert not report.success and "No suitable driver" in report.message
 
 
@@ -125,3 +125,33 @@ def test_unreachable_target(spark):
     with pytest.raises(Exception, match="No suitable driver"):
         target.day_counts(spark, SPEC, FIRST, LAST)
     assert ran == []
+
+
+class SparkSource(JdbcSource):
+    """Runs the database's part in Spark, over a view."""
+
+    def _query(self, spark, sql):
+        return spark.sql(sql)
+
+    def _table(self, spark, name):
+        return spark.table(name)
+
+
+class SparkTarget(JdbcTarget):
+    _query, _table = SparkSource._query, SparkSource._table
+
+
+def test_queries_left_to_the_database(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("dayofmonth(ts) <> 20")
+    events.selectExpr("ts AS Time", "ts AS time2", "event_id AS id").createOrReplaceTempView("src")
+    spec = TableSpec("src", "src", mapping(["Time", "id"], ["time2", "id"]), "Time")
+    source, target = SparkSource(NOWHERE, {}), SparkTarget(NOWHERE, {}, print)
+    rows = preflight(spark, [source.probe(spec), target.probe(spec)]).collect()
+    assert [(r.kind, r.success, r.records, r.first_day, r.last_day) for r in rows] == [
+        (kind, True, events.count(), dt.date(2024, 1, 1), LAST) for kind in ("source", "target")
+    ]
+    counts = target.day_counts(spark, spec, FIRST, LAST)
+    assert counts.dtypes == [("day", "date"), ("records", "bigint")]
+    expected = events.where("ts >= '2024-01-07'").groupBy(F.to_date("ts").alias("day")).count()
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, expected.collect()))
+    assert counts.count() == 23

@@ -232,8 +232,8 @@ def test_shipped_report_tables(spark, tmp_path):
 def test_preflight(setup):
     spark, read = setup["spark"], setup["read"]
     probes = [
-        Probe("events", "source", lambda s: read.table(s, "events"), "ts", EVENTS),
-        Probe("broken", "source", lambda s: read.table(s, "broken"), "ts", BROKEN),
+        read.probe(EVENTS),
+        read.probe(BROKEN),
         Probe("gone", "target", lambda s: read.table(s, "gone"), "ts"),
     ]
     rows = {r.name: r for r in preflight(spark, probes).collect()}
@@ -246,6 +246,11 @@ def test_preflight(setup):
     assert [r.name for r in preflight(spark, probes, "target").collect()] == ["gone"]
     assert preflight(spark, probes, "source").count() == 2
     assert preflight(spark, probes, "neither").count() == 0
+    dayferry.sync(registry=[EVENTS], **setup)
+    held = preflight(spark, [setup["target"].probe(EVENTS)]).first()
+    assert (held.kind, held.success, held.records, held.first_day, held.last_day) == (
+        "target", True, 7954, dt.date(2024, 1, 7), AS_OF,
+    )
 
 
 def test_text_times_never_touch_days_outside_the_window(spark, tmp_path):
