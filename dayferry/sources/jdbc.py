@@ -24,43 +24,74 @@ def day_predicates(
     first: dt.date,
     last: dt.date,
     kind: str = "timestamp",
-    parts_per_day: int = 1,
+    parts_per_day: int | Mapping[dt.date, int] = 1,
     split_on: str | None = None,
     max_partitions: int | None = None,
 ) -> list[str]:
     """WHERE clauses that cover the days first..last, each row by exactly one of them.
 
-    Each clause becomes one read partition. A day with very many rows is cut further:
-    by time of day for a timestamp, or by the remainder of an integer column ``split_on``
-    when the column is a date. ``max_partitions`` caps the read partitions, and with them
-    the connections, by joining neighbouring time ranges; no row is left out.
+    Each clause becomes one read partition. A day is cut into ``parts_per_day`` parts, given for
+    all days or day by day: by time of day for a timestamp, or by the remainder of an integer
+    column ``split_on`` with evenly spread values, such as an id. ``max_partitions`` caps the
+    partitions, and with them the connections: light days share one and heavy days get fewer
+    parts; no row is left out.
     """
-    if parts_per_day < 1 or (max_partitions is not None and max_partitions < 1):
+    days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+    parts = [parts_per_day.get(d, 1) if isinstance(parts_per_day, Mapping) else parts_per_day for d in days]
+    if min(parts) < 1 or (max_partitions is not None and max_partitions < 1):
         raise ValueError("parts_per_day and max_partitions must be at least 1")
-    if kind == "date" and parts_per_day > 1 and split_on is None:
+    if kind == "date" and max(parts) > 1 and split_on is None:
         raise ValueError("a date column needs split_on to cut a day into parts")
-    by_time = 1 if split_on else parts_per_day
-    by_key = parts_per_day if split_on else 1
-
-    start = dt.datetime.combine(first, dt.time())
-    total = ((last - first).days + 1) * by_time
-    edges = [start + dt.timedelta(days=1) * i / by_time for i in range(total + 1)]
-    if max_partitions is not None:
-        by_key = min(by_key, max_partitions)
-        ranges = max(1, max_partitions // by_key)
-        if total > ranges:
-            edges = [edges[total * i // ranges] for i in range(ranges + 1)]
 
+    load = 1.0 if max_partitions is None else max(1.0, sum(parts) / max_partitions)
+    spans = _pack(days, parts, load)
+    while max_partitions is not None and sum(n for _, _, n in spans) > max_partitions:
+        load *= 1.25
+        spans = _pack(days, parts, load)
+
+    clauses = []
+    for start, end, n in spans:
+        if split_on is None:
+            edges = [start + (end - start) * i / n for i in range(n + 1)]
+            clauses += [_between(time_column, x, y, kind) for x, y in zip(edges, edges[1:])]
+        else:
+            span = _between(time_column, start, end, kind)
+            clauses += [f"{span} AND {r}" for r in _remainders(split_on, n)] if n > 1 else [span]
+    return clauses
+
+
+def _pack(days, parts, load) -> list[tuple[dt.datetime, dt.datetime, int]]:
+    """Spans of days with their number of partitions, each of at most about ``load`` parts."""
+    spans, held, start = [], 0, None
+    for day, n in zip(days, parts):
+        if start is not None and (n >= load or held + n > load):
+            spans.append((start, day, 1))
+            start = None
+        if n >= load:
+            spans.append((day, day + dt.timedelta(days=1), int(n // load)))
+        elif start is None:
+            start, held = day, n
+        else:
+            held += n
+    if start is not None:
+        spans.append((start, days[-1] + dt.timedelta(days=1), 1))
+    return [(_midnight(a), _midnight(b), n) for a, b, n in spans]
+
+
+def _midnight(day: dt.date) -> dt.datetime:
+    return dt.datetime.combine(day, dt.time())
+
+
+def _between(time_column: str, start: dt.datetime, end: dt.datetime, kind: str) -> str:
     t = quoted(time_column)
-    spans = [
-        f"{t} >= {_literal(a, kind)} AND {t} < {_literal(b, kind)}" for a, b in zip(edges, edges[1:])
-    ]
-    if by_key == 1:
-        return spans
+    return f"{t} >= {_literal(start, kind)} AND {t} < {_literal(end, kind)}"
+
+
+def _remainders(split_on: str, n: int) -> list[str]:
     key = quoted(split_on)
-    rest = [f"ABS(MOD({key}, {by_key})) = {i}" for i in range(by_key)]
-    rest[0] = f"({rest[0]} OR {key} IS NULL)"
-    return [f"{span} AND {r}" for span in spans for r in rest]
+    clauses = [f"ABS(MOD({key}, {n})) = {i}" for i in range(n)]
+    clauses[0] = f"({clauses[0]} OR {key} IS NULL)"
+    return clauses
 
 
 class _Jdbc:
@@ -79,6 +110,14 @@ class _Jdbc:
     def _table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.jdbc(self.url, name, properties=self.properties)
 
+    def _day_counts(self, spark, table: str, time_column: str, first: dt.date, last: dt.date) -> DataFrame:
+        """At most one row per day, counted by the database."""
+        [inside] = day_predicates(time_column, first, last, "date", max_partitions=1)
+        day = f"CAST({quoted(time_column)} AS DATE)"
+        sql = f"SELECT {day} AS d, COUNT(*) AS n FROM {table} WHERE {inside} GROUP BY {day}"
+        counts = self._query(spark, sql).toDF(DAY, "records")
+        return counts.select(F.col(DAY).cast("date"), F.col("records").cast("bigint"))
+
     def _probe(self, kind: str, table: str, time_column: str, spec: TableSpec | None) -> Probe:
         # Spark would fetch the whole time column to aggregate it.
         t = quoted(time_column)
@@ -94,24 +133,37 @@ class _Jdbc:
 
 
 class JdbcSource(_Jdbc):
-    """Reads a window of a source table, one partition per predicate."""
+    """Reads a window of a source table, one partition per predicate.
+
+    With ``rows_per_partition`` the database first counts the rows of each day, and a day with
+    more is cut into as many parts as it needs. A date column needs ``split_on`` for that.
+    """
 
     def __init__(
         self,
         url: str,
         properties: Mapping[str, str],
-        parts_per_day: int = 1,
+        rows_per_partition: int | None = None,
         split_on: str | None = None,
         max_partitions: int | None = None,
     ):
         super().__init__(url, properties)
-        self.slicing = {"parts_per_day": parts_per_day, "split_on": split_on, "max_partitions": max_partitions}
+        self.rows_per_partition = rows_per_partition
+        self.split_on = split_on
+        self.max_partitions = max_partitions
 
     def __call__(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
+        clauses = self.predicates(spark, spec, first, last)
+        return spark.read.jdbc(self.url, spec.source_table, predicates=clauses, properties=self.properties)
+
+    def predicates(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> list[str]:
         kind = time_type(self._table(spark, spec.source_table), spec.time_column)
         kind = "date" if kind in ("date", "string") else "timestamp"
-        clauses = day_predicates(spec.time_column, first, last, kind, **self.slicing)
-        return spark.read.jdbc(self.url, spec.source_table, predicates=clauses, properties=self.properties)
+        parts = 1
+        if self.rows_per_partition:
+            counts = self._day_counts(spark, spec.source_table, spec.time_column, first, last)
+            parts = {d: -(-n // self.rows_per_partition) for d, n in counts.collect()}
+        return day_predicates(spec.time_column, first, last, kind, parts, self.split_on, self.max_partitions)
 
     def probe(self, spec: TableSpec) -> Probe:
         return self._probe("source", spec.source_table, spec.time_column, spec)
@@ -174,12 +226,7 @@ class JdbcTarget(_Jdbc):
 
     def day_counts(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
         """Records per day, counted by the target database."""
-        t = quoted(spec.target_time_column)
-        [inside] = day_predicates(spec.target_time_column, first, last, "date", max_partitions=1)
-        day = f"CAST({t} AS DATE)"
-        sql = f"SELECT {day} AS d, COUNT(*) AS n FROM {spec.target_table} WHERE {inside} GROUP BY {day}"
-        counts = self._query(spark, sql)
-        return counts.toDF(DAY, "records").select(F.col(DAY).cast("date"), F.col("records").cast("bigint"))
+        return self._day_counts(spark, spec.target_table, spec.target_time_column, first, last)
 
     def probe(self, spec: TableSpec) -> Probe:
         return self._probe("target", spec.target_table, spec.target_time_column, None)

@@ -25,15 +25,21 @@ def hits(df, clauses):
 
 @pytest.mark.parametrize(
     "options, partitions",
-    [({}, 24), ({"parts_per_day": 4}, 96), ({"parts_per_day": 4, "max_partitions": 10}, 10),
-     ({"max_partitions": 7}, 7), ({"max_partitions": 1}, 1), ({"max_partitions": 100}, 24),
+    [({}, 24), ({"parts_per_day": 4}, 96), ({"max_partitions": 1}, 1), ({"max_partitions": 100}, 24),
+     ({"parts_per_day": 4, "max_partitions": 10}, None), ({"max_partitions": 7}, None),
      ({"parts_per_day": 3, "split_on": "key"}, 72),
-     ({"parts_per_day": 3, "split_on": "key", "max_partitions": 10}, 9),
-     ({"parts_per_day": 5, "split_on": "key", "max_partitions": 2}, 2)],
+     ({"parts_per_day": 3, "split_on": "key", "max_partitions": 10}, None),
+     ({"parts_per_day": 5, "split_on": "key", "max_partitions": 2}, None),
+     ({"parts_per_day": {dt.date(2024, 1, 20): 7}}, 30),
+     ({"parts_per_day": {dt.date(2024, 1, 20): 7}, "split_on": "key"}, 30),
+     ({"parts_per_day": {dt.date(2024, 1, 7): 50, LAST: 50}, "max_partitions": 20}, None)],
 )
 def test_each_row_is_read_once(spark, sf_dir, options, partitions):
     clauses = day_predicates("ts", FIRST, LAST, **options)
-    assert len(clauses) == partitions
+    if partitions:
+        assert len(clauses) == partitions
+    else:
+        assert options["max_partitions"] // 2 <= len(clauses) <= options["max_partitions"]
     # Keys of both signs, and a third of them null.
     key = F.when(F.col("event_id") % 3 != 0, 5000 - F.col("event_id"))
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("key", key)
@@ -41,6 +47,12 @@ def test_each_row_is_read_once(spark, sf_dir, options, partitions):
     assert hits(events, clauses) == {0: events.count() - inside, 1: inside}
 
 
+def test_heavy_days_keep_their_share_under_a_cap():
+    parts = {dt.date(2024, 1, 20): 100}
+    clauses = day_predicates("ts", FIRST, LAST, parts_per_day=parts, max_partitions=30)
+    assert len([c for c in clauses if "2024-01-20 0" in c or "2024-01-20 1" in c]) >= 15
+
+
 def test_date_column(spark):
     clauses = day_predicates("d", FIRST, dt.date(2024, 1, 8), "date")
     assert clauses == [
@@ -110,7 +122,7 @@ NOWHERE = "jdbc:nowhere://host/db"
 
 
 def test_unreachable_source(spark):
-    source = JdbcSource(NOWHERE, {"fetchsize": "10000"}, parts_per_day=2, max_partitions=8)
+    source = JdbcSource(NOWHERE, {"fetchsize": "10000"}, rows_per_partition=1000, max_partitions=8)
     with pytest.raises(Exception, match="No suitable driver"):
         source(spark, SPEC, FIRST, LAST)
     report = preflight(spark, [source.probe(SPEC)]).first()
@@ -155,3 +167,20 @@ def test_queries_left_to_the_database(spark, sf_dir):
     expected = events.where("ts >= '2024-01-07'").groupBy(F.to_date("ts").alias("day")).count()
     assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, expected.collect()))
     assert counts.count() == 23
+
+
+def test_hot_day_is_cut_by_its_rows(spark):
+    start = F.lit("2024-01-07").cast("timestamp_ntz")
+    day = F.when(F.col("id") % 3 == 0, 13).otherwise(F.col("id") % 24).cast("int")
+    hour = (F.col("id") % 23).cast("int")
+    rows = spark.range(9000).select((start + F.make_dt_interval(day, hour)).alias("Time"), "id")
+    rows.createOrReplaceTempView("src")
+    for split_on in (None, "id"):
+        source = SparkSource(NOWHERE, {}, rows_per_partition=500, split_on=split_on)
+        clauses = source.predicates(spark, SPEC, FIRST, LAST)
+        assert hits(rows, clauses) == {1: 9000}
+        sizes = [rows.where(c).count() for c in clauses]
+        assert max(sizes) <= 600 and len(clauses) < 40
+    rows.select(F.to_date("Time").alias("Time"), "id").createOrReplaceTempView("src")
+    with pytest.raises(ValueError, match="split_on"):
+        SparkSource(NOWHERE, {}, rows_per_partition=500).predicates(spark, SPEC, FIRST, LAST)
