@@ -361,3 +361,10 @@ ORACLES["sync_run"] = " union all ".join(
                    from {view} group by 1) c using (day)"""
     for view, time, target, _ in _TABLES[1:]
 )
+ORACLES["sync_ledger"] = f"""
+    select cast(id as bigint) as id, status, tables_migrated, total_records,
+           cast(null as varchar) as error_message
+    from (select 1 as id, 'running' as status, 'all' as tables_migrated, cast(0 as bigint) as total_records
+          union all select 2, 'success', 'all', count(*) {_window("events", "ts", 24)}
+          union all select 3, 'running', 'ods_query', 0
+          union all select 4, 'success', 'ods_query', count(*) {_window("events", "ts", 7)})"""

@@ -430,6 +430,24 @@ def sync_run(spark, sf_dir):
     return results.select("source_table", "target_table", "day", "records", "status")
 
 
+def sync_ledger(spark, sf_dir):
+    """The ledger after a run with all defaults and a second one for the last 7 days."""
+    base = shared_dir(spark, "ledger")
+    store = RunStore(f"{base}/store")
+    for tables, days in ((None, None), (["ods_query"], 7)):
+        sync(
+            spark,
+            [EVENTS],
+            standins.source(sf_dir),
+            ParquetTarget(f"{base}/data"),
+            store,
+            as_of=_newest(spark, sf_dir, EVENTS),
+            tables=tables,
+            days=days,
+        )
+    return store.ledger(spark).select("id", "status", "tables_migrated", "total_records", "error_message")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -478,5 +496,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         window_reload_idempotent,
         window_reload_stale_days,
         sync_run,
+        sync_ledger,
     )
 }
