@@ -15,7 +15,7 @@ from dayferry.frames import small_frame
 from dayferry.operators.ledger import run_record
 from dayferry.operators.project import column, map_typed
 from dayferry.operators.status import STATUS_SCHEMA
-from dayferry.operators.window import window_bounds
+from dayferry.operators.window import between_days, window_bounds
 from dayferry.plans.tasks import day_coverage, day_tasks, table_windows
 from dayferry.registry import DAY, ColumnSpec, TableSpec, check_days, select_tables, window_days
 from dayferry.sources.store import RunStore
@@ -90,6 +90,8 @@ def _copy_table(spark, spec, read, target, as_of, days) -> dict:
         missing = spec.missing_columns(rows.columns)
         if missing:
             raise ValueError(f"{spec.source_table} lacks mapped columns: {', '.join(missing)}")
+        # A reader may return more than it was asked for; no other day may be replaced.
+        rows = between_days(rows, spec.time_column, first, last)
         written = target.replace_days(with_day(rows, spec), spec, first, last)
         return {"target_table": spec.target_table, "written": written, "error": None}
     except Exception as e:

@@ -73,6 +73,13 @@ def test_whole_run(setup, sf_dir):
     ).count() == 0
 
 
+def test_reader_that_returns_more_than_the_window(setup, sf_dir):
+    setup["read"] = lambda spark, spec, first, last: spark.read.parquet(f"{sf_dir}/events.parquet")
+    results = dayferry.sync(registry=[EVENTS], **setup)
+    assert results.agg(F.sum("records")).first()[0] == 7954
+    assert setup["target"].table(setup["spark"], EVENTS).agg(F.min("day")).first()[0] == dt.date(2024, 1, 7)
+
+
 def test_rerun_subset_and_days(setup):
     dayferry.sync(registry=[EVENTS, CLICKS], **setup)
     again = dayferry.sync(registry=[EVENTS, CLICKS], tables=["ods_query"], days=3, **setup)
