@@ -85,6 +85,19 @@ def day_tasks(windows: DataFrame, priority: Column | None = None) -> DataFrame:
     )
 
 
+def with_columns(tasks: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Each task with the columns of its table as (name, type), in mapping order.
+
+    ``mapping`` is a ``mapping_frame``; its groups are as long as a table is wide.
+    """
+    entry = F.struct(
+        "position", F.col("target_column").alias("name"), F.col("proposed_type").alias("type")
+    )
+    ordered = F.transform(F.sort_array(F.collect_list(entry)), lambda c: F.struct(c["name"], c["type"]))
+    columns = mapping.groupBy("target_table").agg(ordered.alias("columns"))
+    return tasks.join(columns, "target_table", "left").select(*tasks.columns, "columns")
+
+
 def order_tasks(tasks: DataFrame, limit: int | None = None) -> DataFrame:
     """Lowest priority number first; task ids only break ties."""
     ordered = tasks.orderBy("priority", "task_id")

@@ -226,7 +226,9 @@ ORACLES: dict[str, str] = {
         union all select 'day', 'date', count(*), count(day), 0 from t
         union all select 'sales14d', 'decimal(18,4)', count(*), count(sales14d),
           count(sales14d) - count(try_cast(sales14d as decimal(18, 4))) from t""",
-    "day_task_plan": _plan(),
+    "day_task_plan": f"""
+        select *, cast(case target_table when 'ods_campain' then 5 else 6 end as bigint) as column_count
+        from ({_plan()})""",
     "task_order_topk": f"""
         select task_id, -records as priority, target_table, day,
                'MigrationTask(id=' || task_id || ', priority=' || -records || ', date=' || date_str

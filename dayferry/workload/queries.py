@@ -167,8 +167,11 @@ def typed_projection_failures(spark, sf_dir):
 
 
 def day_task_plan(spark, sf_dir):
+    """All tasks, with the number of columns each one carries."""
     newest = standins.newest_days(spark, sf_dir)
-    return tasks.day_tasks(tasks.table_windows(spark, REGISTRY, newest))
+    planned = tasks.day_tasks(tasks.table_windows(spark, REGISTRY, newest))
+    planned = tasks.with_columns(planned, mapping_frame(spark, REGISTRY))
+    return planned.withColumn("column_count", F.size("columns").cast("bigint")).drop("columns")
 
 
 def _covered(spark, sf_dir, days=None) -> DataFrame:

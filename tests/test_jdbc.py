@@ -4,8 +4,11 @@ No driver knows the URL below, so calls go as far as the driver lookup and open
 """
 
 import datetime as dt
+import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dayferry.registry import DAY, TableSpec, mapping
@@ -47,6 +50,32 @@ def test_each_row_is_read_once(spark, sf_dir, options, partitions):
     assert hits(events, clauses) == {0: events.count() - inside, 1: inside}
 
 
+@given(
+    days=st.integers(1, 365),
+    heavy=st.dictionaries(st.integers(0, 364), st.integers(1, 400), max_size=8),
+    cap=st.none() | st.integers(1, 500),
+    split_on=st.sampled_from([None, "k"]),
+)
+@settings(deadline=None)
+def test_clauses_tile_the_window(days, heavy, cap, split_on):
+    last = FIRST + dt.timedelta(days=days - 1)
+    parts = {FIRST + dt.timedelta(days=d): n for d, n in heavy.items()}
+    clauses = day_predicates("t", FIRST, last, "timestamp", parts, split_on, cap)
+    assert cap is None or len(clauses) <= cap
+    spans = {}
+    for c in clauses:
+        start, end = re.findall(r"'([^']+)'", c)
+        part = re.search(r"MOD\(`k`, (\d+)\)\) = (\d+)", c)
+        spans.setdefault((start, end), []).append((int(part[1]), int(part[2])) if part else (1, 0))
+    edges = sorted(spans)
+    assert edges[0][0] == f"{FIRST} 00:00:00.000000"
+    assert edges[-1][1] == f"{last + dt.timedelta(days=1)} 00:00:00.000000"
+    assert all(a[1] == b[0] for a, b in zip(edges, edges[1:]))
+    for found in spans.values():
+        n = found[0][0]
+        assert sorted(found) == [(n, i) for i in range(n)]
+
+
 def test_heavy_days_keep_their_share_under_a_cap():
     parts = {dt.date(2024, 1, 20): 100}
     clauses = day_predicates("ts", FIRST, LAST, parts_per_day=parts, max_partitions=30)

@@ -10,9 +10,10 @@ from dayferry.plans.tasks import (
     missing_days,
     order_tasks,
     table_windows,
+    with_columns,
 )
 from dayferry.operators.window import window_bounds
-from dayferry.registry import REPORT_TABLES
+from dayferry.registry import REPORT_TABLES, mapping_frame
 
 AS_OF = dt.date(2024, 3, 1)
 
@@ -44,6 +45,14 @@ def test_days_override_and_dates_per_table(spark):
     ]
 
 
+def test_tasks_carry_the_columns_of_their_table(spark):
+    rows = with_columns(plan(spark, 2), mapping_frame(spark, REPORT_TABLES)).collect()
+    assert len(rows) == 8
+    for spec in REPORT_TABLES:
+        for r in (r for r in rows if r.target_table == spec.target_table):
+            assert [(c.name, c.type) for c in r.columns] == [(c.target, c.type) for c in spec.columns]
+
+
 def test_order_is_by_priority_then_id(spark):
     tasks = plan(spark, 3).withColumn("priority", -F.col("table_index"))
     assert [r.task_id for r in order_tasks(tasks, 4).collect()] == [10, 11, 12, 7]
