@@ -80,6 +80,13 @@ def test_reader_that_returns_more_than_the_window(setup, sf_dir):
     assert setup["target"].table(setup["spark"], EVENTS).agg(F.min("day")).first()[0] == dt.date(2024, 1, 7)
 
 
+def test_store_before_the_first_run(setup):
+    for _ in range(2):
+        setup["store"].create(setup["spark"])
+        assert ledger(setup) == [] and status(setup) == []
+        assert setup["store"].next_id(setup["spark"]) == 1
+
+
 def test_rerun_subset_and_days(setup):
     dayferry.sync(registry=[EVENTS, CLICKS], **setup)
     again = dayferry.sync(registry=[EVENTS, CLICKS], tables=["ods_query"], days=3, **setup)
