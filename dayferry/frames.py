@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Iterable, Mapping
 
@@ -23,11 +21,6 @@ _ARROW = {
 }
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="run-")
-
-
 def small_frame(spark: SparkSession, rows: Iterable[Mapping], schema: T.StructType) -> DataFrame:
     """A literal frame for a handful of driver-side rows.
 
@@ -41,12 +34,20 @@ def small_frame(spark: SparkSession, rows: Iterable[Mapping], schema: T.StructTy
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for written tables, under the folder the cluster names for checkpoints.
 
-    Executors write there, so it must be shared. Only a local session that names none
-    gets a temporary folder.
+    Executors write there, so it must be shared. A session that names none gets a folder beside
+    its warehouse tables, which every executor reaches too; never a temporary folder of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = _local_scratch()
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to a shared folder and read back, so that later jobs don't compute it again.
+
+    Unlike a cached frame it survives lost executors.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
