@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from dayferry.llm.mixing import op4_entropy_mixing
+from dayferry.llm.packing import op1_window_packing
 from dayferry.llm.quality import op2_llr_quality
+from dayferry.llm.rans import op7_rans_tokens
 
 QUERIES: dict[str, Callable] = {
     f.__name__: f
     for f in (
+        op1_window_packing,
         op2_llr_quality,
         op4_entropy_mixing,
+        op7_rans_tokens,
     )
 }
 
