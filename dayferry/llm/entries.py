@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from dayferry.llm.chat import op9_chat_windows
 from dayferry.llm.mixing import op4_entropy_mixing
 from dayferry.llm.packing import op1_window_packing
 from dayferry.llm.quality import op2_llr_quality
 from dayferry.llm.rans import op7_rans_tokens
+from dayferry.llm.warc import OP8_SQL, op8_seekable_warc
 
 QUERIES: dict[str, Callable] = {
     f.__name__: f
@@ -16,7 +18,9 @@ QUERIES: dict[str, Callable] = {
         op2_llr_quality,
         op4_entropy_mixing,
         op7_rans_tokens,
+        op8_seekable_warc,
+        op9_chat_windows,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_seekable_warc": OP8_SQL}
