@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from dayferry.llm.text import WORD, packed, unpacked, word_array
 
 BUCKETS = 32_768
+TRUSTED_DOCS = 50_000  # trusted ids that are learnt from at most, those with the smallest hashes
 PRIOR = 65_536.0  # n-grams of the raw corpus that smooth the trusted counts
 THRESHOLD = -0.05  # nats per n-gram
 MIN_WORDS = 50
@@ -35,16 +36,18 @@ def _buckets(hashes: Column, buckets: int) -> Column:
     return F.concat(F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int")), pairs)
 
 
-def bucket_weights(docs: DataFrame, trusted: DataFrame, id_column: str, text_column: str, buckets: int) -> list[float]:
+def bucket_weights(
+    docs: DataFrame, trusted: DataFrame, id_column: str, text_column: str, buckets: int, trusted_docs: int
+) -> list[float]:
     """The log ratio of each bucket, rounded: as many numbers as buckets, whatever the size of the corpus.
 
-    Counts cover all documents. Each task sums its own buckets before the shuffle. ``trusted`` has
-    the ids of the trusted documents, once each.
+    The raw counts cover all documents; the trusted ones cover at most ``trusted_docs`` ids, so that
+    they can be broadcast and no text is shuffled. Each task sums its own buckets before the shuffle.
     """
-    marks = trusted.select(F.col(id_column).alias("__id")).distinct().withColumn("__trusted", F.lit(1))
+    ids = trusted.select(F.col(id_column).alias("__id")).where(F.col("__id").isNotNull()).distinct()
+    marks = ids.orderBy(F.xxhash64(F.lit(2), "__id"), "__id").limit(trusted_docs).withColumn("__trusted", F.lit(1))
     texts = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text"))
-    # Only ids are shuffled with the labels; the text goes to them, unless the labels are few.
-    known = texts.join(marks, "__id", "left")
+    known = texts.join(F.broadcast(marks), "__id", "left")
     grams = known.select(
         "__trusted", F.explode(_buckets(_word_hashes(word_array(F.col("__text"))), buckets)).alias("bucket")
     )
@@ -121,6 +124,7 @@ def judge(
     text_column: str = "text",
     buckets: int = BUCKETS,
     threshold: float = THRESHOLD,
+    trusted_docs: int = TRUSTED_DOCS,
 ) -> DataFrame:
     """All columns of ``docs`` with the counts of the base rules, ``quality_score`` and ``kept``.
 
@@ -130,7 +134,7 @@ def judge(
     judged alike, an empty table stays empty. Whole texts are read, of any length; each row is
     judged where it lies. Other columns pass through, but for those that have an added name.
     """
-    weights = bucket_weights(docs, trusted, id_column, text_column, buckets)
+    weights = bucket_weights(docs, trusted, id_column, text_column, buckets, trusted_docs)
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")  # folded to a literal
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(packed(docs), text.alias("__text"), word_array(text).alias("__words"))
