@@ -9,6 +9,7 @@ from dayferry.llm.mixing import op4_entropy_mixing
 from dayferry.llm.packing import op1_window_packing
 from dayferry.llm.quality import op2_llr_quality
 from dayferry.llm.rans import op7_rans_tokens
+from dayferry.llm.toxicity import op10_kneser_ney_toxicity
 from dayferry.llm.warc import OP8_SQL, op8_seekable_warc
 
 QUERIES: dict[str, Callable] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable] = {
         op7_rans_tokens,
         op8_seekable_warc,
         op9_chat_windows,
+        op10_kneser_ney_toxicity,
     )
 }
 
