@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from dayferry.llm.chat import op9_chat_windows
+from dayferry.llm.jaccard import op6_chosen_path_join
 from dayferry.llm.mixing import op4_entropy_mixing
 from dayferry.llm.packing import op1_window_packing
 from dayferry.llm.quality import op2_llr_quality
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable] = {
         op1_window_packing,
         op2_llr_quality,
         op4_entropy_mixing,
+        op6_chosen_path_join,
         op7_rans_tokens,
         op8_seekable_warc,
         op9_chat_windows,
