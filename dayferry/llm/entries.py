@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from dayferry.llm.chat import op9_chat_windows
+from dayferry.llm.ctw import op5_context_tree_score
 from dayferry.llm.jaccard import op6_chosen_path_join
 from dayferry.llm.mixing import op4_entropy_mixing
+from dayferry.llm.multi_index import op3_multi_index_search
 from dayferry.llm.packing import op1_window_packing
 from dayferry.llm.quality import op2_llr_quality
 from dayferry.llm.rans import op7_rans_tokens
@@ -18,7 +20,9 @@ QUERIES: dict[str, Callable] = {
     for f in (
         op1_window_packing,
         op2_llr_quality,
+        op3_multi_index_search,
         op4_entropy_mixing,
+        op5_context_tree_score,
         op6_chosen_path_join,
         op7_rans_tokens,
         op8_seekable_warc,
