@@ -1,8 +1,75 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: from raw documents to packed sequences.
 
-STAGES = []
-ORACLE_SQL = None
+Each stage takes all that the stage before has kept, and returns the rows that go on. Between the stages
+tables are written, so a lost executor costs a stage's tasks at most.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    raise ValueError("no stages")
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dayferry.frames import written
+from dayferry.llm.jaccard import one_of_each_class
+from dayferry.llm.mixing import mix
+from dayferry.llm.packing import pack
+from dayferry.llm.quality import judge, trusted_ids
+from dayferry.llm.toxicity import score_toxicity
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    judged = judge(docs, trusted_ids(_labels(spark, sf_dir)))
+    return _columns(judged.where("kept"), docs)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic."""
+    scored = score_toxicity(docs, _labels(spark, sf_dir).select("doc_id", "toxic"))
+    return _columns(scored.where(F.col("predicted") == 0), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar texts."""
+    return one_of_each_class(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    mixed = mix(docs).withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return _columns(mixed, docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents, packed into sequences."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("quality", quality),
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("mixture", mixture),
+    ("packing", packing),
+]
+
+ORACLE_SQL = None  # SQL has no trained models, sampled paths or tokenizers
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

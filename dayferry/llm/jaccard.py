@@ -242,7 +242,7 @@ def find_classes(
     words: int = WORDS,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The columns of ``docs`` (or those named) with ``class_id``, ``n_links``, ``n_copies`` and ``keeper``.
+    """The columns of ``docs`` (or those named) with class_id, n_links, n_copies, text_digest and keeper.
 
     Two texts are linked if their sets of shingles have a Jaccard similarity of ``similarity`` or more; a
     class is what is connected by links. ``class_id`` is the least id of the class (null if it has none),
@@ -302,10 +302,19 @@ def find_classes(
         class_id=F.when(single, F.col("__id")).otherwise(F.col("class_id")),
         n_links=F.coalesce(F.col("links"), F.lit(0).cast("bigint")),
         n_copies=F.coalesce(F.col("copies"), F.lit(1).cast("bigint")),
+        text_digest=F.col("__digest"),
         keeper=single | ((F.col("__digest") == F.col("keeps")) & F.col("__id").eqNullSafe(F.col("least_id"))),
     )
 
 
+def one_of_each_class(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that keep their class, one of those that repeat as a whole."""
+    found = find_classes(docs, **settings)
+    # Rows of one text lie together after the join with their classes, so this needs no other shuffle.
+    once = found.where("keeper").dropDuplicates(["class_id", "text_digest"])
+    return once.select(*[once[f"`{c}`"] for c in docs.columns])
+
+
 def op6_chosen_path_join(spark, sf_dir):
     """The class of every document, and how many other texts it is linked to."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -154,6 +154,9 @@ def judge(
         F.round(F.when(n > 0, total / (2 * n)).otherwise(0.0), 6).alias("score"),
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    # The row's number, always 0 or more, keeps a caller's filter on the verdict above the counts: pushed
+    # below, it would repeat them inside each other.
+    here = F.monotonically_increasing_id() >= 0
     return unpacked(
         counted,
         docs,
@@ -163,7 +166,7 @@ def judge(
         n_dup_lines=F.col("n_dup_lines"),
         n_repeat_words=F.col("n_repeat_words"),
         base_failed=failed,
-        kept=~failed & (F.col("score") >= threshold),
+        kept=~failed & (F.col("score") >= threshold) & here,
         quality_score=F.col("score"),
     )
 
