@@ -82,8 +82,9 @@ def _repeated_words(hashes: Column) -> Column:
     """
 
     def covered(starts: Column) -> Column:
-        later = [F.transform(starts, lambda p, k=k: p + F.lit(k)) for k in (1, 2)]
-        return F.size(F.array_distinct(F.concat(starts, *later)))
+        # Of one parameter each: a second one of a lambda is the place in the array.
+        second, third = F.transform(starts, lambda p: p + 1), F.transform(starts, lambda p: p + 2)
+        return F.size(F.array_distinct(F.concat(starts, second, third)))
 
     def by_lookup(windows: Column, again: Column) -> Column:
         places = F.transform(windows, lambda h, i: F.when(F.array_contains(again, h), i))
