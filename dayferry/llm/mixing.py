@@ -146,7 +146,7 @@ def copy_rules(sizes: DataFrame, dual: DataFrame, hashes: DataFrame, cap: float)
     known = _join(sizes, dual, ["source"], "left")
     full = F.col("target") >= F.col("source_size") * float(cap) * (1 - 1e-12)
     rate = F.when(full, F.lit(float(cap))).otherwise(_rate(F.col("lam"), F.col("size"), F.col("mean"), cap))
-    exact = F.coalesce(F.round(rate, 6), F.lit(1.0)).cast("decimal(12,6)")
+    exact = F.when(F.col("size") > 0, F.round(rate, 6)).otherwise(1.0).cast("decimal(12,6)")
     along = Window.partitionBy("source").orderBy("size")
     rated = (
         known.select("source", "size", "n", "buckets", exact.alias("rate"))
