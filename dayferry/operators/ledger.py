@@ -22,6 +22,7 @@ from dayferry.functions import (
 )
 
 DEFAULT_LIMIT = 50
+MAX_LIMIT = 2**31 - 1
 
 LEDGER_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -95,11 +96,12 @@ def latest_run_state(ledger: DataFrame) -> DataFrame:
 
 
 def history_limit(limit=None) -> int:
-    """The limit of a history request: 50 when it is missing or no integer."""
+    """The limit of a history request: 50 when it is missing or no integer; -1, no limit, beyond Spark's integers."""
     try:
-        return int(limit)
-    except (TypeError, ValueError):
+        n = int(limit)
+    except (TypeError, ValueError, OverflowError):
         return DEFAULT_LIMIT
+    return n if n <= MAX_LIMIT else -1
 
 
 def run_history(ledger: DataFrame, limit=None) -> DataFrame:

@@ -80,21 +80,23 @@ def status_document(
 ) -> DataFrame:
     """One row about the newest run: its state and error, and the totals of its task results.
 
-    Both inputs shrink to one row in their own aggregate; the newest ledger row enters as a
-    scalar subquery, so nothing is joined.
+    ``results`` are those of the newest run. The id is that of the newest row that says ``running``, also
+    once the run has ended; only a failure leaves an error, a stop does not. All inputs shrink to
+    one row in their own aggregate; the ledger's enter as scalar subqueries, so nothing is joined.
     """
-    newest = ledger.agg(
-        F.max_by(F.struct("id", "start_time", "status", "error_message"), F.struct("start_time", "id"))
-    ).scalar()
+    order = F.struct("start_time", "id")
+    newest = ledger.agg(F.max_by(F.struct("start_time", "status", "error_message"), order)).scalar()
+    opened = ledger.where(F.col("status") == "running").agg(F.max_by("id", order)).scalar()
     pairs = [F.lit(x) for pair in (settings or {}).items() for x in pair]
     return (
         run_totals(results)
         .withColumn("newest", newest)
+        .withColumn("opened", opened)
         .select(
             F.coalesce(F.col("newest.status") == "running", F.lit(False)).alias("is_running"),
-            F.col("newest.id").alias("current_migration_id"),
+            F.col("opened").alias("current_migration_id"),
             F.col("newest.start_time").alias("migration_start_time"),
-            F.col("newest.error_message").alias("last_error"),
+            F.when(F.col("newest.status") == "failed", F.col("newest.error_message")).alias("last_error"),
             "total_records",
             "completed_tasks",
             "failed_tasks",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dayferry.registry import REPORT_TABLES
+from dayferry.workload.expected_columns import EXPECTED
 
 # --- shared pieces ------------------------------------------------------------------------------
 
@@ -161,6 +161,96 @@ _TYPED = """
   from events"""
 
 
+def _mapping_catalog() -> str:
+    inputs = {
+        "ods_query": "select event_id as key from events",
+        "ods_campain": "select o_orderkey as key from orders",
+        "ods_campaign_dsp": "select l_orderkey as key from lineitem",
+        "ods_aws_asin_philips": "select p_partkey as key from part",
+    }
+    expected: dict[str, list[list[str]]] = {}
+    for line in EXPECTED.split("\n"):
+        if line:
+            expected.setdefault(line.split("|")[0], []).append(line.split("|")[1:])
+    parts = []
+    for table, columns in expected.items():
+        names = ", ".join(f"({i}, '{s}', '{t}', '{k}')" for i, (s, t, k) in enumerate(columns))
+        parts.append(f"""
+          select '{table}' as target_table, target_column, cast(position as bigint) as position,
+                 source_column, proposed_type,
+                 (select count(*) from ({inputs[table]}) t where t.key % (position + 2) <> 0)
+                   as filled
+          from (values {names}) v(position, source_column, target_column, proposed_type)""")
+    return " union all ".join(parts)
+
+
+def _covered(days: int | None = None) -> str:
+    return f"""
+      select p.*, coalesce(c.records, 0) as records
+      from ({_plan(days)}) p left join ({_all_counts(days)}) c using (target_table, day)"""
+
+
+def _text(x: str) -> str:
+    return f"year({x}) || '/' || month({x}) || '/' || day({x}) || ' ' || strftime({x}, '%H:%M:%S')"
+
+
+def _parts(s: str) -> tuple[str, str, str]:
+    return (
+        f"cast(floor({s} / 3600) as bigint)",
+        f"cast(floor(({s} % 3600) / 60) as bigint)",
+        f"cast(floor({s} % 60) as bigint)",
+    )
+
+
+def _duration(s: str) -> str:
+    h, m, sec = _parts(s)
+    return f"""case when {s} is null or {s} = 0 then '-'
+        when {h} > 0 then {h} || '时 ' || {m} || '分 ' || {sec} || '秒'
+        when {m} > 0 then {m} || '分 ' || {sec} || '秒' else {sec} || '秒' end"""
+
+
+def _elapsed(s: str) -> str:
+    h, m, sec = _parts(s)
+    return f"{h} || '时 ' || {m} || '分 ' || {sec} || '秒'"
+
+
+def _label(x: str) -> str:
+    return f"""case {x} when 'success' then '成功' when 'failed' then '失败' when 'stopped' then '已停止'
+        when 'running' then '运行中' when 'syncing' then '同步中' when 'idle' then '空闲' else {x} end"""
+
+
+def _run_class(x: str) -> str:
+    return f"""case when {x} in ('success', 'failed', 'stopped', 'running')
+        then 'status-' || {x} else 'status-idle' end"""
+
+
+def _table_class(x: str) -> str:
+    return f"""case {x} when 'success' then 'status-success' when 'failed' then 'status-failed'
+        when 'syncing' then 'status-running' else 'status-idle' end"""
+
+
+def _thousands(n: str) -> str:
+    return f"format('{{:,}}', coalesce({n}, 0))"
+
+
+def _dash(x: str) -> str:
+    return f"coalesce(nullif({x}, ''), '-')"
+
+
+_EVENT_STATUS = """
+  select event_id, case event_id % 9 when 0 then 'success' when 1 then 'failed' when 2 then 'stopped'
+    when 3 then 'running' when 4 then 'syncing' when 5 then 'idle' when 6 then 'paused'
+    when 7 then '' end as status
+  from events"""
+
+_TYPED = """
+  select event_id,
+         case when event_id % 10 = 0 then 'n/a' else cast(event_id as varchar) end as number,
+         regexp_extract(props, '"k": *([0-9]+)', 1) as k, cast(ts as date) as day,
+         case when event_type = 'view' then value || ' EUR' else cast(value as varchar) end as sales14d
+  from events"""
+
+
 def _mapping_catalog() -> str:
     inputs = {
         "ods_query": "select event_id as key from events",
@@ -241,10 +331,8 @@ ORACLES: dict[str, str] = {
     "missing_days": """
         select 'ods_campain' as target_table, cast(as_of - 364 + cast(i as integer) as date) as day,
                i + 1 as task_id
-        from (select cast(max(o_orderdate) as date) as as_of from orders), range(365) r(i)
-        where not exists (
-          select 1 from orders where o_orderpriority = '1-URGENT' and o_orderstatus = 'O'
-          and cast(o_orderdate as date) = as_of - 364 + cast(i as integer))""",
+        from (select cast(max(o_orderdate) as date) + 30 as as_of from orders), range(365) r(i)
+        where not exists (select 1 from orders where cast(o_orderdate as date) = as_of - 364 + cast(i as integer))""",
     "run_ledger_append": f"""
         with {_LEDGER} select * from ledger
         union all select 1000000000000000, timestamp '2024-02-01 09:00:00',
@@ -285,16 +373,18 @@ ORACLES: dict[str, str] = {
           || ',"duration_seconds":' || duration_seconds || '}}' as json
         from ledger""",
     "status_document": f"""
-        with {_LEDGER}, newest as (select * from collapsed order by start_time desc, id desc limit 1)
-        select n.status = 'running' as is_running, n.id as current_migration_id,
-               n.start_time as migration_start_time, n.error_message as last_error,
+        with {_LEDGER}, newest as (select * from collapsed order by start_time desc, id desc limit 1),
+        opened as (select id from ledger where status = 'running' order by start_time desc, id desc limit 1)
+        select n.status = 'running' as is_running, (select id from opened) as current_migration_id,
+               n.start_time as migration_start_time,
+               case when n.status = 'failed' then n.error_message end as last_error,
                t.*, '{{}}' as progress_info,
                '{{"ods_query_days":"24","other_tables_days":"60"}}' as config
         from newest n, (
           select cast(sum(total_records) as bigint) as total_records,
                  count(*) filter (status = 'success') as completed_tasks,
                  count(*) filter (status = 'failed') as failed_tasks
-          from collapsed) t""",
+          from collapsed where start_time = (select start_time from newest)) t""",
     "run_duration_text": f"""
         select event_id, {_duration("s")} as duration_text from (
           select event_id, case event_id % 5 when 1 then 0.0::double when 2 then value

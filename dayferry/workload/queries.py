@@ -47,30 +47,37 @@ def _all_window_counts(spark, sf_dir, specs=REGISTRY, days=None, as_of=None) ->
     ])
 
 
+def _newest_window(spark, sf_dir, spec: TableSpec) -> DataFrame:
+    """The window that ends with the newest day, given as a date as in production, so that it prunes."""
+    newest = standins.as_of(spark, sf_dir, [spec])
+    return _window_counts(spark, sf_dir, spec, as_of=newest[spec.target_table])
+
+
 def window_sync(spark, sf_dir):
     """Records per day that tonight's sync would carry."""
-    return _window_counts(spark, sf_dir, EVENTS)
+    return _newest_window(spark, sf_dir, EVENTS)
 
 
 def window_sync_orders(spark, sf_dir):
-    return _window_counts(spark, sf_dir, ORDERS)
+    return _newest_window(spark, sf_dir, ORDERS)
 
 
 def window_sync_lineitem(spark, sf_dir):
-    return _window_counts(spark, sf_dir, LINEITEM)
+    return _newest_window(spark, sf_dir, LINEITEM)
 
 
 def window_days_override(spark, sf_dir):
-    return _all_window_counts(spark, sf_dir, days=7)
+    return _all_window_counts(spark, sf_dir, days=7, as_of=standins.as_of(spark, sf_dir))
 
 
 def table_subset(spark, sf_dir):
     chosen = select_tables(REGISTRY, ["ods_query", "ods_campaign_dsp"])
-    return _all_window_counts(spark, sf_dir, chosen)
+    return _all_window_counts(spark, sf_dir, chosen, as_of=standins.as_of(spark, sf_dir, chosen))
 
 
 def table_subset_all(spark, sf_dir):
-    return _all_window_counts(spark, sf_dir, select_tables(REGISTRY, []))
+    chosen = select_tables(REGISTRY, [])
+    return _all_window_counts(spark, sf_dir, chosen, as_of=standins.as_of(spark, sf_dir, chosen))
 
 
 def day_counts(spark, sf_dir):
@@ -79,8 +86,11 @@ def day_counts(spark, sf_dir):
 
 def table_registry(spark, sf_dir):
     """The shipped registry with the newest day and window size of each stand-in."""
+    newest = standins.as_of(spark, sf_dir)
     found = standins.stack([
-        window.rolling_window(table(spark, sf_dir, s.source_table), s.time_column, s.default_days)
+        window.rolling_window(
+            table(spark, sf_dir, s.source_table), s.time_column, s.default_days, newest[s.target_table]
+        )
         .agg(F.to_date(F.max(s.time_column)).alias("as_of"), F.count(F.lit(1)).alias("records"))
         .withColumn("target_table", F.lit(s.target_table))
         for s in REGISTRY
@@ -168,7 +178,7 @@ def typed_projection_failures(spark, sf_dir):
 
 def day_task_plan(spark, sf_dir):
     """All tasks, with the number of columns each one carries."""
-    newest = standins.newest_days(spark, sf_dir)
+    newest = standins.as_of(spark, sf_dir)
     planned = tasks.day_tasks(tasks.table_windows(spark, REGISTRY, newest))
     planned = tasks.with_columns(planned, mapping_frame(spark, REGISTRY))
     return planned.withColumn("column_count", F.size("columns").cast("bigint")).drop("columns")
@@ -197,12 +207,12 @@ def day_coverage(spark, sf_dir):
 
 
 def missing_days(spark, sf_dir):
-    """Days of the last year without an urgent, still open order."""
+    """Days without an order in the year that ends 30 days after the newest one, as a plan made ahead has them."""
     newest = standins.as_of(spark, sf_dir, [ORDERS])
-    orders = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'O'")
-    orders = window.rolling_window(orders, "o_orderdate", 365, newest[ORDERS.target_table])
+    ahead = {t: day + dt.timedelta(days=30) for t, day in newest.items()}
+    orders = window.rolling_window(table(spark, sf_dir, "orders"), "o_orderdate", 365, ahead[ORDERS.target_table])
     found = counts.day_counts(orders, "o_orderdate", F.lit(ORDERS.target_table).alias("target_table"))
-    planned = tasks.day_tasks(tasks.table_windows(spark, [ORDERS], newest, 365))
+    planned = tasks.day_tasks(tasks.table_windows(spark, [ORDERS], ahead, 365))
     return tasks.missing_days(planned, found).select("target_table", "day", "task_id")
 
 
@@ -259,7 +269,8 @@ def rows_to_json(spark, sf_dir):
 
 def status_document(spark, sf_dir):
     runs = latest_run_state(spark, sf_dir)
-    results = runs.select(F.col("total_records").alias("records"), "status")
+    newest = runs.where(F.col("start_time") == runs.agg(F.max("start_time")).scalar())
+    results = newest.select(F.col("total_records").alias("records"), "status")
     settings = {"ods_query_days": "24", "other_tables_days": "60"}
     document = status.status_document(standins.ledger(spark, sf_dir), results, settings)
     return document.withColumns({c: F.to_json(c) for c in ("progress_info", "config")})

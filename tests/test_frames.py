@@ -7,22 +7,19 @@ from pyspark.sql import types as T
 from dayferry.frames import shared_dir, small_frame
 
 
-def session(master, folder=None):
-    conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def session(folder=None):
+    settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://fs/warehouse"}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default))
 
 
 def test_shared_dir_is_new_each_time_and_where_the_cluster_says():
-    spark = session("yarn", "hdfs://fs/checkpoints/")
+    spark = session("hdfs://fs/checkpoints/")
     one, two = shared_dir(spark, "x"), shared_dir(spark, "x")
     assert one != two and one.startswith("hdfs://fs/checkpoints/x-")
 
 
-def test_only_a_local_session_gets_a_temporary_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(session("yarn"), "x")
-    first, second = shared_dir(session("local[2]"), "x"), shared_dir(session("local[2]"), "y")
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+def test_shared_dir_is_beside_the_warehouse_if_none_is_named():
+    assert shared_dir(session(), "x").startswith("hdfs://fs/warehouse/_shared/x-")
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

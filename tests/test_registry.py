@@ -11,9 +11,9 @@ from dayferry.registry import (
     mapping_frame,
     registry_frame,
     select_tables,
-    target_name,
     window_days,
 )
+from dayferry.workload.expected_columns import EXPECTED
 
 
 def _fixture_mapping():
@@ -51,13 +51,17 @@ def test_shipped_order_and_defaults():
     ]
 
 
-@pytest.mark.parametrize(
-    "source, target",
-    [("Impression.rank", "impression_rank"), ("T-Pixel CPA", "tpixel_cpa"), ("eCPDPV", "ecpdpv"),
-     ("Sale_Units_14d", "sale_units14d"), ("PageView CVR", "pageview_cvr"), ("活动Id", "campaign_id")],
-)
-def test_target_name(source, target):
-    assert target_name(source) == target
+def test_every_shipped_column_in_its_place():
+    """Against the values written out for the oracle: names, types and order of all four tables."""
+    expected = [line.split("|") for line in EXPECTED.split("\n") if line]
+    shipped = [[s.target_table, c.source, c.target, c.type] for s in REPORT_TABLES for c in s.columns]
+    assert shipped == expected
+
+
+def test_types_are_a_choice():
+    plain = REPORT_TABLES[0].untyped()
+    assert {c.type for c in plain.columns} == {None}
+    assert plain.target_columns == REPORT_TABLES[0].target_columns
 
 
 def test_table_spec_is_checked():
