@@ -29,7 +29,7 @@ from dayferry.llm.text import packed, unpacked
 from dayferry.llm.tokens import in_slices
 
 SIMILARITY = 0.8
-RECALL = 0.9995
+RECALL = 0.99999
 DEPTH = 3
 BUCKET = 256  # sets that are compared without splitting them further
 BLOCK = 768  # sets in a block of a bucket that can't be split
