@@ -31,7 +31,7 @@ from dayferry.llm.tokens import in_slices
 DEPTH = 5
 #: Strings of context and next byte that the tree is built from at most: those seen least often are left
 #: out, so that what tasks hold has a bound. Sixteen bytes each, and about sixty for their decisions.
-MODEL_STRINGS = 1_000_000
+MODEL_STRINGS = 600_000
 #: Words whose counts tasks hold at most, the most frequent ones; the others' counts are joined.
 HELD_WORDS = 1_000_000
 _FLUSH = 6_000_000
