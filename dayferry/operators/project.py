@@ -57,6 +57,46 @@ def failed_casts(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
     ])
 
 
+_NUMBERS = ("bigint", "int", "smallint", "tinyint", "decimal", "float")
+
+
+def _changed(c: ColumnSpec) -> str:
+    """SQL that tells whether a value that did cast is another one than before.
+
+    Numbers are compared by value, so ``1.50`` as ``1.5000`` is the same. A date is the day of a time, as asked
+    for; text holds any value, and a double is as near as doubles are.
+    """
+    raw, cast, kind = quoted(c.source), _typed(c), c.type.lower()
+    if kind.startswith(_NUMBERS):
+        wide = "decimal(38,10)"
+        return f"NOT coalesce(try_cast({raw} AS {wide}) = try_cast({cast} AS {wide}), false)"
+    if kind.startswith("timestamp"):
+        return f"NOT coalesce(try_cast({raw} AS timestamp_ntz) = try_cast({cast} AS timestamp_ntz), false)"
+    return "false"
+
+
+def _lost(c: ColumnSpec) -> str:
+    raw = quoted(c.source)
+    return f"({raw} IS NOT NULL AND ({_typed(c)} IS NULL OR {_changed(c)}))"
+
+
+def lost_values(columns: Sequence[ColumnSpec]) -> str:
+    """SQL for the number of values over all rows that a load as these types would lose or change."""
+    flags = [f"if({_lost(c)}, 1, 0)" for c in columns if c.type is not None]
+    return f"coalesce(sum({' + '.join(flags)}), 0)" if flags else "0L * count(1)"
+
+
+def cast_losses(df: DataFrame, columns: Sequence[ColumnSpec]) -> DataFrame:
+    """Per typed column: values present, values that did not cast, and values that the cast changed."""
+    return column_report(df, [
+        f"""struct({text(c.target)} AS target_column, {text(c.type)} AS type, count({quoted(c.source)}) AS present,
+            count_if({quoted(c.source)} IS NOT NULL AND {_typed(c)} IS NULL) AS failed,
+            count_if({_lost(c)} AND {_typed(c)} IS NOT NULL) AS changed)"""
+        for c in columns
+        if c.type is not None
+    ])
+
+
 def column_report(df: DataFrame, entries: Sequence[str], chunk: int = 32) -> DataFrame:
     """One row per entry, each the SQL text of a struct of aggregates over the whole input.
 

@@ -44,6 +44,15 @@ def between_days(df: DataFrame, time_column: str, first: dt.date, last: dt.date)
     return _dated(inside, time_column, kind)
 
 
+def undated(df: DataFrame, time_column: str) -> DataFrame:
+    """Rows without a readable day, which no window can hold: a null time, or text that is no padded date.
+
+    For a date or timestamp a null check, which the Parquet reader answers from its statistics.
+    """
+    kind, t = time_type(df, time_column), column(time_column)
+    return df.where(~F.coalesce(_is_iso(t), F.lit(False)) if kind == "string" else t.isNull())
+
+
 def rolling_window(df: DataFrame, time_column: str, days: int, as_of: dt.date | None = None) -> DataFrame:
     """Rows of the last N days up to as_of.
 

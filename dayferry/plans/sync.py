@@ -7,13 +7,13 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayferry.frames import small_frame
 from dayferry.operators.ledger import run_record
-from dayferry.operators.project import column, map_typed
+from dayferry.operators.project import cast_losses, column, lost_values, map_typed
 from dayferry.operators.status import STATUS_SCHEMA
 from dayferry.operators.window import between_days, window_bounds
 from dayferry.plans.tasks import day_coverage, day_tasks, table_windows
@@ -40,6 +40,8 @@ def sync(
     days: int | None = None,
     clock: Callable[[], dt.datetime] = dt.datetime.now,
     concurrent_tables: int = 4,
+    lost_values_allowed: int = 0,
+    undated_rows_allowed: int = 0,
 ) -> DataFrame:
     """Run the sync and return one row per table and day with its records and status.
 
@@ -48,6 +50,11 @@ def sync(
     that fails is reported and does not stop the others. Data is written first, then the table
     status, then the final ledger row. Days are replaced whole and the rest is appended, so a
     run that died is simply run again.
+
+    A table fails, with the counts in its error, if its load lost or changed more values by their types
+    than ``lost_values_allowed``, or if its source has more rows without a readable day than
+    ``undated_rows_allowed``. The rows that could be read are in the target all the same; a larger
+    number allows for what is known. Undated rows are counted by sources that have ``undated``.
     """
     chosen = select_tables(registry, tables)
     if days is not None:
@@ -61,16 +68,18 @@ def sync(
         with ThreadPoolExecutor(concurrent_tables) as pool:
             # The caller's job group and pool hold in these threads too.
             copy = inheritable_thread_target(spark)(_copy_table)
-            copies = [pool.submit(copy, spark, s, read, target, as_of, days) for s in chosen]
+            allowed = lost_values_allowed, undated_rows_allowed
+            copies = [pool.submit(copy, spark, s, read, target, as_of, days, *allowed) for s in chosen]
             outcomes = [c.result() for c in copies]
         results = _task_results(spark, chosen, target, as_of, days, outcomes)
         results = store.write_results(results, run_id)
+        named = F.concat("target_table", F.lit(": "), "error")
         totals = results.agg(
             F.sum("records").alias("total"),
-            F.min("error").alias("error"),
+            F.array_join(F.sort_array(F.collect_set(named)), "; ").alias("error"),  # one for each table at most
             F.count_if(F.col("status") == "failed").alias("failed"),
         ).first()
-        total, error = totals["total"] or 0, totals["error"]
+        total, error = totals["total"] or 0, totals["error"] or None
         ended = clock()
         store.update_status(_status_updates(results, store.status(spark), chosen, ended), run_id)
         status = "failed" if totals["failed"] else "success"
@@ -83,8 +92,9 @@ def sync(
     return results
 
 
-def _copy_table(spark, spec, read, target, as_of, days) -> dict:
+def _copy_table(spark, spec, read, target, as_of, days, lost_values_allowed=0, undated_rows_allowed=0) -> dict:
     first, last = window_bounds(as_of, window_days(spec, days))
+    written = None
     try:
         rows = read(spark, spec, first, last)
         missing = spec.missing_columns(rows.columns)
@@ -92,10 +102,26 @@ def _copy_table(spark, spec, read, target, as_of, days) -> dict:
             raise ValueError(f"{spec.source_table} lacks mapped columns: {', '.join(missing)}")
         # A reader may return more than it was asked for; no other day may be replaced.
         rows = between_days(rows, spec.time_column, first, last)
-        written = target.replace_days(with_day(rows, spec), spec, first, last)
-        return {"target_table": spec.target_table, "written": written, "error": None}
+        seen = Observation()  # counts on the way; a repeated task may count twice, but none is missed
+        counted = rows.observe(seen, F.expr(lost_values(spec.columns)).alias("lost"))
+        written = target.replace_days(with_day(counted, spec), spec, first, last)
+        faults = []
+        if (seen.get.get("lost") or 0) > lost_values_allowed:
+            faults += _losses(rows, spec, lost_values_allowed)
+        unread = read.undated(spark, spec) if hasattr(read, "undated") else 0
+        if unread > undated_rows_allowed:
+            faults.append(f"{unread} rows of {spec.source_table} have no readable {spec.time_column}")
+        return {"target_table": spec.target_table, "written": written, "error": "; ".join(faults) or None}
     except Exception as e:
-        return {"target_table": spec.target_table, "written": None, "error": str(e) or type(e).__name__}
+        return {"target_table": spec.target_table, "written": written, "error": str(e) or type(e).__name__}
+
+
+def _losses(rows: DataFrame, spec: TableSpec, allowed: int) -> list[str]:
+    """What the types lost, column by column, counted anew: only a table with losses pays for this."""
+    found = cast_losses(rows, spec.columns).where("failed + changed > 0").orderBy("target_column").collect()
+    if sum(r["failed"] + r["changed"] for r in found) <= allowed:
+        return []
+    return [f"{r['target_column']} as {r['type']}: {r['failed']} values lost, {r['changed']} changed" for r in found]
 
 
 def with_day(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -109,7 +135,7 @@ def _task_results(spark, chosen, target, as_of, days, outcomes) -> DataFrame:
     tasks = day_tasks(table_windows(spark, chosen, as_of, days))
     counts = small_frame(spark, [], T.StructType.fromDDL("target_table string, day date, records bigint"))
     for spec, outcome in zip(chosen, outcomes):
-        if outcome["error"] is None:
+        if outcome["written"] is not None:
             held = target.day_counts(spark, spec, *window_bounds(as_of, window_days(spec, days)))
             counts = counts.unionByName(held.withColumn("target_table", F.lit(spec.target_table)))
     held = F.sum("records").over(Window.partitionBy("target_table"))  # at most 365 rows each

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from dayferry.operators.window import between_days
+from dayferry.operators.window import between_days, undated
 from dayferry.registry import DAY, TableSpec
 from dayferry.sources.preflight import Probe
 
@@ -43,6 +43,10 @@ class ParquetSource:
             rows = between_days(rows, self.day_partitions[spec.source_table], first, last)
         return between_days(rows, spec.time_column, first, last)
 
+    def undated(self, spark: SparkSession, spec: TableSpec) -> int:
+        """How many rows of the source have no readable day. Only the time column is read."""
+        return undated(self.table(spark, spec.source_table), spec.time_column).count()
+
     def probe(self, spec: TableSpec) -> Probe:
         name = spec.source_table
         return Probe(name, "source", lambda spark: self.table(spark, name), spec.time_column, spec)
@@ -86,21 +90,38 @@ class ParquetTarget:
         return seen.get("records", 0)
 
     def _clear_stale(self, rows, spec, first, last, written_days) -> None:
-        # A dynamic overwrite leaves the days that have become empty at the source.
-        spark = rows.sparkSession
-        kept = F.col(DAY).isin(written_days) if written_days else F.lit(False)
-        stale = self.day_counts(spark, spec, first, last).where(~kept).select(DAY).collect()
-        for (day,) in stale:  # at most the days of the window
-            rows.drop(DAY).limit(0).write.mode("overwrite").parquet(f"{self.path(spec)}/{DAY}={day}")
+        """Drop the days of the window that have become empty at the source; a dynamic overwrite leaves them."""
+        spark, kept = rows.sparkSession, set(written_days)
+        for day, folder in self._folders(spark, spec, first, last):
+            if day not in kept:
+                _file_system(spark, folder).delete(_hadoop_path(spark, folder), True)
+
+    def _folders(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date):
+        """The window's days that have a folder. Each is asked for by name: older days are never listed."""
+        days = [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
+        found = [(d, f"{self.path(spec)}/{DAY}={d}") for d in days]
+        files = _file_system(spark, self.path(spec))
+        return [(d, folder) for d, folder in found if files.exists(_hadoop_path(spark, folder))]
 
     def table(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
         return spark.read.parquet(self.path(spec)).withColumn(DAY, F.col(DAY).cast("date"))
 
     def day_counts(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
-        """Records per day, from the partition values and the row counts in the file footers."""
-        held = spark.read.schema(f"{DAY} date").parquet(self.path(spec))
-        held = held.where(F.col(DAY).between(F.lit(first), F.lit(last)))
+        """Records per day, from the folders' names and the row counts in the file footers."""
+        folders = [folder for _, folder in self._folders(spark, spec, first, last)]
+        if not folders:
+            return spark.createDataFrame([], f"{DAY} date, records bigint")
+        held = spark.read.schema(f"{DAY} date").option("basePath", self.path(spec)).parquet(*folders)
         return held.groupBy(DAY).agg(F.count(F.lit(1)).alias("records"))
 
     def probe(self, spec: TableSpec) -> Probe:
         return Probe(spec.target_table, "target", lambda spark: self.table(spark, spec), DAY)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, as Spark's own readers and writers have it."""
+    return _hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -114,9 +114,10 @@ class _Jdbc:
         """At most one row per day, counted by the database."""
         [inside] = day_predicates(time_column, first, last, "date", max_partitions=1)
         day = f"CAST({quoted(time_column)} AS DATE)"
-        sql = f"SELECT {day} AS d, COUNT(*) AS n FROM {table} WHERE {inside} GROUP BY {day}"
-        counts = self._query(spark, sql).toDF(DAY, "records")
-        return counts.select(F.col(DAY).cast("date"), F.col("records").cast("bigint"))
+        times = f"COUNT(DISTINCT {quoted(time_column)})"
+        sql = f"SELECT {day} AS d, COUNT(*) AS n, {times} AS t FROM {table} WHERE {inside} GROUP BY {day}"
+        counts = self._query(spark, sql).toDF(DAY, "records", "times")
+        return counts.select(F.col(DAY).cast("date"), *[F.col(c).cast("bigint") for c in ("records", "times")])
 
     def _probe(self, kind: str, table: str, time_column: str, spec: TableSpec | None) -> Probe:
         # Spark would fetch the whole time column to aggregate it.
@@ -162,9 +163,18 @@ class JdbcSource(_Jdbc):
         parts = 1
         if self.rows_per_partition:
             counts = self._day_counts(spark, spec.source_table, spec.time_column, first, last)
-            parts = {d: -(-n // self.rows_per_partition) for d, n in counts.collect()}
+            parts = {}
+            for d, n, times in counts.collect():  # one row per day
+                parts[d] = -(-n // self.rows_per_partition)
+                if parts[d] > 1 and self.split_on is None and times == 1:
+                    raise ValueError(f"{d} has {n} rows of one time, which no time of day can split: name split_on")
         return day_predicates(spec.time_column, first, last, kind, parts, self.split_on, self.max_partitions)
 
+    def undated(self, spark: SparkSession, spec: TableSpec) -> int:
+        """How many rows of the source have no day, counted by the database."""
+        sql = f"SELECT COUNT(*) AS n FROM {spec.source_table} WHERE CAST({quoted(spec.time_column)} AS DATE) IS NULL"
+        return int(self._query(spark, sql).first()[0])
+
     def probe(self, spec: TableSpec) -> Probe:
         return self._probe("source", spec.source_table, spec.time_column, spec)
 
@@ -172,12 +182,12 @@ class JdbcSource(_Jdbc):
 def swap_statements(
     target: str, staging: str, columns: Sequence[str], time_column: str, first: dt.date, last: dt.date
 ) -> list[str]:
-    """Statements that put the staged days in place of the target's. Run them in one transaction."""
+    """Statements that put the staged rows of the days in place of the target's. Run them in one transaction."""
     names = ", ".join(quoted(c) for c in columns)
     [inside] = day_predicates(time_column, first, last, "date", max_partitions=1)
     return [
         f"DELETE FROM {target} WHERE {inside}",
-        f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}",
+        f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging} WHERE {inside}",
     ]
 
 
@@ -186,9 +196,10 @@ class JdbcTarget(_Jdbc):
 
     Spark's JDBC writer commits task by task, so a task that is repeated after a lost executor
     can load its rows twice. The staging table is therefore counted before the swap and the
-    load fails when the count is off; the target is untouched until then, and the next run
-    starts the staging table afresh. ``run_transaction`` runs statements on the driver in one
-    transaction of the target database.
+    load fails when the count is off, or when a row's time does not fit the target's type: the swap could
+    not find such a row again. The target is untouched until then, and the next run starts the
+    staging table afresh. Days are swapped one by one: ``run_transaction`` runs the statements of a
+    day on the driver in one transaction of the target database.
     """
 
     def __init__(
@@ -212,21 +223,23 @@ class JdbcTarget(_Jdbc):
     def replace_days(self, rows: DataFrame, spec: TableSpec, first: dt.date, last: dt.date) -> int:
         staging = spec.target_table + self.staging_suffix
         read = Observation()
-        self._load(rows.drop(DAY).observe(read, F.count(F.lit(1)).alias("records")), staging)
+        timeless = F.count_if(F.col(quoted(spec.target_time_column)).isNull()).alias("timeless")
+        self._load(rows.drop(DAY).observe(read, F.count(F.lit(1)).alias("records"), timeless), staging)
         expected = read.get.get("records", 0)
+        if read.get.get("timeless", 0):
+            raise RuntimeError(f"{read.get['timeless']} rows have a time that does not cast; target left as it was")
         held = int(self._query(rows.sparkSession, f"SELECT COUNT(*) AS n FROM {staging}").first()[0])
         if held != expected:
             raise RuntimeError(f"{staging} holds {held} rows after loading {expected}; target left as it was")
-        self.run_transaction(
-            swap_statements(
-                spec.target_table, staging, spec.target_columns, spec.target_time_column, first, last
-            )
-        )
+        time = spec.target_time_column
+        for i in range((last - first).days + 1):
+            day = first + dt.timedelta(days=i)
+            self.run_transaction(swap_statements(spec.target_table, staging, spec.target_columns, time, day, day))
         return expected
 
     def day_counts(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> DataFrame:
         """Records per day, counted by the target database."""
-        return self._day_counts(spark, spec.target_table, spec.target_time_column, first, last)
+        return self._day_counts(spark, spec.target_table, spec.target_time_column, first, last).drop("times")
 
     def probe(self, spec: TableSpec) -> Probe:
         return self._probe("target", spec.target_table, spec.target_time_column, None)

@@ -184,94 +184,6 @@ def _mapping_catalog() -> str:
     return " union all ".join(parts)
 
 
-def _covered(days: int | None = None) -> str:
-    return f"""
-      select p.*, coalesce(c.records, 0) as records
-      from ({_plan(days)}) p left join ({_all_counts(days)}) c using (target_table, day)"""
-
-
-def _text(x: str) -> str:
-    return f"year({x}) || '/' || month({x}) || '/' || day({x}) || ' ' || strftime({x}, '%H:%M:%S')"
-
-
-def _parts(s: str) -> tuple[str, str, str]:
-    return (
-        f"cast(floor({s} / 3600) as bigint)",
-        f"cast(floor(({s} % 3600) / 60) as bigint)",
-        f"cast(floor({s} % 60) as bigint)",
-    )
-
-
-def _duration(s: str) -> str:
-    h, m, sec = _parts(s)
-    return f"""case when {s} is null or {s} = 0 then '-'
-        when {h} > 0 then {h} || '时 ' || {m} || '分 ' || {sec} || '秒'
-        when {m} > 0 then {m} || '分 ' || {sec} || '秒' else {sec} || '秒' end"""
-
-
-def _elapsed(s: str) -> str:
-    h, m, sec = _parts(s)
-    return f"{h} || '时 ' || {m} || '分 ' || {sec} || '秒'"
-
-
-def _label(x: str) -> str:
-    return f"""case {x} when 'success' then '成功' when 'failed' then '失败' when 'stopped' then '已停止'
-        when 'running' then '运行中' when 'syncing' then '同步中' when 'idle' then '空闲' else {x} end"""
-
-
-def _run_class(x: str) -> str:
-    return f"""case when {x} in ('success', 'failed', 'stopped', 'running')
-        then 'status-' || {x} else 'status-idle' end"""
-
-
-def _table_class(x: str) -> str:
-    return f"""case {x} when 'success' then 'status-success' when 'failed' then 'status-failed'
-        when 'syncing' then 'status-running' else 'status-idle' end"""
-
-
-def _thousands(n: str) -> str:
-    return f"format('{{:,}}', coalesce({n}, 0))"
-
-
-def _dash(x: str) -> str:
-    return f"coalesce(nullif({x}, ''), '-')"
-
-
-_EVENT_STATUS = """
-  select event_id, case event_id % 9 when 0 then 'success' when 1 then 'failed' when 2 then 'stopped'
-    when 3 then 'running' when 4 then 'syncing' when 5 then 'idle' when 6 then 'paused'
-    when 7 then '' end as status
-  from events"""
-
-_TYPED = """
-  select event_id,
-         case when event_id % 10 = 0 then 'n/a' else cast(event_id as varchar) end as number,
-         regexp_extract(props, '"k": *([0-9]+)', 1) as k, cast(ts as date) as day,
-         case when event_type = 'view' then value || ' EUR' else cast(value as varchar) end as sales14d
-  from events"""
-
-
-def _mapping_catalog() -> str:
-    inputs = {
-        "ods_query": "select event_id as key from events",
-        "ods_campain": "select o_orderkey as key from orders",
-        "ods_campaign_dsp": "select l_orderkey as key from lineitem",
-        "ods_aws_asin_philips": "select p_partkey as key from part",
-    }
-    parts = []
-    for spec in REPORT_TABLES:
-        names = ", ".join(
-            f"({i}, '{c.source}', '{c.target}', '{c.type}')" for i, c in enumerate(spec.columns)
-        )
-        parts.append(f"""
-          select '{spec.target_table}' as target_table, target_column, cast(position as bigint) as position,
-                 source_column, proposed_type,
-                 (select count(*) from ({inputs[spec.target_table]}) t where t.key % (position + 2) <> 0)
-                   as filled
-          from (values {names}) v(position, source_column, target_column, proposed_type)""")
-    return " union all ".join(parts)
-
-
 # --- one statement per query -----------------------------------------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -385,6 +297,22 @@ ORACLES: dict[str, str] = {
                  count(*) filter (status = 'success') as completed_tasks,
                  count(*) filter (status = 'failed') as failed_tasks
           from collapsed where start_time = (select start_time from newest)) t""",
+    "sync_losses": """
+        with t as (
+          select *, cast(ts as date) as day, event_id % 7 = 0 or (event_id % 11 = 0 and strftime(ts, '%Y-%m-%d') like '%-0%')
+                    as undated from events
+        ), w as (select * from t where not undated and day > (select cast(max(ts) as date) from events) - 24),
+        o as (select count(*) as n from orders
+              where cast(o_orderdate as date) between (select cast(max(ts) as date) from events) - 59
+                                                  and (select cast(max(ts) as date) from events))
+        select 'ods_query' as target_table, 'failed' as status,
+               'number as bigint: ' || count(*) filter (event_id % 10 = 0) || ' values lost, 0 changed; '
+               || 'sales14d as decimal(18,1): 0 values lost, '
+               || count(*) filter (cast(round(value * 100) as bigint) % 10 <> 0) || ' changed; '
+               || (select count(*) from t where undated) || ' rows of events_text have no readable Time' as error,
+               count(*) as records
+        from w
+        union all select 'ods_campain', 'success', null, n from o""",
     "run_duration_text": f"""
         select event_id, {_duration("s")} as duration_text from (
           select event_id, case event_id % 5 when 1 then 0.0::double when 2 then value

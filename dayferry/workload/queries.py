@@ -22,7 +22,7 @@ from dayferry.registry import (
     select_tables,
     window_days,
 )
-from dayferry.sources.files import ParquetTarget
+from dayferry.sources.files import ParquetSource, ParquetTarget
 from dayferry.sources.jdbc import day_predicates
 from dayferry.sources.preflight import preflight
 from dayferry.sources.store import RunStore
@@ -462,6 +462,42 @@ def sync_ledger(spark, sf_dir):
     return store.ledger(spark).select("id", "status", "tables_migrated", "total_records", "error_message")
 
 
+_LOSSY = TableSpec(
+    "events_text",
+    "ods_query",
+    mapping(
+        ["Time", "event_id", "No.", "Sales 14d"],
+        ["time", "event_id", "number", "sales14d"],
+        ["timestamp_ntz", None, "bigint", "decimal(18,1)"],
+    ),
+    time_column="Time",
+    default_days=24,
+)
+
+
+def sync_losses(spark, sf_dir):
+    """A sync of two tables, one of them with bad numbers, rounded amounts and unreadable times: what it reports."""
+    base, k = shared_dir(spark, "losses"), F.col("event_id")
+    padded = F.col("ts").cast("string")
+    table(spark, sf_dir, "events").select(
+        F.when(k % 7 == 0, None).when(k % 11 == 0, F.regexp_replace(padded, "-0", "-")).otherwise(padded).alias("Time"),
+        "event_id",
+        F.when(k % 10 == 0, "n/a").otherwise(k.cast("string")).alias("No."),
+        F.col("value").cast("string").alias("Sales 14d"),
+    ).write.parquet(f"{base}/in")
+    source = ParquetSource({"events_text": f"{base}/in", "orders": f"{sf_dir}/orders.parquet"})
+    results = sync(
+        spark,
+        [_LOSSY, ORDERS],
+        source,
+        ParquetTarget(f"{base}/data"),
+        RunStore(f"{base}/store"),
+        as_of=_newest(spark, sf_dir, EVENTS),
+        concurrent_tables=2,
+    )
+    return results.groupBy("target_table", "status", "error").agg(F.sum("records").alias("records"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -511,5 +547,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         window_reload_stale_days,
         sync_run,
         sync_ledger,
+        sync_losses,
     )
 }

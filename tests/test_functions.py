@@ -143,6 +143,6 @@ def test_row_json_keeps_nulls(spark):
     assert one(spark, row) == '{"a":1,"b":null}'
 
 
-@pytest.mark.parametrize("limit, n", [(None, 50), ("ten", 50), ("1.5", 50), ("10", 10), (0, 0), (-1, -1)])
+@pytest.mark.parametrize("limit, n", [(None, 50), ("ten", 50), ("1.5", 50), ("10", 10), (0, 0), (-1, -1), (float("inf"), 50), (2**31, -1)])
 def test_history_limit(limit, n):
     assert history_limit(limit) == n

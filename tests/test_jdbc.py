@@ -105,7 +105,10 @@ def test_bad_slicing():
 def test_swap_statements():
     delete, insert = swap_statements("dst", "dst_staging", ["time", "od`d"], "time", FIRST, LAST)
     assert delete == "DELETE FROM dst WHERE `time` >= '2024-01-07' AND `time` < '2024-01-31'"
-    assert insert == "INSERT INTO dst (`time`, `od``d`) SELECT `time`, `od``d` FROM dst_staging"
+    assert insert == (
+        "INSERT INTO dst (`time`, `od``d`) SELECT `time`, `od``d` FROM dst_staging"
+        " WHERE `time` >= '2024-01-07' AND `time` < '2024-01-31'"
+    )
 
 
 class FolderTarget(JdbcTarget):
@@ -136,7 +139,8 @@ def staged(spark):
 def test_target_swaps_after_the_count_agrees(spark, tmp_path):
     target = FolderTarget(str(tmp_path))
     assert target.replace_days(staged(spark), SPEC, FIRST, LAST) == 30
-    assert target.ran == [swap_statements("dst", "dst_staging", ["time", "id"], "time", FIRST, LAST)]
+    days = [FIRST + dt.timedelta(days=i) for i in range((LAST - FIRST).days + 1)]
+    assert target.ran == [swap_statements("dst", "dst_staging", ["time", "id"], "time", d, d) for d in days]
     assert spark.read.parquet(f"{tmp_path}/dst_staging").columns == ["time", "id"]
 
 
@@ -147,6 +151,14 @@ def test_target_is_left_alone_when_rows_were_loaded_twice(spark, tmp_path):
     assert target.ran == []
 
 
+def test_target_is_left_alone_when_a_time_does_not_cast(spark, tmp_path):
+    target = FolderTarget(str(tmp_path))
+    rows = staged(spark).withColumn("time", F.when(F.col("id") != 3, F.col("time")))
+    with pytest.raises(RuntimeError, match="1 rows have a time that does not cast"):
+        target.replace_days(rows, SPEC, FIRST, LAST)
+    assert target.ran == []
+
+
 NOWHERE = "jdbc:nowhere://host/db"
 
 
@@ -213,3 +225,11 @@ def test_hot_day_is_cut_by_its_rows(spark):
     rows.select(F.to_date("Time").alias("Time"), "id").createOrReplaceTempView("src")
     with pytest.raises(ValueError, match="split_on"):
         SparkSource(NOWHERE, {}, rows_per_partition=500).predicates(spark, SPEC, FIRST, LAST)
+
+
+def test_a_day_of_one_time_is_not_cut_by_time(spark):
+    rows = spark.range(900).select(F.lit("2024-01-07").cast("timestamp_ntz").alias("Time"), "id")
+    rows.createOrReplaceTempView("src")
+    with pytest.raises(ValueError, match="900 rows of one time"):
+        SparkSource(NOWHERE, {}, rows_per_partition=500).predicates(spark, SPEC, FIRST, LAST)
+    assert SparkSource(NOWHERE, {}).undated(spark, SPEC) == 0

@@ -144,13 +144,20 @@ def test_status_document(spark, running):
     results = spark.createDataFrame([("success", 3), ("failed", 0)], "status string, records bigint")
     doc = status_document(ledger(spark, *rows), results, {"workers": "4"}).first()
     assert doc.is_running is running
-    assert doc.current_migration_id == (3 if running else 4)
+    assert doc.current_migration_id == 3  # the row that opened the run, also once it has ended
     assert doc.last_error == (None if running else "boom")
     assert (doc.total_records, doc.completed_tasks, doc.failed_tasks) == (3, 1, 1)
     assert (doc.progress_info, doc.config) == ({}, {"workers": "4"})
     assert len(doc) == 9
 
 
+def test_status_document_of_a_stopped_run(spark):
+    rows = [ledger_row(1, status="running"), ledger_row(2, status="stopped", error_message="Migration stopped by user")]
+    none = spark.createDataFrame([], "status string, records bigint")
+    doc = status_document(ledger(spark, *rows), none).first()
+    assert (doc.is_running, doc.current_migration_id, doc.last_error) == (False, 1, None)
+
+
 def test_status_document_before_the_first_run(spark):
     none = spark.createDataFrame([], "status string, records bigint")
     doc = status_document(ledger(spark), none).first()

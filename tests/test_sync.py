@@ -227,9 +227,12 @@ def test_shipped_report_tables(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(paths[spec.source_table])
     target = dayferry.ParquetTarget(str(tmp_path / "data"))
     store = dayferry.RunStore(str(tmp_path / "store"))
-    results = dayferry.sync(
-        spark, dayferry.REPORT_TABLES, dayferry.ParquetSource(paths), target, store, as_of=AS_OF
-    )
+    args = (spark, dayferry.REPORT_TABLES, dayferry.ParquetSource(paths), target, store)
+    failed = {r.target_table: (r.status, r.error) for r in dayferry.sync(*args, as_of=AS_OF).collect()}
+    assert {s for s, _ in failed.values()} == {"failed"}
+    assert "click as bigint: 1 values lost, 0 changed" in failed["ods_query"][1]
+    # What is known to be lost can be allowed for: the "n/a" of each table.
+    results = dayferry.sync(*args, as_of=AS_OF, lost_values_allowed=100)
     assert {r.status for r in results.collect()} == {"success"}
     assert results.count() == 24 + 3 * 60
     # 2023-11-30 lies 61 days back.
@@ -282,9 +285,44 @@ def test_text_times_never_touch_days_outside_the_window(spark, tmp_path):
     # Unpadded January sorts as text between the bounds of a window that ends in December.
     put("2024-1-5", "2024-12-30", "2024-12-30 99:00:00")
     results = dayferry.sync(spark, [spec], *args, as_of=dt.date(2024, 12, 31))
+    assert {(r.status, r.error) for r in results.collect()} == {
+        ("failed", "time as timestamp_ntz: 1 values lost, 0 changed; 1 rows of t have no readable Time")
+    }
+    allowed = {"lost_values_allowed": 1, "undated_rows_allowed": 1}
+    results = dayferry.sync(spark, [spec], *args, as_of=dt.date(2024, 12, 31), **allowed)
     assert {r.status for r in results.collect()} == {"success"}
     held = {(str(r.day), r.n): r.time for r in target.table(spark, spec).collect()}
     assert held == {
         ("2024-01-05", 0): dt.datetime(2024, 1, 5), ("2024-01-05", 1): dt.datetime(2024, 1, 5, 10),
         ("2024-12-30", 1): dt.datetime(2024, 12, 30), ("2024-12-30", 2): None,
     }
+
+
+def test_rounded_values_and_null_times_fail_a_table(spark, tmp_path):
+    spec = TableSpec("t", "t", mapping(["Time", "a", "b", "c"], ["time", "a", "b", "c"], ["date", "decimal(18,4)", "bigint", "bigint"]), "Time", 5)
+    path = str(tmp_path / "in")
+    rows = [("2024-01-30", "0.123456", "7.9", "n/a"), ("2024-01-30", "1.50", "7.0", "7"), (None, "1", "1", "1")]
+    spark.createDataFrame(rows, "Time string, a string, b string, c string").write.parquet(path)
+    target, store = dayferry.ParquetTarget(str(tmp_path / "data")), dayferry.RunStore(str(tmp_path / "store"))
+    args = (spark, [spec], dayferry.ParquetSource({"t": path}), target, store)
+    [error] = {r.error for r in dayferry.sync(*args, as_of=AS_OF).collect()}
+    assert error == (
+        "a as decimal(18,4): 0 values lost, 1 changed; b as bigint: 2 values lost, 0 changed; "
+        "c as bigint: 1 values lost, 0 changed; 1 rows of t have no readable Time"
+    )
+    last = store.ledger(spark).orderBy("id").collect()[-1]
+    assert last.status == "failed" and last.error_message == f"t: {error}"
+    assert store.status(spark).first().status == "failed"
+    plain = [spec.untyped()]
+    [status] = {r.status for r in dayferry.sync(spark, plain, *args[2:], as_of=AS_OF, undated_rows_allowed=1).collect()}
+    assert status == "success"
+
+
+def test_old_days_of_a_target_are_not_listed(spark, tmp_path, setup):
+    target = dayferry.ParquetTarget(str(tmp_path / "data"))
+    dayferry.sync(registry=[EVENTS], **{**setup, "target": target})
+    folder = tmp_path / "data" / EVENTS.target_table / "day=2020-01-01"
+    folder.mkdir()
+    (folder / "part-0.parquet").write_text("no parquet: reading or listing this day would fail")
+    days = target.day_counts(spark, EVENTS, dt.date(2024, 1, 7), AS_OF)
+    assert days.count() == 24 and "2020-01-01" not in str(days.inputFiles())
