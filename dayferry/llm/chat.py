@@ -199,3 +199,53 @@ def op9_chat_windows(spark, sf_dir):
         F.aggregate("w", F.lit(0).cast("bigint"), lambda a, w: a + w["chars"]).alias("formatted_chars"),
         F.size("w").cast("bigint").alias("n_windows"),
     )
+
+
+OP9_SQL = r"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), counted AS (
+  SELECT *, row_number() OVER w - 1 AS place, 4 + len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) AS tokens,
+         length('### : </turn>' || chr(10))
+           + length(replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\l'), ':', '\c'))
+           + length(replace(replace(replace(body, '\', '\b'), '###', '\h'), '</turn>', '\l')) AS chars
+  FROM said WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body)
+), t AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY place) AS upto,
+         CASE WHEN first_value(role) OVER (PARTITION BY conv_id ORDER BY place) = 'system'
+              THEN first_value(tokens) OVER (PARTITION BY conv_id ORDER BY place) ELSE 0 END AS lead
+  FROM counted
+), spans(conv_id, place, since, starts) AS (
+  SELECT conv_id, place, CAST(0 AS HUGEINT), TRUE FROM t WHERE place = 0
+  UNION ALL
+  SELECT t.conv_id, t.place,
+         CASE WHEN t.upto - s.since > greatest(1024 - 192 - t.lead, 1) THEN t.upto - t.tokens ELSE s.since END,
+         t.upto - s.since > greatest(1024 - 192 - t.lead, 1)
+  FROM spans s JOIN t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.place = s.place + 1
+), windows AS (
+  SELECT s.conv_id, s.place AS first, t.upto - t.tokens AS before,
+         CASE WHEN t.lead > 0 AND s.place > 0 THEN 1 ELSE 0 END AS led,
+         coalesce(lead(s.place) OVER (PARTITION BY s.conv_id ORDER BY s.place),
+                  (SELECT count(*) FROM t c WHERE c.conv_id IS NOT DISTINCT FROM s.conv_id)) AS ends
+  FROM spans s JOIN t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.place = s.place WHERE s.starts
+), shown AS (
+  SELECT w.conv_id, w.first, sum(t.chars) AS chars
+  FROM windows w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id
+   AND (t.place BETWEEN w.first AND w.ends - 1
+        OR (w.led = 1 AND t.place = 0)
+        OR (t.place BETWEEN greatest(w.first - 6, w.led) AND w.first - 1 AND w.before - t.upto + t.tokens <= 192))
+  GROUP BY ALL
+), formatted AS (
+  SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars, count(*) AS n_windows FROM shown GROUP BY ALL
+), whole AS (
+  SELECT conv_id, count(*) AS n_turns,
+         sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY place)) AS turns_sha256,
+         coalesce(string_agg(body, '' ORDER BY place) FILTER (role = 'assistant'), '') AS learned
+  FROM t GROUP BY conv_id
+)
+SELECT whole.conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+       formatted_chars, n_windows
+FROM whole JOIN formatted ON whole.conv_id IS NOT DISTINCT FROM formatted.conv_id
+"""

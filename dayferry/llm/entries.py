@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from dayferry.llm.chat import op9_chat_windows
+from dayferry.llm.chat import OP9_SQL, op9_chat_windows
 from dayferry.llm.ctw import op5_context_tree_score
 from dayferry.llm.jaccard import op6_chosen_path_join
 from dayferry.llm.mixing import op4_entropy_mixing
@@ -31,4 +31,4 @@ QUERIES: dict[str, Callable] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op8_seekable_warc": OP8_SQL}
+ORACLES: dict[str, str] = {"op8_seekable_warc": OP8_SQL, "op9_chat_windows": OP9_SQL}

@@ -1,0 +1,215 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dayferry.llm.ctw import Tree, op5_context_tree_score, score_texts
+from dayferry.llm.multi_index import op3_multi_index_search, search, walk
+from dayferry.llm.toxicity import op10_kneser_ney_toxicity, score_toxicity
+from tests.llm.helpers import empty, odd_docs
+
+
+class SlowTree:
+    """Context-tree weighting by recursion over counts, with no arrays."""
+
+    def __init__(self, strings: Counter, depth: int):
+        self.depth, self.counts = depth, {}
+        for s, n in strings.items():
+            context, byte = s[:-1], s[-1]
+            for d in range(depth + 1):
+                for j in range(8):
+                    key = (context[depth - d :], (1 << j) | (byte >> (8 - j)))
+                    self.counts.setdefault(key, [0, 0])[(byte >> (7 - j)) & 1] += n
+        self.children = {}
+        for c, k in self.counts:
+            if c:
+                self.children.setdefault((c[1:], k), []).append((c, k))
+        self.memo = {}
+
+    def evidence(self, key):
+        a, b = self.counts[key]
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    def weighted(self, key):
+        if key not in self.memo:
+            own = self.evidence(key)
+            if len(key[0]) < self.depth:
+                below = sum(self.weighted(c) for c in self.children[key])
+                own = math.log(0.5 * math.exp(own) + 0.5 * math.exp(below))
+            self.memo[key] = own
+        return self.memo[key]
+
+    def one(self, context, k):
+        """Probability of a one: the mixture from the empty context to the longest that had the decision."""
+        p, left = 0.0, 1.0
+        for d in range(self.depth + 1):
+            key = (context[len(context) - d :], k)
+            if key not in self.counts:
+                return 0.5 if d == 0 else last
+            a, b = self.counts[key]
+            estimate = (b + 0.5) / (a + b + 1)
+            last = p + left * estimate
+            if d < self.depth:
+                below = sum(self.weighted(c) for c in self.children[key])
+                weight = math.exp(self.evidence(key)) / (math.exp(self.evidence(key)) + math.exp(below))
+                p, left = p + left * weight * estimate, left * (1 - weight)
+        return last
+
+    def log(self, string):
+        total = 0.0
+        for j in range(8):
+            p = self.one(string[:-1], (1 << j) | (string[-1] >> (8 - j)))
+            total += math.log(p if (string[-1] >> (7 - j)) & 1 else 1 - p)
+        return total
+
+
+def canonical(text, depth):
+    data = b"\n" * depth + b" ".join((text or "").encode().lower().split()) + b"\n"
+    return [data[i : i + depth + 1] for i in range(len(data) - depth)]
+
+
+def number(string):
+    return int.from_bytes(string, "big")
+
+
+def test_tree_against_recursion():
+    rng = random.Random(1)
+    for depth in (0, 1, 3):
+        strings = Counter(s for _ in range(6) for s in canonical("".join(rng.choice("aab c") for _ in range(25)), depth))
+        slow = SlowTree(strings, depth)
+        tree = Tree(np.array([number(s) for s in strings], np.uint64), np.array(list(strings.values())), depth)
+        asked = [*strings, *canonical("abcz zq é", depth)]
+        found = tree.logs_of(np.array([number(s) for s in asked], np.uint64))
+        assert found == pytest.approx([slow.log(s) for s in asked], rel=1e-5)
+        context = asked[3][:-1]
+        every = tree.logs_of(np.array([number(context + bytes([b])) for b in range(256)], np.uint64))
+        assert np.exp(every).sum() == pytest.approx(1, rel=1e-4)
+
+
+def _base(rows, training):
+    tokens = {i: (x or "").encode().lower().split() + [b"\n"] for i, x in rows}
+    counts = Counter(t for i in training for t in tokens[i])
+    n, v = sum(counts.values()), len(counts)
+    return {
+        i: (len(t), sum(counts[w] > 0 for w in t), n, sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t))
+        for i, t in tokens.items()
+    }
+
+
+@pytest.mark.parametrize("held_words", [1_000_000, 50, 1])
+def test_scores_of_documents(spark, sf_dir, held_words):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 120").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    training = [i for i, _ in rows if i % 3]
+    found = {r["doc_id"]: r for r in score_texts(docs, F.col("doc_id") % 3 != 0, depth=2, held_words=held_words).collect()}
+    texts = dict(rows)
+    slow = Counter(s for i in training for s in canonical(texts[i], 2))
+    tree = Tree(np.array([number(s) for s in slow], np.uint64), np.array(list(slow.values())), 2)
+    for i, expected in _base(rows, training).items():
+        r = found.pop(i)
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == expected[:3]
+        assert r["base_score"] == pytest.approx(expected[3], rel=1e-9)
+        strings = canonical(texts[i], 2)
+        score = sum(tree.logs_of(np.array([number(s)], np.uint64))[0] for s in strings) / math.log(10)
+        assert r["score"] == pytest.approx(score, rel=1e-5)
+        assert r["bits_per_byte"] == pytest.approx(-score * math.log2(10) / len(strings), rel=1e-5)
+    assert not found
+
+
+def test_tree_beats_single_words_on_held_out_documents(spark):
+    rows = op5_context_tree_score(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
+    assert rows[1] > rows[0]
+
+
+def test_scores_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    rows = score_texts(docs, F.col("doc_id") > 3).collect()
+    assert len(rows) == docs.count() and all(r["score"] < 0 for r in rows)
+    assert all(r["n_tokens"] == 1 for r in rows if r["doc_id"] in (100, 101, 102))
+    untrained = score_texts(docs, F.lit(False)).collect()
+    assert all(r["bits_per_byte"] == pytest.approx(8) and r["train_tokens"] == 0 and r["n_known"] == 0 for r in untrained)
+    assert score_texts(empty(docs), F.lit(True)).count() == 0
+
+
+def test_toxic_documents_are_found(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    rows = op10_kneser_ney_toxicity(spark, sf_dir).join(labels, "doc_id").collect()
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
+    hits = sum(r["predicted"] and r["toxic"] for r in held)
+    assert hits > 0.75 * sum(r["toxic"] for r in held) and hits > 0.9 * sum(r["predicted"] for r in held)
+
+
+def test_toxicity_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    labels = spark.createDataFrame(
+        [(i, int(i % 5 == 0)) for i in range(40)] + [(1, None), (None, 1), (2, 1)], "doc_id bigint, toxic int"
+    )
+    rows = score_toxicity(docs, labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert {"size", "__row", "predicted"} <= set(rows[0].asDict())
+    assert len({r["score"] for r in rows if r["doc_id"] in (100, 101, 102)}) == 1
+    assert score_toxicity(empty(docs), labels).count() == 0
+    for some in (labels.limit(0), labels.where("toxic = 0")):
+        assert all(r["predicted"] == 0 for r in score_toxicity(docs, some).collect())
+
+
+def brute_nearest(rows, query, n=10):
+    vector = dict(rows)[query]
+    near = sorted((math.dist(vector, v), i) for i, v in rows if i != query)
+    return near[:n]
+
+
+def test_recall_against_brute_force(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = [(r[0], list(map(float, r[1]))) for r in vectors.collect()]
+    by = {}
+    for r in op3_multi_index_search(spark, "/root/testdata/sf0.1").collect():
+        by.setdefault(r["query_id"], []).append(r)
+    hits = wanted = 0
+    assert by.keys() == {i for i, _ in rows if i % 100 == 0}
+    for query, found in by.items():
+        found.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in found] == list(range(1, 11))
+        vector = dict(rows)
+        assert all(r["score"] == pytest.approx(math.dist(vector[query], vector[r["vec_id"]]), rel=1e-12) for r in found)
+        assert [(r["score"], r["vec_id"]) for r in found] == sorted((r["score"], r["vec_id"]) for r in found)
+        expected = {i for _, i in brute_nearest(rows, query)}
+        hits, wanted = hits + len(expected & {r["vec_id"] for r in found}), wanted + len(expected)
+    assert hits >= 0.9 * wanted
+
+
+def test_odd_vectors(spark):
+    rng = random.Random(0)
+    good = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(300)]
+    same = [(i, [1.0, 2.0, 3.0, 4.0]) for i in range(400, 700)]
+    bad = [(700, None), (800, [0.0] * 4), (900, [1.0, None, 1.0, 1.0]), (1000, [float("nan"), 1.0, 1.0, 1.0]), (1100, [math.inf, 1.0, 1.0, 1.0]),
+           (1200, [1.0]), (None, [1.0, 2.0, 3.0, 4.0])]
+    rows = [(*r, "x") for r in good + same + bad]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, vector string").repartition(3)
+    found = {}
+    for r in search(frame, F.col("id") % 100 == 0, share=1.0).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    assert found.keys() == {0, 100, 200, 400, 500, 600}
+    for query, near in found.items():
+        expected = brute_nearest(good + same, query)
+        assert [x[2] for x in sorted(near)] == [i for _, i in expected]
+    few = search(spark.createDataFrame(good[:3], "vec_id bigint, embedding array<double>"), F.col("id") == 0).collect()
+    assert len(few) == 2
+    assert search(frame.limit(0), F.lit(True)).count() == 0
+
+
+def test_walk_goes_by_the_sum_of_distances():
+    rng = np.random.default_rng(2)
+    first, second, sizes = rng.random(7), rng.random(9), rng.integers(0, 3, (7, 9))
+    pairs = sorted(((first[i] + second[j]), i, j) for i in range(7) for j in range(9) if sizes[i, j])
+    assert walk(first, second, sizes, 10**9) == [(i, j) for _, i, j in pairs]
+    some = walk(first, second, sizes, 12)
+    assert some == [(i, j) for _, i, j in pairs][: len(some)]
+    assert sum(sizes[p] for p in some) >= 12 > sum(sizes[p] for p in some[:-1])
