@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,9 +45,12 @@ def preflight(spark: SparkSession, probes: Sequence[Probe], scope: str = "all")
     """One row per probe of the scope: ``source``, ``target`` or ``all``.
 
     Each probe is run on its own, so that one unreadable table is reported and the others are
-    still checked.
+    still checked; they run at the same time.
     """
-    rows = [_run(spark, p) for p in probes if scope == "all" or p.kind == scope]
+    chosen = [p for p in probes if scope == "all" or p.kind == scope]
+    with ThreadPoolExecutor(max(1, len(chosen))) as pool:
+        run = inheritable_thread_target(spark)(_run)
+        rows = [r.result() for r in [pool.submit(run, spark, p) for p in chosen]]
     return small_frame(spark, rows, REPORT_SCHEMA)
 
 
