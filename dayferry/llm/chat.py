@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayferry.frames import small_frame
-from dayferry.llm.text import word_count
+from dayferry.llm.text import let, word_count
 
 BUDGET = 1024
 HISTORY_TOKENS = 192
@@ -43,10 +43,6 @@ def _unescape(text: Column) -> Column:
     return text
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    return F.transform(F.array(value), use)[0]
-
-
 def _spans(turns: Column, budget: Column) -> Column:
     """Places of the turns that start a span: a turn starts one if with it the sums since the last start pass the budget."""
     state = F.struct(
@@ -92,7 +88,7 @@ def _window(turns: Column, system: Column, number: Column, first: Column, end: C
             )
             return F.filter(spans, lambda s: s.isNotNull())
 
-        return _let(
+        return let(
             shown,
             lambda x: F.struct(
                 number.alias("window"),
@@ -104,7 +100,7 @@ def _window(turns: Column, system: Column, number: Column, first: Column, end: C
             ),
         )
 
-    return _let(F.array_min(recent), build)
+    return let(F.array_min(recent), build)
 
 
 def format_windows(

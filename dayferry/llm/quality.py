@@ -9,12 +9,11 @@ reaches a fixed threshold; nothing is drawn at random.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayferry.llm.text import WORD, packed, unpacked, word_array
+from dayferry.llm.text import WORD, let, packed, unpacked, word_array
 
 BUCKETS = 32_768
 TRUSTED_DOCS = 50_000  # trusted ids that are learnt from at most, those with the smallest hashes
@@ -65,12 +64,7 @@ def bucket_weights(
     return weights
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often a lambda inside refers to it."""
-    return F.transform(F.array(value), use)[0]
-
-
-FEW = 16
+FEW = 16  # repeated windows that are looked up one by one
 
 
 def _repeated_words(hashes: Column) -> Column:
@@ -88,7 +82,7 @@ def _repeated_words(hashes: Column) -> Column:
 
     def by_lookup(windows: Column, again: Column) -> Column:
         places = F.transform(windows, lambda h, i: F.when(F.array_contains(again, h), i))
-        return _let(F.filter(places, lambda p: p.isNotNull()), covered)
+        return let(F.filter(places, lambda p: p.isNotNull()), covered)
 
     def by_sort(windows: Column) -> Column:
         def starts(s: Column) -> Column:
@@ -98,14 +92,14 @@ def _repeated_words(hashes: Column) -> Column:
             return F.filter(twice, lambda p: p.isNotNull())
 
         placed = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-        return _let(_let(F.sort_array(placed), starts), covered)
+        return let(let(F.sort_array(placed), starts), covered)
 
     def count(windows: Column) -> Column:
         def again(s: Column) -> Column:
             return F.array_distinct(F.filter(s, lambda h, k: h == F.get(s, k + 1)))
 
-        return _let(
-            _let(F.sort_array(windows), again),
+        return let(
+            let(F.sort_array(windows), again),
             lambda d: F.when(F.size(d) == 0, F.lit(0))
             .when(F.size(d) <= FEW, by_lookup(windows, d))
             .otherwise(by_sort(windows)),
@@ -115,7 +109,7 @@ def _repeated_words(hashes: Column) -> Column:
         F.sequence(F.lit(0), F.size(hashes) - 3),
         lambda i: F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1), F.get(hashes, i + 2)),
     )
-    return F.when(F.size(hashes) < 3, F.lit(0)).otherwise(_let(windows, count))
+    return F.when(F.size(hashes) < 3, F.lit(0)).otherwise(let(windows, count))
 
 
 def judge(
@@ -150,7 +144,7 @@ def judge(
         n.cast("bigint").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("__text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
-        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
         _repeated_words(F.col("__hashes")).cast("bigint").alias("n_repeat_words"),
         F.round(F.when(n > 0, total / (2 * n)).otherwise(0.0), 6).alias("score"),
     )

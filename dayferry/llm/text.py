@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,11 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often a lambda inside refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
 ROW = "__row"
 
 
