@@ -14,9 +14,10 @@ from dayferry.llm.quality import op2_llr_quality
 from dayferry.llm.rans import op7_rans_tokens
 from dayferry.llm.toxicity import op10_kneser_ney_toxicity
 from dayferry.llm.warc import OP8_SQL, op8_seekable_warc
+from dayferry.llm.workers import reaching_workers
 
 QUERIES: dict[str, Callable] = {
-    f.__name__: f
+    f.__name__: reaching_workers(f)
     for f in (
         op1_window_packing,
         op2_llr_quality,
