@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dayferry.frames import written
-from dayferry.llm.tokens import encoder, in_slices, texts_of
+from dayferry.llm.tokens import REMEMBERED, encoder, in_slices
 
 LENGTH = 2048
 OPEN_WINDOWS = 128
@@ -81,7 +81,9 @@ def _rows(window: list[Piece], sequence: int, group: int | None) -> list[tuple]:
     return rows
 
 
-def _task(tokenizer: str, length: int, open_windows: int, merged_tasks: int, end_id: int, id_type: pa.DataType):
+def _task(
+    tokenizer: str, remembered: int, length: int, open_windows: int, merged_tasks: int, end_id: int, id_type: pa.DataType
+):
     end = np.array([end_id], "<u4").tobytes()
     schema = pa.schema([
         ("id", id_type), *[(n, pa.int64()) for n in ("start", "length", "doc_tokens", "sequence_id", "offset")],
@@ -89,7 +91,7 @@ def _task(tokenizer: str, length: int, open_windows: int, merged_tasks: int, end
     ])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, remembered)
         task = TaskContext.get().partitionId()
         windows = Windows(length, open_windows)
         sequence, held, rows = task << 32, 0, []
@@ -98,8 +100,8 @@ def _task(tokenizer: str, length: int, open_windows: int, merged_tasks: int, end
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for part in in_slices(batches):
-            for key, ids in zip(part.column(0).to_pylist(), encode(texts_of(part.column(1)))):
-                ids += end
+            for key, found in zip(part.column(0).to_pylist(), encode(part.column(1))):
+                ids = found.astype("<u4", copy=False).tobytes() + end
                 total, step = len(ids) // 4, 4 * length
                 for at in range(0, len(ids), step):
                     piece = (key, at // 4, ids[at : at + step], total)
@@ -167,20 +169,22 @@ def pack(
     open_windows: int = OPEN_WINDOWS,
     merged_tasks: int = MERGED_TASKS,
     end_id: int = END_ID,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row per piece: the id, start, length, doc_tokens, sequence_id, offset, and the ids as bytes.
 
     Every row of ``docs`` is a document, also rows that repeat; a null or empty text is the end id alone;
     a null id stays null. Documents longer than a window are cut into full windows and a rest. Columns
     other than the id and the text take no part, whatever their names. An empty table gives no pieces.
-    ``ids`` are little-endian unsigned 32-bit integers. A sequence that is not full is to be padded
+    ``ids`` are little-endian unsigned 32-bit integers; ``remembered`` bounds what a worker holds of the
+    tokenizer's work, about 250 bytes each. A sequence that is not full is to be padded
     by its reader.
     """
     schema = _schema(docs, id_column)
     rows = docs.select(docs[f"`{id_column}`"], F.col(text_column).cast("binary"))
     arrow = rows.limit(0).toArrow().schema.field(0).type
     cut = written(
-        rows.mapInArrow(_task(tokenizer, length, open_windows, merged_tasks, end_id, arrow), schema), "packing-windows"
+        rows.mapInArrow(_task(tokenizer, remembered, length, open_windows, merged_tasks, end_id, arrow), schema), "packing-windows"
     )
     closed = cut.where(F.col("__group").isNull()).drop("__group")
     merged = cut.where(F.col("__group").isNotNull()).groupBy("__group").applyInPandas(_merge(length, id_column), closed.schema)

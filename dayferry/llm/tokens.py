@@ -2,8 +2,8 @@
 
 A space before a character that is no white space always starts a new piece in the tokenizers used
 here, so a text can be cut there, each cut piece encoded alone, and the ids joined: the result is the
-same. Pieces repeat, so a worker remembers their ids; its memory is bounded and lives as long as the
-worker.
+same. Pieces repeat: Arrow finds the different ones of a slice of texts, a worker remembers their ids,
+and numpy joins them. What a worker remembers is bounded and lives as long as the worker.
 """
 
 from __future__ import annotations
@@ -15,87 +15,176 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces a worker remembers; beyond it starts anew. About 200 bytes each.
-REMEMBERED = 1_000_000
+#: Pieces a worker remembers; beyond it only those at hand stay. About 250 bytes each.
+REMEMBERED = 600_000
 LONGEST = 64
-_ODD = re.compile(r" \s| $")
+#: A space before white space or the end, where a text can't simply be cut; wider than needed.
+_ODD = r" [\pZ\s\x0b\x1c-\x1f\x85]| $"
 _CUT = re.compile(r" (?=\S)")
-_TAIL = ".,!?;:"
+_MARKS = ".,!?;:"
+#: What marks are surely no part of: Latin letters that stay letters in lower case, and digits.
+_PLAIN_END = r"[0-9A-Za-zÀ-ÖØ-öø-įı-ɏ]$"
+_LETTERS = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids. Special tokens' strings are ordinary text."""
+    """Encodes texts to unsigned 32-bit ids. Special tokens' strings are ordinary text."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks use the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.spaced = self._alone(" a").tolist() != self._alone("a").tolist()  # whether the space is part of a token
+        if not self.spaced:
+            # For lower-case Latin letters alone, which are one piece to the tokenizer and normal already.
+            self.plain = Tokenizer.from_file(path)
+            self.plain.encode_special_tokens = True
+            self.plain.normalizer = normalizers.Sequence([])
+            self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.lower = self._alone("AÉ").tolist() == self._alone("aé").tolist()  # whether capitals make a difference
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.remembered = remembered
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Remember the ids of the pieces (each stands for itself after a space, but for those that start with a zero).
-
-        Sentence marks after a letter or digit are pieces of their own to the tokenizer, so
-        ``word,`` needs ``word`` and ``,`` only.
-        """
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
+
+    def _keep_only(self, keys: list[str], places: list[int | None]) -> list[int | None]:
+        """Forget all pieces but those at hand, which hold the frequent ones. Returns where these are now."""
+        held = {k: p for k, p in zip(keys, places) if p is not None}
+        at = np.array(list(held.values()), np.int64)
+        ids, counts = self._joined(at), self.length[at]
+        self._forget()
+        self._remember(list(held), ids, counts)
+        return list(map(self.known.get, keys))
+
+    def _encode(self, texts: Sequence[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts on end, and how many each has; each text is encoded alone."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        found = (self.plain if plain else self.tokenizer).encode(list(texts), is_pretokenized=True, add_special_tokens=False)
+        words = np.array(found.word_ids, np.int64)
+        return np.array(found.ids, np.uint32), np.bincount(words, minlength=len(texts))
+
+    def _remember(self, pieces: Sequence[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        n, first = len(pieces), len(self.known)
+        while first + n > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.start[first : first + n] = self.used + np.cumsum(counts) - counts
+        self.length[first : first + n] = counts
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.known.update(zip(pieces, range(first, first + n)))
+
+    def _text(self, piece: str) -> str:
+        """What a key stands for: the piece after a space, or alone if it starts with a zero."""
+        return piece[1:] if piece[:1] == "\0" else " " + piece if self.spaced else piece
+
+    def _learn(self, pieces: list[str]) -> None:
+        plain = set() if self.spaced else {p for p in pieces if p.isalpha() and p.islower() and max(p) < "ɐ"}
+        for some in (list(plain), [p for p in pieces if p not in plain]):
+            self._remember(some, *self._encode([self._text(p) for p in some], plain=some and some[0] in plain))
+
+    def _joined(self, codes: np.ndarray) -> np.ndarray:
+        lengths = self.length[codes]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.start[codes] - (ends - lengths), lengths)
+        return self.flat[at + np.arange(len(at))]
+
+    def _alone(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def __call__(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text of a binary column. Null is empty; bytes that are no UTF-8 are replaced."""
+        try:
+            texts = column.cast(pa.string())
+        except pa.ArrowInvalid:
+            texts = pa.array([None if b is None else b.decode("utf-8", "replace") for b in column.to_pylist()], pa.string())
+        texts = pc.fill_null(texts, "")
+        # A zero is the mark of first pieces.
+        marked = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False) & ~marked
+        found: list = [None] * len(texts)
+        for i in np.flatnonzero(marked):
+            found[i] = self._alone(texts[int(i)].as_py())
+        for chosen, cut in ((~odd & ~marked, self._even), (odd, self._odd)):
+            if chosen.any():
+                for i, ids in zip(np.flatnonzero(chosen), cut(texts.filter(pa.array(chosen)))):
+                    found[i] = ids
+        return found
+
+    def _odd(self, texts: pa.Array) -> list[np.ndarray]:
+        parts = [_CUT.split(t) for t in _strings(texts)]
+        offsets = np.cumsum([0, *map(len, parts)])
+        return self._join_pieces(pa.array([p for t in parts for p in t], pa.string()), offsets)
+
+    def _even(self, texts: pa.Array) -> list[np.ndarray]:
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets = offsets - offsets[0]
+        pieces = lists.flatten()
+        return self._join_pieces(pieces, offsets)
+
+    def _join_pieces(self, pieces: pa.Array, offsets: np.ndarray) -> list[np.ndarray]:
+        coded = pieces.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        codes[offsets[:-1]] = len(coded.dictionary) + np.arange(len(offsets) - 1)
+        firsts = pc.binary_join_element_wise("\0", pieces.take(pa.array(offsets[:-1])), "")
+        whole = pa.concat_arrays([coded.dictionary, firsts])
+        # Marks after a letter or digit are tokens of their own, so stems and marks are looked up apart.
+        stems = pc.utf8_rtrim(whole, _MARKS)
+        marked = pc.and_(pc.not_equal(stems, whole), pc.match_substring_regex(stems, _PLAIN_END))
+        stems = pc.if_else(marked, stems, whole)
+        if self.lower:
+            stems = pc.if_else(pc.match_substring_regex(stems, _LETTERS), pc.utf8_lower(stems), stems)
+        at = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+        some = pa.array(at)
+        marks = ["\0" + w[len(s) :] for w, s in zip(_strings(whole.take(some)), _strings(stems.take(some)))]
+        different = stems.dictionary_encode()
+        keys = [*_strings(different.dictionary), *dict.fromkeys(marks), "\0"]
+        found = list(map(self.known.get, keys))
+        if len(self.known) > self.remembered:
+            found = self._keep_only(keys, found)
         known = self.known
-        split: dict[str, tuple[str, str]] = {}
-        plain: set[str] = set()
-        for p in pieces:
-            stem = p.rstrip(_TAIL)
-            if stem and len(stem) < len(p) and stem[-1].isalnum():
-                split[p] = stem, "\0" + p[len(stem) :]
-            else:
-                plain.add(p)
-        plain |= {x for pair in split.values() for x in pair}
-        plain = [p for p in plain if p not in known]
-        texts = [p[1:] if p[:1] == "\0" else " " + p for p in plain]
-        known.update(zip(plain, self._encode(texts)))
-        for p, (stem, tail) in split.items():
-            known[p] = known[stem] + known[tail]
-
-    def __call__(self, texts: Sequence[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > self.remembered:
-            known.clear()
-        if any("\0" in t for t in texts):  # the mark used below
-            return self._encode(texts)
-        cut = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-        for parts in cut:
-            parts[0] = "\0" + parts[0]  # no space before it
-        new = set().union(*cut).difference(known)
-        long = {p for p in new if len(p) > LONGEST}
-        if new:
-            self._learn(new - long)
-        if not long:
-            return [b"".join([known[p] for p in parts]) for parts in cut]
-        once = list(long)
-        at = dict(zip(once, self._encode([p[1:] if p[:1] == "\0" else " " + p for p in once])))
-        return [b"".join([known[p] if p in known else at[p] for p in parts]) for parts in cut]
+        new = [k for k, place in zip(keys, found) if place is None]
+        new = list(dict.fromkeys(new))
+        long = [k for k in new if len(k) > LONGEST]
+        self._learn([k for k in new if len(k) <= LONGEST] if long else new)
+        used = self.used
+        self._remember(long, *self._encode([self._text(k) for k in long]))
+        places = np.array([known[k] if place is None else place for k, place in zip(keys, found)], np.int64)
+        pairs = np.full((len(whole), 2), known["\0"], np.int64)  # the empty piece, without ids
+        pairs[:, 0] = places[different.indices.to_numpy()]
+        pairs[at, 1] = [known[m] for m in marks]
+        places = pairs[codes]
+        ids = self._joined(places.reshape(-1))
+        ends = np.concatenate([[0], np.cumsum(self.length[places].sum(1))])[offsets]
+        for k in long:  # only while this slice lasts
+            del known[k]
+        self.used = used
+        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One for each file in a worker."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
-def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
-    """The batches in small slices, so that no more than these rows are Python objects at once."""
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in small slices, so that no more than these rows are worked on at once."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-
-
-def texts_of(column: pa.Array) -> list[str]:
-    """Texts from their bytes; null is empty, and bytes that are no UTF-8 become replacement characters."""
-    return [b.decode("utf-8", "replace") if b else "" for b in column.to_pylist()]

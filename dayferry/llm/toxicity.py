@@ -168,8 +168,8 @@ def letter_ratios(
 class Scorer:
     """The figures of a text; a worker remembers the differences of a bounded number of tokens."""
 
-    def __init__(self, ratios: dict[str, float]):
-        self.ratios = ratios
+    def __init__(self, ratios: dict[str, float], remembered: int = REMEMBERED):
+        self.ratios, self.remembered = ratios, remembered
         self.known: dict[bytes, float] = {}
 
     def word(self, word: str) -> float:
@@ -186,7 +186,7 @@ class Scorer:
     def __call__(self, text: bytes | None) -> tuple[float, float, int]:
         """Per word: the ratio of the mixture, and what passes the margin; and the number of words."""
         tokens = set((text or b"").split())
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.clear()
         for t in tokens.difference(self.known):
             self.known[t] = self.word(core(t.decode("utf-8", "replace")))
@@ -202,19 +202,19 @@ class Scorer:
 _SCORERS: dict = {}
 
 
-def _scorer(ratios) -> Scorer:
+def _scorer(ratios, remembered: int) -> Scorer:
     """One for the models a worker used last."""
     if ratios.value is not _SCORERS.get("of"):
-        _SCORERS.update({"of": ratios.value, "scorer": Scorer(ratios.value)})
+        _SCORERS.update({"of": ratios.value, "scorer": Scorer(ratios.value, remembered)})
     return _SCORERS["scorer"]
 
 
-def _figures(rows: DataFrame, ratios) -> DataFrame:
+def _figures(rows: DataFrame, ratios, remembered: int) -> DataFrame:
     """The rows, text replaced by figures; ``ratios`` is a Spark broadcast of the models' table."""
     kept = [c for c in rows.columns if c != "__text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(ratios)
+        score = _scorer(ratios, remembered)
         for part in in_slices(batches, 512):
             mixed, passed, words = zip(*[score(t) for t in part.column(0).to_pylist()])
             found = [pa.array(mixed, pa.float64()), pa.array(passed, pa.float64()), pa.array(words, pa.int64())]
@@ -256,6 +256,7 @@ def score_toxicity(
     threshold: float = THRESHOLD,
     sample_docs: int = SAMPLE_DOCS,
     columns: Sequence[str] | None = None,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """The columns of ``docs`` (or those named) with ``score`` and ``predicted``; only the text decides.
 
@@ -264,7 +265,8 @@ def score_toxicity(
     have the smallest hashes. A null text counts as an empty one and gets the score of no evidence;
     null ids are scored but never learnt from; rows that repeat are scored alike; without labels of both
     classes every score is about 0. Whole texts are read. Other columns pass through, but for those
-    that have an added name. An empty table stays empty.
+    that have an added name. An empty table stays empty. ``remembered`` bounds the tokens whose figures a
+    worker holds, about 150 bytes each.
     """
     spark = docs.sparkSession
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
@@ -283,13 +285,13 @@ def score_toxicity(
     ratios = spark.sparkContext.broadcast(dict(zip(keys, model["ratio"].to_pylist())))
     held = known.where(F.col("calibrates")).select(F.col("text").alias("__text"), "toxic")
     inputs = _inputs()
-    seen = _figures(held, ratios).select("toxic", *[c.cast("double").alias(f"x{i}") for i, c in enumerate(inputs)]).toArrow()
+    seen = _figures(held, ratios, remembered).select("toxic", *[c.cast("double").alias(f"x{i}") for i, c in enumerate(inputs)]).toArrow()
     x = np.stack([seen[f"x{i}"].to_numpy() for i in range(len(inputs))], 1)  # a few numbers per labelled text
     slopes, offset = fit_curve(x, seen["toxic"].to_numpy().astype(float))
     kept = docs.select(*[docs[f"`{c}`"] for c in columns]) if columns else docs
     rows = docs.select(packed(kept), F.col(text_column).alias("__text"))
     z = sum([F.lit(w) * c for w, c in zip(slopes, inputs)], F.lit(offset))
-    scored = _figures(rows, ratios).withColumn("__score", F.round(1 / (1 + F.exp(-z)), 9))
+    scored = _figures(rows, ratios, remembered).withColumn("__score", F.round(1 / (1 + F.exp(-z)), 9))
     return unpacked(
         scored, kept, score=F.col("__score"), predicted=(F.col("__score") >= F.lit(threshold)).cast("int")
     )
