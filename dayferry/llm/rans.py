@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dayferry.frames import shared_dir, written
-from dayferry.llm.tokens import encoder, in_slices, texts_of
+from dayferry.llm.tokens import encoder, in_slices
 
 MAGIC = b"DFRANS1\n"
 SCALE_BITS = 20
-LANES = 1024
+LANES = 4096
 BLOCK = 1 << 20
-CHECKPOINT_STEPS = 256
+CHECKPOINT_STEPS = 128
 FILE_TOKENS = 4 << 20
 END_ID = 1
 _LOW = np.uint64(1 << 31)
@@ -121,7 +121,7 @@ def write_file(keys: list[int], ids: list[bytes], table: Table, lanes: int = LAN
     blocks, heads, at = [], [], 0
     for first in range(0, len(symbols), BLOCK):
         part = symbols[first : first + BLOCK]
-        states, before, words = encode_block(part, table, lanes)
+        states, before, words = encode_block(part, table, lanes, CHECKPOINT_STEPS)
         data, span = states.tobytes() + words.tobytes(), lanes * CHECKPOINT_STEPS
         crcs = [zlib.crc32(part[i : i + span].tobytes()) for i in range(0, len(part), span)]
         heads.append({"at": at, "symbols": len(part), "words": len(words), "before": before, "crc32": crcs})
@@ -177,12 +177,12 @@ def token_ids(docs: DataFrame, tokenizer: str, id_column: str, text_column: str,
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         kind = _width(encode.vocabulary)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], kind).tobytes()
         for part in in_slices(batches):
-            found = [np.frombuffer(x + end, "<u4") for x in encode(texts_of(part.column(1)))]
+            found = encode(part.column(1))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(x) for x in found], pa.int64()),
-                 pa.array([x.astype(kind).tobytes() for x in found], pa.binary())],
+                [part.column(0), pa.array([len(x) + 1 for x in found], pa.int64()),
+                 pa.array([x.astype(kind).tobytes() + end for x in found], pa.binary())],
                 names=["doc_id", "n_tokens", "ids"],
             )
 
