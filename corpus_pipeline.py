@@ -15,8 +15,11 @@ from dayferry.llm.mixing import mix
 from dayferry.llm.packing import pack
 from dayferry.llm.quality import judge, trusted_ids
 from dayferry.llm.toxicity import score_toxicity
+from dayferry.llm.workers import reaching_workers
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Tokens and pieces that a Python worker remembers. It outlives its stage, beside the memory of the next ones.
+REMEMBERED = 200_000
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +36,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _columns(judged.where("kept"), docs)
 
 
+@reaching_workers
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic."""
-    scored = score_toxicity(docs, _labels(spark, sf_dir).select("doc_id", "toxic"))
+    scored = score_toxicity(docs, _labels(spark, sf_dir).select("doc_id", "toxic"), remembered=REMEMBERED)
     return _columns(scored.where(F.col("predicted") == 0), docs)
 
 
+@reaching_workers
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar texts."""
     return one_of_each_class(docs)
@@ -50,11 +55,12 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _columns(mixed, docs)
 
 
+@reaching_workers
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, packed into sequences."""
     import public_tokenizers
 
-    return pack(docs, public_tokenizers.path(TOKENIZER))
+    return pack(docs, public_tokenizers.path(TOKENIZER), remembered=REMEMBERED)
 
 
 STAGES = [
