@@ -45,6 +45,8 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 
 def fit_centroids(sample: np.ndarray, k: int, steps: int = STEPS) -> np.ndarray:
     """Lloyd's steps from points that the sample spreads; empty centroids stay where they are."""
+    if not sample.shape[1]:  # a half without numbers, of vectors of one
+        return np.zeros((1, 0))
     rng = np.random.default_rng(3)
     distinct = np.unique(sample, axis=0)
     centroids = distinct[rng.choice(len(distinct), min(k, len(distinct)), replace=False)]
