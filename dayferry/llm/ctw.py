@@ -4,7 +4,9 @@ A byte is eight binary decisions. At every context, the bytes before, from none
 decision has a Krichevsky-Trofimov estimate from the counts of the training texts, and the tree's weights say
 how far to trust the estimate of a context against those of the longer ones. Training counts the
 byte strings of context and next byte in all training texts; the tree is computed from these counts, from the
-longest contexts down, and the probabilities from the empty context up. A decision that was
+longest contexts down, and the probabilities from the empty context up. Tasks compute a branch each, the
+strings whose contexts end with the same bytes; only the levels above the branches, which have a fixed number
+of decisions, come to the driver. A decision that was
 never seen in a longer context is taken from the longest in which it was.
 
 The text of a document is its words in lower case, a space between them, and a line feed as the end.
@@ -29,12 +31,14 @@ from dayferry.llm.text import fold
 from dayferry.llm.tokens import in_slices
 
 DEPTH = 5
-#: Strings of context and next byte that the tree is built from at most: those seen least often are left
-#: out, so that what tasks hold has a bound. Sixteen bytes each, and about sixty for their decisions.
-MODEL_STRINGS = 600_000
+#: Bytes at the end of a context that name its branch of the tree.
+BRANCH = 2
+#: Strings of context and next byte whose log probabilities tasks hold at most, the most frequent ones of all
+#: texts; the others' are joined. The tree itself is built from all strings.
+HELD_STRINGS = 600_000
 #: Words whose counts tasks hold at most, the most frequent ones; the others' counts are joined.
 HELD_WORDS = 1_000_000
-_FLUSH = 6_000_000
+_FLUSH = 2_000_000
 _END = b"\n"
 _END_HASH = np.array([xxhash.xxh3_64_intdigest(_END)], np.uint64)
 _ONE, _EIGHT, _LOW = np.uint64(1), np.uint64(8), np.uint64(255)
@@ -71,11 +75,14 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return keys, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
 
 
-def count_training(texts: DataFrame, depth: int) -> DataFrame:
-    """kind (0: hash of a word, 1: context and next byte), key, n over all texts. Tasks sum their own first."""
+def count_texts(texts: DataFrame, depth: int) -> DataFrame:
+    """kind, key, n over texts with a mark of those that are learnt from. Tasks sum their own first.
+
+    Kind 0 is the hash of a word, 1 context and next byte, both of training texts; 2 is 1 of the other texts.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], []]
+        held: list[list] = [[], [], []]
 
         def out(kind: int) -> pa.RecordBatch:
             keys, n = _merged(held[kind])
@@ -84,15 +91,20 @@ def count_training(texts: DataFrame, depth: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "n"])
 
         for part in in_slices(batches, 1024):
-            lower, words, _ = _lower_words(part.column(0))
-            held[0].append(_counted(np.concatenate([words, np.repeat(_END_HASH, len(lower))])))
-            held[1].append(_counted(_strings_of(lower, depth)[0]))
-            for kind in (0, 1):
+            learnt = part.column(1)
+            for kind, texts in ((1, part.column(0).filter(learnt)), (2, part.column(0).filter(pc.invert(learnt)))):
+                if not len(texts):
+                    continue
+                lower = pc.ascii_lower(as_strings(texts))
+                if kind == 1:
+                    held[0].append(_counted(np.concatenate([word_hashes(lower)[0], np.repeat(_END_HASH, len(lower))])))
+                held[kind].append(_counted(_strings_of(lower, depth)[0]))
+            for kind in (0, 1, 2):
                 if sum(len(k) for k, _ in held[kind]) > _FLUSH:
                     held[kind] = [_merged(held[kind])]
                     if len(held[kind][0][0]) > _FLUSH // 2:
                         yield out(kind)
-        for kind in (0, 1):
+        for kind in (0, 1, 2):
             if held[kind]:
                 yield out(kind)
 
@@ -117,43 +129,59 @@ def _evidence(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return out
 
 
+def _climb(nodes: tuple, deep: int, least: int) -> tuple[list[tuple], tuple]:
+    """The levels from ``deep`` to ``least`` as key, estimate, trust and place of the parent, and the parents of the last.
+
+    Nodes are sorted keys of context and bits so far, counts of either bit, and what the contexts below
+    say together, or none for the longest contexts.
+    """
+    levels = []
+    for d in range(deep, least - 1, -1):
+        key, zeros, ones, below = nodes
+        evidence = _evidence(zeros, ones)
+        if below is None:
+            trust, weighted = np.ones(len(key)), evidence
+        else:
+            both = np.logaddexp(evidence, below)
+            trust, weighted = np.exp(evidence - both), both - math.log(2)
+        shorter, up = key[:0], np.zeros(len(key), np.int64)
+        if d:
+            mask = np.uint64((1 << (8 * (d - 1))) - 1)
+            shorter, up = np.unique((((key >> _EIGHT) & mask) << _EIGHT) | (key & _LOW), return_inverse=True)
+        levels.append((key, (ones + 0.5) / (zeros + ones + 1), trust, up))
+        if d:
+            nodes = shorter, np.bincount(up, zeros), np.bincount(up, ones), np.bincount(up, weighted)
+    return levels, nodes
+
+
 class Tree:
-    """The probabilities of all decisions seen, by depth of context; sorted keys, so that numpy finds them."""
+    """The probabilities of all decisions seen, by depth of context; sorted keys, so that numpy finds them.
+
+    ``top`` has the levels above a branch; without it the strings are those of the whole tree.
+    """
 
-    def __init__(self, strings: np.ndarray, counts: np.ndarray, depth: int):
-        self.depth = depth
+    def __init__(self, strings: np.ndarray, counts: np.ndarray, depth: int, top: Top | None = None):
         order = np.argsort(strings)
         strings, counts = strings[order], counts[order].astype(np.float64)
-        key, zeros, ones = self._decisions(strings, counts)
-        keys, tallies, ups = [key], [(zeros, ones)], []
-        evidence = _evidence(zeros, ones)
-        weighted, trust = evidence, [np.ones(len(key))]
-        for d in range(depth - 1, -1, -1):
-            mask = np.uint64((1 << (8 * d)) - 1)
-            shorter = (((key >> _EIGHT) & mask) << _EIGHT) | (key & _LOW)
-            key, up = np.unique(shorter, return_inverse=True)
-            below = np.bincount(up, weighted)
-            zeros, ones = np.bincount(up, zeros), np.bincount(up, ones)
-            evidence = _evidence(zeros, ones)
-            both = np.logaddexp(evidence, below)
-            trust.append(np.exp(evidence - both))
-            weighted = both - math.log(2)
-            keys.append(key)
-            tallies.append((zeros, ones))
-            ups.append(up)
-        self.keys, self.ones = keys[::-1], []
-        mixed, left = np.zeros(len(self.keys[0])), np.ones(len(self.keys[0]))
-        for d in range(depth + 1):
-            zeros, ones = tallies.pop()
-            if d:
-                up = ups.pop()
-                mixed, left = mixed[up], left[up]
-            estimate, weight = (ones + 0.5) / (zeros + ones + 1), trust.pop()
-            self.ones.append((mixed + left * estimate).astype(np.float32))
-            mixed, left = mixed + left * weight * estimate, left * (1 - weight)
+        levels, (key, *_) = _climb((*self._decisions(strings, counts), None), depth, top.depth + 1 if top else 0)
+        self.depth, self.keys, self.ones = depth, list(top.keys) if top else [], list(top.ones) if top else []
+        if top:
+            at = np.searchsorted(top.keys[-1], key)
+            mixed, left = top.mixed[at], top.left[at]
+        else:
+            mixed, left = np.zeros(1), np.ones(1)
+        self._descend(levels, mixed, left)
         self.strings = strings
         self.logs = self._from_decisions(strings).astype(np.float32)
 
+    def _descend(self, levels: list[tuple], mixed: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        for key, estimate, trust, up in levels[::-1]:
+            mixed, left = mixed[up], left[up]
+            self.keys.append(key)
+            self.ones.append((mixed + left * estimate).astype(np.float32))
+            mixed, left = mixed + left * trust * estimate, left * (1 - trust)
+        return mixed, left
+
     @staticmethod
     def _decisions(strings: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The decisions of the longest contexts: a key of context and bits so far, and counts of either bit."""
@@ -206,9 +234,53 @@ class Tree:
         return logs[coded.indices.to_numpy()]
 
 
-def _threshold(counts: DataFrame, most: int) -> int:
+class Top(Tree):
+    """The levels above the branches, and what is mixed and left where the branches begin."""
+
+    def __init__(self, nodes: tuple, depth: int):
+        self.depth, self.keys, self.ones = depth, [], []
+        self.mixed, self.left = self._descend(_climb(nodes, depth, 0)[0], np.zeros(1), np.ones(1))
+
+
+def string_logs(strings: DataFrame, depth: int) -> DataFrame:
+    """key, seen and log, the log probability of the last byte, of strings with n, their count in training texts.
+
+    Each branch is computed twice in its task: up to the levels above, and down again from them. Those have
+    255 decisions for each of at most 256 contexts.
+    """
+    branch = min(BRANCH, depth)
+    place = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * branch)) - 1))
+    strings = strings.select(place.alias("branch"), "key", "n", "seen")
+    top = None
+    if branch:
+
+        def up(table: pa.Table) -> pa.Table:
+            keys, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
+            order = np.argsort(keys)
+            leaves = Tree._decisions(keys[order], n[order].astype(np.float64))
+            key, zeros, ones, below = _climb((*leaves, None), depth, branch)[1]
+            return pa.table({"key": key.view(np.int64), "zeros": zeros, "ones": ones, "below": below})
+
+        above = strings.where(F.col("n") > 0).groupBy("branch").applyInArrow(
+            up, "key bigint, zeros double, ones double, below double"
+        )
+        above = above.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "below")]).toArrow()
+        key = above["key"].to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        top = Top((key[order], *[above[c].to_numpy()[order] for c in ("zeros", "ones", "below")]), branch - 1)
+    shared = strings.sparkSession.sparkContext.broadcast(top)
+
+    def down(table: pa.Table) -> pa.Table:
+        keys, n = table["key"].to_numpy().view(np.uint64), table["n"].to_numpy()
+        tree = Tree(keys[n > 0], n[n > 0], depth, shared.value)
+        return pa.table({"key": table["key"], "seen": table["seen"], "log": tree.logs_of(keys)})
+
+    return strings.groupBy("branch").applyInArrow(down, "key bigint, seen bigint, log double")
+
+
+def _threshold(counts: DataFrame, most: int, n: str = "n") -> int:
     """The least count, a power of two, that at most so many keys reach. One row per power comes to the driver."""
-    power = F.floor(F.log2("n")).cast("int")
+    power = F.floor(F.log2(n)).cast("int")
     sizes = {r["p"]: r["k"] for r in counts.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("k")).collect()}
     total, least = 0, 1 << 62
     for p in sorted(sizes, reverse=True):
@@ -225,13 +297,30 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.diff(sums[np.concatenate([starts, [len(values)]])])
 
 
+def _others(keys: np.ndarray, known: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The keys of each text that are not known; texts lie between the bounds."""
+    ends = np.concatenate([[0], np.cumsum(~known)])[bounds]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[~known].view(np.int64)))
+
+
+def _looked_up(strings: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The logs of strings among sorted keys, 0 for the others, and which are there; each different one is looked up once."""
+    coded = pa.array(strings).dictionary_encode()
+    unique, places = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    if not len(keys):
+        return np.zeros(len(strings)), np.zeros(len(strings), bool)
+    at = np.minimum(np.searchsorted(keys, unique), len(keys) - 1)
+    hit = keys[at] == unique
+    return np.where(hit, logs[at], 0.0)[places], hit[places]
+
+
 def score_texts(
     docs: DataFrame,
     training: Column,
     id_column: str = "doc_id",
     text_column: str = "text",
     depth: int = DEPTH,
-    model_strings: int = MODEL_STRINGS,
+    held_strings: int = HELD_STRINGS,
     held_words: int = HELD_WORDS,
 ) -> DataFrame:
     """The id of every document with n_tokens, n_known, train_tokens, base_score, score and bits_per_byte.
@@ -245,21 +334,30 @@ def score_texts(
     """
     spark = docs.sparkSession
     text = F.col(text_column).cast("binary").alias("text")
-    counts = written(count_training(docs.where(training).select(text), depth), "ctw-counts")
-    words, strings = (counts.where(F.col("kind") == k).select("key", "n") for k in (0, 1))
+    learnt = F.coalesce(training, F.lit(False)).alias("learnt")
+    counts = written(count_texts(docs.select(text, learnt), depth), "ctw-counts")
+    words = counts.where(F.col("kind") == 0).select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    kept = strings.where(F.col("n") >= _threshold(strings, model_strings)).toArrow()  # bounded by ``model_strings``
-    tree = Tree(kept["key"].to_numpy().view(np.uint64), kept["n"].to_numpy(), depth)
+    strings = counts.where(F.col("kind") > 0).groupBy("key").agg(
+        F.sum(F.when(F.col("kind") == 1, F.col("n")).otherwise(0)).alias("n"), F.sum("n").alias("seen")
+    )
+    strings = written(string_logs(strings, depth), "ctw-logs")
+    frequent = _threshold(strings, held_strings, "seen")
+    kept = strings.where(F.col("seen") >= frequent).toArrow()  # bounded by ``held_strings``
+    known = np.argsort(kept["key"].to_numpy().view(np.uint64))
     least = _threshold(words, held_words)
     held = words.where(F.col("n") >= least).toArrow()  # bounded by ``held_words``
     order = np.argsort(held["key"].to_numpy().view(np.uint64))
     model = spark.sparkContext.broadcast(
-        (tree, held["key"].to_numpy().view(np.uint64)[order], held["n"].to_numpy()[order])
-    )
+        (
+            kept["key"].to_numpy().view(np.uint64)[known], kept["log"].to_numpy()[known],
+            held["key"].to_numpy().view(np.uint64)[order], held["n"].to_numpy()[order],
+        )
+    )
     below = total + 0.5 * (distinct + 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, counts = model.value
+        held_keys, held_logs, keys, counts = model.value
         row = TaskContext.get().partitionId() << 40
         for part in in_slices(batches, 1024):
             lower, found, starts = _lower_words(part.column(1))
@@ -268,18 +366,21 @@ def score_texts(
             hit = keys[at] == found if len(keys) else np.zeros(len(found), bool)
             logs = np.zeros(len(found))
             logs[hit] = np.log10((counts[at[hit]] + 0.5) / below)
-            rare, ends = found[~hit].view(np.int64), np.concatenate([[0], np.cumsum(~hit)])[starts]
-            grams, first = _strings_of(lower, tree.depth)
-            score = _sums(tree.logs_of(grams), first) / math.log(10)
-            sizes = np.diff(np.concatenate([first, [len(grams)]]))
+            rare = _others(found, hit, starts)
+            grams, first = _strings_of(lower, depth)
+            bounds = np.concatenate([first, [len(grams)]])
+            logs_of, there = _looked_up(grams, held_keys, held_logs)
+            score = _sums(logs_of, first) / math.log(10)
+            rare_strings = _others(grams, there, bounds)
+            sizes = np.diff(bounds)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row + np.arange(part.num_rows)), part.column(0), pa.array(n + 1),
                     pa.array(_sums(hit.astype(float), starts[:-1]).astype(np.int64)),
                     pa.array(_sums(logs, starts[:-1])), pa.array(score), pa.array(sizes),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare)),
+                    rare, rare_strings,
                 ],
-                names=["row", "id", "n_tokens", "known", "base", "score", "bytes", "rare"],
+                names=["row", "id", "n_tokens", "known", "base", "score", "bytes", "rare", "rare_strings"],
             )
             row += part.num_rows
 
@@ -287,27 +388,34 @@ def score_texts(
     schema = ids.select(
         F.lit(0).cast("bigint").alias("row"), "id", *[F.lit(0).cast("bigint").alias(c) for c in ("n_tokens", "known")],
         F.lit(0.0).alias("base"), F.lit(0.0).alias("score"), F.lit(0).cast("bigint").alias("bytes"),
-        F.array().cast("array<bigint>").alias("rare"),
+        *[F.array().cast("array<bigint>").alias(c) for c in ("rare", "rare_strings")],
     ).schema
     scored = written(ids.mapInArrow(run, schema), "ctw-scored")
-    # The words whose counts tasks don't hold: each document's own few, with their counts by a join.
+    # The words and strings that tasks don't hold: each document's own few, with their logs by a join.
     # The end is a token of every text, counted with the training texts.
-    missing = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count(F.lit(1)).alias("times"))
-    few = words.where(F.col("n") < least)
-    found = missing.join(few, "key", "left")
-    log = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(below))
+    missing = [
+        scored.select("row", F.lit(kind).alias("kind"), F.explode(c).alias("key")) for kind, c in ((0, "rare"), (1, "rare_strings"))
+    ]
+    missing = missing[0].unionByName(missing[1])
+    few = words.where(F.col("n") < least).select(F.lit(0).alias("kind"), "key", F.log10((F.col("n") + 0.5) / F.lit(below)).alias("log"))
+    others = strings.where(F.col("seen") < frequent).select(F.lit(1).alias("kind"), "key", (F.col("log") / math.log(10)).alias("log"))
+    found = missing.join(few.unionByName(others), ["kind", "key"], "left")
+    word = F.col("kind") == 0
     more = found.groupBy("row").agg(
-        F.sum(F.col("times") * log).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("more_known")
+        F.sum(F.when(word, F.coalesce("log", F.log10(F.lit(0.5) / F.lit(below))))).alias("more"),
+        F.count(F.when(word, F.col("log"))).alias("more_known"),
+        F.sum(F.when(~word, F.col("log"))).alias("more_score"),
     )
     ends = words.where(F.col("key") == int(_END_HASH.view(np.int64)[0])).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    score = F.col("score") + F.coalesce("more_score", F.lit(0.0))
     return scored.join(more, "row", "left").select(
         F.col("id").alias(id_column),
         "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0)) + F.lit(int(ends > 0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) + F.lit(math.log10((ends + 0.5) / below))).alias("base_score"),
-        "score",
-        (-F.col("score") * math.log2(10) / F.col("bytes")).alias("bits_per_byte"),
+        score.alias("score"),
+        (-score * math.log2(10) / F.col("bytes")).alias("bits_per_byte"),
     )
 
 

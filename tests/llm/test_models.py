@@ -120,6 +120,21 @@ def test_scores_of_documents(spark, sf_dir, held_words):
     assert not found
 
 
+@pytest.mark.parametrize("held_strings", [600_000, 100, 0])
+@pytest.mark.parametrize("depth", [0, 1, 3])
+def test_tree_keeps_every_string(spark, sf_dir, depth, held_strings):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    strings = Counter(s for i, x in rows if i % 3 for s in canonical(x, depth))
+    tree = Tree(np.array([number(s) for s in strings], np.uint64), np.array(list(strings.values())), depth)
+    found = score_texts(docs, F.col("doc_id") % 3 != 0, depth=depth, held_strings=held_strings).collect()
+    texts = dict(rows)
+    assert sorted(r["doc_id"] for r in found) == sorted(texts)
+    for r in found:
+        logs = tree.logs_of(np.array([number(s) for s in canonical(texts[r["doc_id"]], depth)], np.uint64))
+        assert r["score"] == pytest.approx(logs.sum() / math.log(10), rel=1e-5)
+
+
 def test_tree_beats_single_words_on_held_out_documents(spark):
     rows = op5_context_tree_score(spark, "/root/testdata/sf0.1").where("held_out").agg(F.sum("base_score"), F.sum("score")).first()
     assert rows[1] > rows[0]
