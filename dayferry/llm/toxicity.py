@@ -6,10 +6,10 @@ in how many different contexts a letter was seen; so an expression too rare to b
 is as likely in both, and an inflected one is judged by its stem. Toxic documents are fewer; the ordinary
 model is thinned to as many, in expectation and without drawing, so that neither has the longer memory.
 
-A text's words, each once, have log-likelihood differences. Most words of a text say only which
-language it is in, so the median is subtracted. Two figures per word remain, whatever the length:
-the log-likelihood ratio of a text with a small share of toxic words to one without, and what passes
-a margin. A logistic curve, fitted on labelled documents that the models did not see, makes the score.
+All words of a text, as often as they occur, have log-likelihood differences, against the same baseline
+in every text: none, as both models have learnt from as many documents. Two figures per word remain, whatever
+the length: the log-likelihood ratio of a text with a small share of toxic words to one without, and
+what passes a margin. A logistic curve, fitted on labelled documents that the models did not see, makes the score.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ ORDERS = (7, 3, 1)  # letters of context: of the two models and the shared one,
 DISCOUNT = 0.75
 LEAST_CONTEXT = 10  # a context seen less often, after thinning, tells the models nothing apart
 SHARE = 0.02  # of toxic words in a toxic text
-MARGIN = 3.0  # nats above the median from which a word counts as an expression of its class
+MARGIN = 3.0  # nats from which a word counts as an expression of its class
 THRESHOLD = 0.7
 REMEMBERED = 1_000_000
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
@@ -185,18 +185,19 @@ class Scorer:
 
     def __call__(self, text: bytes | None) -> tuple[float, float, int]:
         """Per word: the ratio of the mixture, and what passes the margin; and the number of words."""
-        tokens = set((text or b"").split())
+        found = Counter((text or b"").split())
         if len(self.known) > self.remembered:
             self.known.clear()
-        for t in tokens.difference(self.known):
+        for t in set(found).difference(self.known):
             self.known[t] = self.word(core(t.decode("utf-8", "replace")))
-        values = np.array([self.known[t] for t in tokens])
+        values = np.array([self.known[t] for t in found])
+        times = np.array(list(found.values()))[~np.isnan(values)] if found else values
         values = values[~np.isnan(values)]
         if not len(values):
             return 0.0, 0.0, 0
-        values -= np.median(values)
-        mixed = np.log(1 - SHARE + SHARE * np.exp(np.clip(values, -10, 10))).mean()
-        return float(mixed), float(np.maximum(values - MARGIN, 0).mean()), len(values)
+        n = int(times.sum())
+        mixed = np.log(1 - SHARE + SHARE * np.exp(np.clip(values, -10, 10)))
+        return float(mixed @ times / n), float(np.maximum(values - MARGIN, 0) @ times / n), n
 
 
 _SCORERS: dict = {}

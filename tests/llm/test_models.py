@@ -161,6 +161,21 @@ def test_toxic_documents_are_found(spark):
     assert hits > 0.75 * sum(r["toxic"] for r in held) and hits > 0.9 * sum(r["predicted"] for r in held)
 
 
+def test_texts_of_mostly_and_only_toxic_words(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    plain = "the reth and erre wh tion her ing and that the ent is to was the on and er th".split()
+    insults = "idiot pathetic loser stupid scum".split()
+    texts = {
+        -1: insults[:1], -2: insults, -3: insults * 6 + plain, -4: plain * 2 + insults, -5: ["moron"] * 30,
+        -6: plain * 10 + ["moron"] * 20, -7: plain, -8: plain * 20,
+    }
+    probes = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id bigint, text string")
+    rows = score_toxicity(docs.unionByName(probes), labels).where("doc_id < 0").collect()
+    assert {r["doc_id"]: r["predicted"] for r in rows} == {i: int(i > -7) for i in texts}
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame(
