@@ -229,6 +229,8 @@ def _roots(edges: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"classes still change after {MAX_ROUNDS} rounds")
     return edges.select(F.col("a").alias("digest"), F.col("b").alias("root"))
 
 

@@ -101,9 +101,11 @@ def solve_dual(sizes: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
         full.alias("done"),
     )
     state = written(state, "mixing-dual")
-    for _ in range(MAX_STEPS):
+    for steps in range(MAX_STEPS + 1):
         if state.where(~F.col("done")).isEmpty():
             break
+        if steps == MAX_STEPS:
+            raise RuntimeError(f"targets are not met after {MAX_STEPS} Newton steps")
         # The sources are far fewer than the rows of ``sizes``; the planner broadcasts them if small.
         at = _join(sizes, state, ["source"]).where(~F.col("done"))
         rate = _rate(F.col("lam"), F.col("size"), F.col("mean"), cap)

@@ -124,3 +124,11 @@ def test_shared_counts():
 
 def test_runs():
     assert runs_needed(0.8, 0.9995, 3) == 11 and runs_needed(0.8, 0.99999, 3) == 17 and runs_needed(0.5, 0.9, 1) == 4
+
+
+def test_classes_that_still_change_are_no_result(spark, monkeypatch):
+    path = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(30)], "a binary, b binary")
+    assert {bytes(r["root"]) for r in jaccard._roots(path).collect()} == {bytes([0])}
+    monkeypatch.setattr(jaccard, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        jaccard._roots(path)

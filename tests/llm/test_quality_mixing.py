@@ -178,3 +178,9 @@ def test_targets_at_random(spark):
         rows = [(i, text(rng, rng.randint(0, 30)), rng.choice(["a", "é", "B", "z", None])) for i in range(120)]
         rows += [(1000 + i, text(rng, 40), "solo") for i in range(rng.randint(1, 200))]
         _check_mix(mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect(), 2)
+
+
+def test_targets_that_are_not_met_are_no_result(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.raises(RuntimeError):
+        mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
