@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from dayferry.llm.chat import OP9_SQL, op9_chat_windows
 from dayferry.llm.ctw import op5_context_tree_score
+from dayferry.llm.infill import OP12_SQL, op12_counted_infill
 from dayferry.llm.jaccard import op6_chosen_path_join
 from dayferry.llm.mixing import op4_entropy_mixing
 from dayferry.llm.multi_index import op3_multi_index_search
@@ -29,7 +30,8 @@ QUERIES: dict[str, Callable] = {
         op8_seekable_warc,
         op9_chat_windows,
         op10_kneser_ney_toxicity,
+        op12_counted_infill,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_seekable_warc": OP8_SQL, "op9_chat_windows": OP9_SQL}
+ORACLES: dict[str, str] = {"op8_seekable_warc": OP8_SQL, "op9_chat_windows": OP9_SQL, "op12_counted_infill": OP12_SQL}

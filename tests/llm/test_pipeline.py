@@ -49,5 +49,5 @@ def test_decisions_take_effect(spark, stages):
 
 def test_registered(spark):
     names = contract.queries()
-    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 10
+    assert "pipeline" in names and sum(n.startswith("op") for n in names) == 13
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
