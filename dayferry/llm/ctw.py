@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from dayferry.frames import written
 from dayferry.llm.shingles import as_strings, word_hashes
 from dayferry.llm.text import fold
-from dayferry.llm.tokens import in_slices
+from dayferry.llm.tokens import SLICE_BYTES, in_slices
 
 DEPTH = 5
 #: Bytes at the end of a context that name its branch of the tree.
@@ -38,7 +38,8 @@ BRANCH = 2
 HELD_STRINGS = 600_000
 #: Words whose counts tasks hold at most, the most frequent ones; the others' counts are joined.
 HELD_WORDS = 1_000_000
-_FLUSH = 2_000_000
+#: Counts of one kind that a task holds before it merges them; it lets them go if more than half are different.
+_FLUSH = 1_000_000
 _END = b"\n"
 _END_HASH = np.array([xxhash.xxh3_64_intdigest(_END)], np.uint64)
 _ONE, _EIGHT, _LOW = np.uint64(1), np.uint64(8), np.uint64(255)
@@ -50,19 +51,44 @@ def _lower_words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lower, *word_hashes(lower)
 
 
-def _strings_of(lower: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Context and next byte of every byte of the texts as one number, and where each text starts."""
-    texts = [b" ".join(t.encode().split()) + _END for t in lower.to_pylist()]
-    pad = _END * depth
-    data = np.frombuffer(b"".join([x for t in texts for x in (pad, t)]), np.uint8)
-    sizes = np.array([len(t) for t in texts], np.int64)
+def _strings_of(lower: pa.Array, depth: int, most: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Context and next byte of every byte of the texts as one number, the texts they are of, and where each starts.
+
+    Texts come together as long as they are short; a long one comes in parts of ``most`` bytes, each with
+    the bytes before it as its first context.
+    """
+    pad, texts, held = _END * depth, [], 0
+    for i, t in enumerate(_bytes_of(lower)):
+        if texts and held + len(t) > most:
+            yield _codes(texts, depth)
+            texts, held = [], 0
+        if len(t) > most:
+            for at in range(0, len(t), most):
+                before = t[at - depth : at] if at >= depth else pad[: depth - at] + t[:at]
+                yield _codes([(i, before + t[at : at + most])], depth)
+        else:
+            texts.append((i, pad + t))
+            held += len(t)
+    if texts:
+        yield _codes(texts, depth)
+
+
+def _bytes_of(lower: pa.Array) -> Iterator[bytes]:
+    """Each text with one space between its words, and its end."""
+    for text in lower:
+        yield b" ".join(text.as_py().encode().split()) + _END
+
+
+def _codes(texts: list[tuple[int, bytes]], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    data = np.frombuffer(b"".join([t for _, t in texts]), np.uint8)
+    sizes = np.array([len(t) - depth for _, t in texts], np.int64)
     ends = np.cumsum(sizes)
-    n = int(ends[-1]) if len(ends) else 0
+    n = int(ends[-1])
     at = np.repeat(depth * np.arange(1, len(texts) + 1), sizes) + np.arange(n)
     found = np.zeros(n, np.uint64)
     for j in range(depth, -1, -1):
         found = (found << _EIGHT) | data[at - j]
-    return found, ends - sizes
+    return found, np.array([i for i, _ in texts], np.int64), ends - sizes
 
 
 def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,6 +116,12 @@ def count_texts(texts: DataFrame, depth: int) -> DataFrame:
             columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)]
             return pa.RecordBatch.from_arrays(columns, names=["kind", "key", "n"])
 
+        def full(kind: int) -> Iterator[pa.RecordBatch]:
+            if sum(len(k) for k, _ in held[kind]) > _FLUSH:
+                held[kind] = [_merged(held[kind])]
+                if len(held[kind][0][0]) > _FLUSH // 2:
+                    yield out(kind)
+
         for part in in_slices(batches, 1024):
             learnt = part.column(1)
             for kind, texts in ((1, part.column(0).filter(learnt)), (2, part.column(0).filter(pc.invert(learnt)))):
@@ -98,12 +130,10 @@ def count_texts(texts: DataFrame, depth: int) -> DataFrame:
                 lower = pc.ascii_lower(as_strings(texts))
                 if kind == 1:
                     held[0].append(_counted(np.concatenate([word_hashes(lower)[0], np.repeat(_END_HASH, len(lower))])))
-                held[kind].append(_counted(_strings_of(lower, depth)[0]))
-            for kind in (0, 1, 2):
-                if sum(len(k) for k, _ in held[kind]) > _FLUSH:
-                    held[kind] = [_merged(held[kind])]
-                    if len(held[kind][0][0]) > _FLUSH // 2:
-                        yield out(kind)
+                for found, _, _ in _strings_of(lower, depth):
+                    held[kind].append(_counted(found))
+                    yield from full(kind)
+            yield from full(0)
         for kind in (0, 1, 2):
             if held[kind]:
                 yield out(kind)
@@ -367,12 +397,18 @@ def score_texts(
             logs = np.zeros(len(found))
             logs[hit] = np.log10((counts[at[hit]] + 0.5) / below)
             rare = _others(found, hit, starts)
-            grams, first = _strings_of(lower, depth)
-            bounds = np.concatenate([first, [len(grams)]])
-            logs_of, there = _looked_up(grams, held_keys, held_logs)
-            score = _sums(logs_of, first) / math.log(10)
-            rare_strings = _others(grams, there, bounds)
-            sizes = np.diff(bounds)
+            score, sizes = np.zeros(part.num_rows), np.zeros(part.num_rows, np.int64)
+            unknown, unknown_of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            for grams, texts, first in _strings_of(lower, depth):
+                logs_of, there = _looked_up(grams, held_keys, held_logs)
+                lengths = np.diff(np.append(first, len(grams)))
+                score[texts] += _sums(logs_of, first) / math.log(10)
+                sizes[texts] += lengths
+                unknown.append(grams[~there])
+                unknown_of.append(np.repeat(texts, lengths)[~there])
+            rare_of = np.concatenate(unknown_of)
+            offsets = np.searchsorted(rare_of, np.arange(part.num_rows + 1)).astype(np.int32)
+            rare_strings = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(unknown).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(row + np.arange(part.num_rows)), part.column(0), pa.array(n + 1),

@@ -183,8 +183,30 @@ def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     return Encoder(path, remembered)
 
 
-def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """The batches in small slices, so that no more than these rows are worked on at once."""
+#: Bytes of texts in a slice. What is worked out beside a text is some dozens of times as large.
+SLICE_BYTES = 1 << 20
+
+
+def _row_bytes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of the texts and binary values of each row."""
+    total = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            total += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    return total
+
+
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 1024, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in small slices, so that no more than these rows and bytes are worked on at once.
+
+    A row that is longer by itself is a slice of its own.
+    """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        ends = np.cumsum(_row_bytes(batch))
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            end = min(int(np.searchsorted(ends, before + size, "right")), at + rows, batch.num_rows)
+            end = max(end, at + 1)
+            yield batch.slice(at, end - at)
+            at = end
