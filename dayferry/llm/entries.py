@@ -13,6 +13,7 @@ from dayferry.llm.multi_index import op3_multi_index_search
 from dayferry.llm.packing import op1_window_packing
 from dayferry.llm.quality import op2_llr_quality
 from dayferry.llm.rans import op7_rans_tokens
+from dayferry.llm.resampling import OP13_SQL, op13_segment_resampling
 from dayferry.llm.toxicity import op10_kneser_ney_toxicity
 from dayferry.llm.warc import OP8_SQL, op8_seekable_warc
 from dayferry.llm.workers import reaching_workers
@@ -31,7 +32,13 @@ QUERIES: dict[str, Callable] = {
         op9_chat_windows,
         op10_kneser_ney_toxicity,
         op12_counted_infill,
+        op13_segment_resampling,
     )
 }
 
-ORACLES: dict[str, str] = {"op8_seekable_warc": OP8_SQL, "op9_chat_windows": OP9_SQL, "op12_counted_infill": OP12_SQL}
+ORACLES: dict[str, str] = {
+    "op8_seekable_warc": OP8_SQL,
+    "op9_chat_windows": OP9_SQL,
+    "op12_counted_infill": OP12_SQL,
+    "op13_segment_resampling": OP13_SQL,
+}
