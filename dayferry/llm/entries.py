@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from dayferry.llm.chat import OP9_SQL, op9_chat_windows
+from dayferry.llm.cover_tree import OP11_SQL, op11_cover_tree_links
 from dayferry.llm.ctw import op5_context_tree_score
 from dayferry.llm.infill import OP12_SQL, op12_counted_infill
 from dayferry.llm.jaccard import op6_chosen_path_join
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable] = {
         op8_seekable_warc,
         op9_chat_windows,
         op10_kneser_ney_toxicity,
+        op11_cover_tree_links,
         op12_counted_infill,
         op13_segment_resampling,
     )
@@ -39,6 +41,7 @@ QUERIES: dict[str, Callable] = {
 ORACLES: dict[str, str] = {
     "op8_seekable_warc": OP8_SQL,
     "op9_chat_windows": OP9_SQL,
+    "op11_cover_tree_links": OP11_SQL,
     "op12_counted_infill": OP12_SQL,
     "op13_segment_resampling": OP13_SQL,
 }
