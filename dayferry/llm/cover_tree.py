@@ -39,7 +39,8 @@ SAMPLE = 2048  # points that the upper nodes are chosen from
 CELLS = 1024  # of vectors of one length, at most
 BALLS = 64
 LEAST_BALL = 16  # sampled points
-RADII = (1.0, 0.5, 0.25, 0.125)  # of a block's levels below the root; the last level holds all points
+#: Of a block's levels below the root; the last level holds all points. Two nodes of radius 1 could never be told apart.
+RADII = (0.5, 0.25, 0.125)
 MARGIN = 1e-7  # of distances, for rounding
 _MATRIX = 1 << 21  # distances worked out at once
 
@@ -153,8 +154,9 @@ def cover_levels(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parent[new] = above[_most(x, new, above)[1]]
         ancestors[:, k - 1] = parent[ancestors[:, k] if k < depth else np.arange(n)]
     for k in range(depth):
-        gap = distances(np.einsum("ij,ij->i", x, x[ancestors[:, k]]))
-        np.maximum.at(radii[:, k], ancestors[:, k], gap)
+        others = np.flatnonzero(ancestors[:, k] != np.arange(n))
+        above = ancestors[others, k]
+        np.maximum.at(radii[:, k], above, distances(np.einsum("ij,ij->i", x[others], x[above])))
     return level, ancestors, radii
 
 
@@ -193,7 +195,7 @@ class Tree:
             ends = np.cumsum(np.bincount(self.ancestors[lower, k], minlength=len(self.x)))
             self._below[k] = lower[order], ends
         lower, ends = self._below[k]
-        starts = ends[nodes] - np.diff(ends, prepend=0)[nodes]
+        starts = np.where(nodes > 0, ends[nodes - 1], 0)
         sizes = ends[nodes] - starts
         at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
         return lower[at]
