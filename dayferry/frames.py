@@ -17,10 +17,17 @@ _ARROW = {
     T.BooleanType(): pa.bool_(),
     T.DateType(): pa.date32(),
     T.TimestampNTZType(): pa.timestamp("us"),
+    T.TimestampType(): pa.timestamp("us", "UTC"),
     T.ArrayType(T.StringType()): pa.list_(pa.string()),
+    T.DecimalType(38, 0): pa.decimal128(38, 0),
 }
 
 
+def fields(**types: T.DataType) -> T.StructType:
+    """A schema by names, without a session."""
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
 def small_frame(spark: SparkSession, rows: Iterable[Mapping], schema: T.StructType) -> DataFrame:
     """A literal frame for a handful of driver-side rows.
 

@@ -27,7 +27,7 @@ STATUS_SCHEMA = T.StructType([
 ])
 
 
-def current_status(log: DataFrame) -> DataFrame:
+def current_status(log: DataFrame, keep_version: bool = False) -> DataFrame:
     """One row per table from a log of status rows with a ``version``; the highest version wins.
 
     The whole row is taken from it, so a null there clears an older value; only the id of a
@@ -42,8 +42,9 @@ def current_status(log: DataFrame) -> DataFrame:
         .agg(
             F.min(F.struct("version", "id")).getField("id").alias("id"),
             F.max_by(values, order).alias("v"),
+            F.max("version").alias("version"),
         )
-        .select("id", "table_name", "v.*")
+        .select("id", "table_name", "v.*", *(["version"] if keep_version else []))
     )
 
 

@@ -7,13 +7,14 @@ counts it is compared with come from a scan, and those are aggregated first.
 from __future__ import annotations
 
 import datetime as dt
+import heapq
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dayferry.frames import small_frame
+from dayferry.frames import fields, small_frame
 from dayferry.functions import task_text
 from dayferry.registry import TableSpec, window_days
 
@@ -115,6 +116,31 @@ def lane_depth(tasks: DataFrame) -> DataFrame:
     return tasks.groupBy(lane).agg(F.count(F.lit(1)).alias("depth"))
 
 
+_LONG = T.LongType()
+_LANE_SCHEMA = fields(target_table=T.StringType(), weight=_LONG, lane=_LONG, place=_LONG, lane_total=_LONG)
+
+
+def place_in_lanes(weights: Mapping[str, int], lanes: int) -> list[dict]:
+    """Tables in the order they are started, each in the lane with the least weight so far.
+
+    Heaviest first, ties by name, and by number for lanes: no lane then ends later than 4/3 of the best plan's end.
+    """
+    if lanes < 1:
+        raise ValueError(f"lanes must be at least 1, got {lanes!r}")
+    held, rows = [(0, i) for i in range(lanes)], []
+    for table, weight in sorted(weights.items(), key=lambda x: (-x[1], x[0])):
+        total, lane = heapq.heappop(held)
+        heapq.heappush(held, (total + weight, lane))
+        rows.append({"target_table": table, "weight": weight, "lane": lane, "place": len(rows) + 1})
+    totals = {lane: total for total, lane in held}
+    return [r | {"lane_total": totals[r["lane"]]} for r in rows]
+
+
+def lane_schedule(spark: SparkSession, weights: Mapping[str, int], lanes: int) -> DataFrame:
+    """One row per table: its lane, its place in the order of starts, and the weight of the whole lane."""
+    return small_frame(spark, place_in_lanes(weights, lanes), _LANE_SCHEMA)
+
+
 def day_coverage(tasks: DataFrame, counts: DataFrame) -> DataFrame:
     """Each task with the records of its day, 0 when there are none.
 

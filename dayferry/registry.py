@@ -29,6 +29,7 @@ class TableSpec:
     columns: tuple[ColumnSpec, ...]
     time_column: str  # by its source name
     default_days: int = 60
+    zone: str | None = None  # whose days count, for times in UTC; None takes days as the times are stored
 
     def __post_init__(self):
         for side in ("source", "target"):

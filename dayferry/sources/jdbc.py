@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from dayferry.operators.project import quoted
-from dayferry.operators.window import time_type
+from dayferry.operators.project import column, quoted
+from dayferry.operators.window import time_type, zone_midnight
 from dayferry.registry import DAY, TableSpec
 from dayferry.sources.preflight import Probe
 
@@ -27,9 +27,14 @@ def day_predicates(
     parts_per_day: int | Mapping[dt.date, int] = 1,
     split_on: str | None = None,
     max_partitions: int | None = None,
+    zone: str | None = None,
+    bounds: Mapping[dt.date, Sequence] | None = None,
 ) -> list[str]:
     """WHERE clauses that cover the days first..last, each row by exactly one of them.
 
+    Days are those of a ``zone``, for times in UTC, if one is named. A day with ``bounds``, see
+    ``quantile_bounds``, is cut at these values of ``split_on``.
+
     Each clause becomes one read partition. A day is cut into ``parts_per_day`` parts, given for
     all days or day by day: by time of day for a timestamp, or by the remainder of an integer
     column ``split_on`` with evenly spread values, such as an id. ``max_partitions`` caps the
@@ -43,11 +48,14 @@ def day_predicates(
     if kind == "date" and max(parts) > 1 and split_on is None:
         raise ValueError("a date column needs split_on to cut a day into parts")
 
+    if zone is not None and kind == "date":
+        raise ValueError("days of a zone need a timestamp column")
     load = 1.0 if max_partitions is None else max(1.0, sum(parts) / max_partitions)
-    spans = _pack(days, parts, load)
+    spans = _pack(days, parts, load, zone)
     while max_partitions is not None and sum(n for _, _, n in spans) > max_partitions:
         load *= 1.25
-        spans = _pack(days, parts, load)
+        spans = _pack(days, parts, load, zone)
+    starts = {_midnight(d, zone): d for d in days}
 
     clauses = []
     for start, end, n in spans:
@@ -56,11 +64,51 @@ def day_predicates(
             clauses += [_between(time_column, x, y, kind) for x, y in zip(edges, edges[1:])]
         else:
             span = _between(time_column, start, end, kind)
-            clauses += [f"{span} AND {r}" for r in _remainders(split_on, n)] if n > 1 else [span]
+            cuts = (bounds or {}).get(starts.get(start))
+            inside = _remainders(split_on, n) if cuts is None else range_clauses(split_on, _thinned(cuts, n))
+            clauses += [f"{span} AND {r}" for r in inside] if n > 1 else [span]
     return clauses
 
 
-def _pack(days, parts, load) -> list[tuple[dt.datetime, dt.datetime, int]]:
+def quantile_bounds(keys: DataFrame, key: str, parts: int, accuracy: int = 10_000) -> list:
+    """Values that cut the rows into about equal parts by a key: fewer than ``parts`` if single values are too frequent.
+
+    One pass, in which tasks keep sketches of bounded size; a part is off by 1/accuracy of all rows at most,
+    and by the rows of one value. The key is a number, a date or a timestamp.
+    """
+    if parts < 1:
+        raise ValueError(f"parts must be at least 1, got {parts!r}")
+    shares = [i / parts for i in range(1, parts)]
+    if not shares:
+        return []
+    found = keys.agg(F.percentile_approx(column(key), shares, accuracy).alias("bounds")).first()["bounds"]
+    return sorted(set(found or []))
+
+
+def range_clauses(key: str, bounds: Sequence) -> list[str]:
+    """WHERE clauses by ranges of a key, which an index on it can serve; each row, also without a key, meets one."""
+    k = quoted(key)
+    edges = [_key_literal(b) for b in bounds]
+    if not edges:
+        return ["1 = 1"]
+    inner = [f"{k} >= {a} AND {k} < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"({k} < {edges[0]} OR {k} IS NULL)", *inner, f"{k} >= {edges[-1]}"]
+
+
+def _key_literal(value) -> str:
+    if isinstance(value, dt.datetime):
+        return _literal(value, "timestamp")
+    return _literal(_midnight(value), "date") if isinstance(value, dt.date) else repr(value) if isinstance(value, float) else str(value)
+
+
+def _thinned(bounds: Sequence, parts: int) -> list:
+    """Bounds for fewer parts, evenly among those given."""
+    if len(bounds) < parts:
+        return list(bounds)
+    return [bounds[len(bounds) * i // parts] for i in range(1, parts)]
+
+
+def _pack(days, parts, load, zone=None) -> list[tuple[dt.datetime, dt.datetime, int]]:
     """Spans of days with their number of partitions, each of at most about ``load`` parts."""
     spans, held, start = [], 0, None
     for day, n in zip(days, parts):
@@ -75,11 +123,11 @@ def _pack(days, parts, load) -> list[tuple[dt.datetime, dt.datetime, int]]:
             held += n
     if start is not None:
         spans.append((start, days[-1] + dt.timedelta(days=1), 1))
-    return [(_midnight(a), _midnight(b), n) for a, b, n in spans]
+    return [(_midnight(a, zone), _midnight(b, zone), n) for a, b, n in spans]
 
 
-def _midnight(day: dt.date) -> dt.datetime:
-    return dt.datetime.combine(day, dt.time())
+def _midnight(day: dt.date, zone: str | None = None) -> dt.datetime:
+    return dt.datetime.combine(day, dt.time()) if zone is None else zone_midnight(day, zone)
 
 
 def _between(time_column: str, start: dt.datetime, end: dt.datetime, kind: str) -> str:
@@ -119,10 +167,11 @@ class _Jdbc:
         counts = self._query(spark, sql).toDF(DAY, "records", "times")
         return counts.select(F.col(DAY).cast("date"), *[F.col(c).cast("bigint") for c in ("records", "times")])
 
-    def _probe(self, kind: str, table: str, time_column: str, spec: TableSpec | None) -> Probe:
+    def _probe(self, kind: str, table: str, time_column: str, spec: TableSpec | None, first=None, last=None) -> Probe:
         # Spark would fetch the whole time column to aggregate it.
         t = quoted(time_column)
-        sql = f"SELECT COUNT(*) AS n, MIN({t}) AS first_time, MAX({t}) AS last_time FROM {table}"
+        where = "" if first is None else " WHERE " + day_predicates(time_column, first, last, "date", max_partitions=1)[0]
+        sql = f"SELECT COUNT(*) AS n, MIN({t}) AS first_time, MAX({t}) AS last_time FROM {table}{where}"
         return Probe(
             table,
             kind,
@@ -137,7 +186,9 @@ class JdbcSource(_Jdbc):
     """Reads a window of a source table, one partition per predicate.
 
     With ``rows_per_partition`` the database first counts the rows of each day, and a day with
-    more is cut into as many parts as it needs. A date column needs ``split_on`` for that.
+    more is cut into as many parts as it needs. A date column needs ``split_on`` for that. With ``quantiles`` such
+    a day's values of ``split_on`` are read once, that column alone, and the day is cut into ranges of them
+    with about equal rows, which the database can find by an index; else by remainders.
     """
 
     def __init__(
@@ -147,8 +198,12 @@ class JdbcSource(_Jdbc):
         rows_per_partition: int | None = None,
         split_on: str | None = None,
         max_partitions: int | None = None,
+        quantiles: bool = False,
     ):
         super().__init__(url, properties)
+        if quantiles and split_on is None:
+            raise ValueError("quantiles need the column to split on")
+        self.quantiles = quantiles
         self.rows_per_partition = rows_per_partition
         self.split_on = split_on
         self.max_partitions = max_partitions
@@ -160,7 +215,9 @@ class JdbcSource(_Jdbc):
     def predicates(self, spark: SparkSession, spec: TableSpec, first: dt.date, last: dt.date) -> list[str]:
         kind = time_type(self._table(spark, spec.source_table), spec.time_column)
         kind = "date" if kind in ("date", "string") else "timestamp"
-        parts = 1
+        parts, bounds = 1, None
+        if spec.zone is not None and self.rows_per_partition:
+            raise ValueError("the database counts days as it stores them; days of a zone can't be cut by their counts")
         if self.rows_per_partition:
             counts = self._day_counts(spark, spec.source_table, spec.time_column, first, last)
             parts = {}
@@ -168,15 +225,28 @@ class JdbcSource(_Jdbc):
                 parts[d] = -(-n // self.rows_per_partition)
                 if parts[d] > 1 and self.split_on is None and times == 1:
                     raise ValueError(f"{d} has {n} rows of one time, which no time of day can split: name split_on")
-        return day_predicates(spec.time_column, first, last, kind, parts, self.split_on, self.max_partitions)
+            if self.quantiles:
+                bounds = {d: self._bounds(spark, spec, kind, d, n) for d, n in parts.items() if n > 1}
+        return day_predicates(
+            spec.time_column, first, last, kind, parts, self.split_on, self.max_partitions, spec.zone, bounds
+        )
+
+    def _bounds(self, spark: SparkSession, spec: TableSpec, kind: str, day: dt.date, parts: int) -> list:
+        [inside] = day_predicates(spec.time_column, day, day, kind)
+        keys = self._query(spark, f"SELECT {quoted(self.split_on)} AS k FROM {spec.source_table} WHERE {inside}")
+        return quantile_bounds(keys.toDF("k"), "k", parts)
 
     def undated(self, spark: SparkSession, spec: TableSpec) -> int:
         """How many rows of the source have no day, counted by the database."""
-        sql = f"SELECT COUNT(*) AS n FROM {spec.source_table} WHERE CAST({quoted(spec.time_column)} AS DATE) IS NULL"
+        t = quoted(spec.time_column)
+        text = time_type(self._table(spark, spec.source_table), spec.time_column) == "string"
+        day = f"CAST({t} AS DATE)" if text else t  # an index can serve a plain null check
+        sql = f"SELECT COUNT(*) AS n FROM {spec.source_table} WHERE {day} IS NULL"
         return int(self._query(spark, sql).first()[0])
 
-    def probe(self, spec: TableSpec) -> Probe:
-        return self._probe("source", spec.source_table, spec.time_column, spec)
+    def probe(self, spec: TableSpec, first: dt.date | None = None, last: dt.date | None = None) -> Probe:
+        """A check of the source; with days, only of these."""
+        return self._probe("source", spec.source_table, spec.time_column, spec, first, last)
 
 
 def swap_statements(
@@ -220,7 +290,12 @@ class JdbcTarget(_Jdbc):
         writer = rows.write.mode("overwrite").option("truncate", "true")
         writer.option("numPartitions", self.max_connections).jdbc(self.url, table, properties=self.properties)
 
-    def replace_days(self, rows: DataFrame, spec: TableSpec, first: dt.date, last: dt.date) -> int:
+    def replace_days(
+        self, rows: DataFrame, spec: TableSpec, first: dt.date, last: dt.date, days: Collection[dt.date] | None = None
+    ) -> int:
+        """Load the rows of the days first..last, or of these ``days`` of them, and swap those days."""
+        if spec.zone is not None:
+            raise ValueError("a JDBC target swaps days as the times are stored; days of a zone need a day column there")
         staging = spec.target_table + self.staging_suffix
         read = Observation()
         timeless = F.count_if(F.col(quoted(spec.target_time_column)).isNull()).alias("timeless")
@@ -234,6 +309,8 @@ class JdbcTarget(_Jdbc):
         time = spec.target_time_column
         for i in range((last - first).days + 1):
             day = first + dt.timedelta(days=i)
+            if days is not None and day not in days:
+                continue
             self.run_transaction(swap_statements(spec.target_table, staging, spec.target_columns, time, day, day))
         return expected
 

@@ -388,3 +388,102 @@ ORACLES["sync_ledger"] = f"""
           union all select 2, 'success', 'all', count(*) {_window("events", "ts", 24)}
           union all select 3, 'running', 'ods_query', 0
           union all select 4, 'success', 'ods_query', count(*) {_window("events", "ts", 7)})"""
+ORACLES["sync_overlap"] = " union all ".join(
+    f"""select '{target}' as tables_migrated, status, case status when 'success' then n else 0 end as total_records,
+               n as result_records, cast(4 as bigint) as distinct_ids
+        from (select count(*) as n {_window(view, time, days)}), (values ('running'), ('success')) s(status)"""
+    for view, time, target, days in _TABLES[:2]
+)
+ORACLES["sync_refused"] = f"""
+    select cast(1 as bigint) as id, 'running' as status, cast(0 as bigint) as total_records, cast(1 as bigint) as refused
+    union all select 2, 'success', count(*), 1 {_window("events", "ts", 24)}"""
+ORACLES["changed_days"] = """
+    with o as (select *, cast(o_orderdate as date) as day from orders),
+    was as (select * from o where day not between date '1996-07-01' and date '1996-07-03'),
+    now as (
+      select * replace (case when o_orderkey % 991 = 0 then o_totalprice + 1 else o_totalprice end as o_totalprice) from o
+      where day not between date '1995-03-01' and date '1995-03-05' and o_orderkey % 997 <> 0
+      union all select * replace (-o_orderkey as o_orderkey) from o where o_orderkey % 983 = 0
+    ), days as (
+      select day from (select * from was except all select * from now)
+      union select day from (select * from now except all select * from was)
+    ), n as (
+      select day, (select count(*) from was w where w.day = d.day) as records_before,
+             (select count(*) from now w where w.day = d.day) as records_after
+      from days d
+    )
+    select *, case when records_before = 0 then 'added' when records_after = 0 then 'removed' else 'changed' end as change from n"""
+ORACLES["sync_changed_days"] = """
+    with d as (select cast(max(ts) as date) - 23 + cast(i as integer) as day from events, range(24) r(i) group by i),
+    now as (
+      select cast(ts as date) as day from events where not (event_id % 50 = 0 and day(ts) in (10, 20))
+      union all select cast(ts as date) from events where event_id % 40 = 0 and day(ts) = 25
+    ), touched as (
+      select cast(ts as date) as day from events
+      where (event_id % 50 = 0 and day(ts) in (10, 20)) or (event_id % 30 = 0 and day(ts) = 15)
+         or (event_id % 40 = 0 and day(ts) = 25)
+    )
+    select day, (select count(*) from now n where n.day = d.day) as records, 'success' as status,
+           day in (select day from touched) as loaded
+    from d"""
+_LATE = """
+    late as (
+      select as_of - cast(o_orderdate as date) as days_back
+      from orders, (select cast(max(o_orderdate) as date) as as_of from orders)
+      where o_orderkey % 5 = 0 and as_of - cast(o_orderdate as date) <= (o_orderkey // 5) % 30
+    ), ages as (select cast(days_back as bigint) as days_back, count(*) as moved_records from late group by 1)"""
+ORACLES["late_arrivals"] = f"with {_LATE} select days_back, cast(1 as bigint) as days, moved_records from ages"
+ORACLES["late_arrival_window"] = f"""
+    with {_LATE}, sums as (
+      select days_back, count(*) over (order by days_back) as upto, count(*) over () as changes from ages
+    )
+    select min(days_back) + 1 as window_days, any_value(changes) as changes from sums where upto >= 0.8 * changes - 1e-9"""
+ORACLES["undated_new_files"] = """
+    select cast(run as bigint) as run,
+           (select count(*) from events where event_id % 3 < run and (event_id % 7 = 0 or event_id % 11 = 0)) as undated
+    from (values (1), (2), (3)) r(run)"""
+ORACLES["window_sync_zone"] = """
+    with t as (select cast(ts + interval 8 hour as date) as day from events)
+    select day, count(*) as records from t where day > (select max(day) from t) - 24 group by 1"""
+ORACLES["lane_schedule"] = """
+    with recursive w as (
+      select 'events.' || event_type as target_table, count(*) as weight from events group by 1
+      union all select 'orders.' || o_orderstatus, count(*) from orders group by 1
+      union all select 'lineitem.' || l_returnflag, count(*) from lineitem group by 1
+    ), o as (select *, row_number() over (order by weight desc, target_table) as place from w),
+    placed as (
+      select cast(0 as bigint) as place, cast([0, 0, 0] as bigint[]) as totals, cast(-1 as bigint) as lane
+      union all
+      select o.place, list_transform(range(3), lambda i: totals[i + 1] + case
+               when i + 1 = list_position(totals, list_min(totals)) then o.weight else 0 end),
+             cast(list_position(totals, list_min(totals)) - 1 as bigint)
+      from placed p join o on o.place = p.place + 1
+    ), ends as (select totals from placed order by place desc limit 1)
+    select target_table, weight, lane, place, (select totals from ends)[lane + 1] as lane_total
+    from placed join o using (place)"""
+ORACLES["ledger_compaction"] = ORACLES["latest_run_state"]
+ORACLES["hot_day_quantiles"] = "select cast(8 as bigint) as parts, count(*) as records, true as balanced from lineitem"
+
+
+def _report_tables() -> str:
+    inputs = {
+        "ods_query": ("event_id from events", 24), "ods_campain": ("o_orderkey from orders", 60),
+        "ods_campaign_dsp": ("p_partkey from part", 60), "ods_aws_asin_philips": ("s_suppkey from supplier", 60),
+    }
+    totals = {"bigint": "k % {n}", "decimal(18,4)": "cast((k % 1000) / 8 as decimal(18, 4))", "double": "cast((k % 16) / 16 as decimal(18, 4))"}
+    places: dict[str, int] = {}
+    parts = []
+    for line in filter(None, EXPECTED.split("\n")):
+        table, source, target, kind = line.split("|")
+        i = places[table] = places.get(table, -1) + 1
+        key, days = inputs[table]
+        filled = "true" if source in ("Time", "TimeColumn") else f"k % {i + 2} <> 0"
+        total = f"sum({totals[kind].format(n=i + 2)}) filter ({filled})" if kind in totals else "null"
+        parts.append(f"""
+          select '{target}' as target_column, '{kind}' as type, count(*) filter ({filled}) as filled,
+                 cast({total} as decimal(18, 4)) as total, '{table}' as target_table, count(*) as records, 'success' as status
+          from (select {key.split()[0]} as k from {key.split()[2]}) where k % 90 < {days}""")
+    return " union all ".join(parts)
+
+
+ORACLES["sync_report_tables"] = _report_tables()

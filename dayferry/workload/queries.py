@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayferry import functions as X
-from dayferry.frames import shared_dir
-from dayferry.operators import counts, ledger, project, status, window
+from dayferry.frames import shared_dir, small_frame
+from dayferry.operators import counts, digest, ledger, project, status, window
 from dayferry.plans import tasks
 from dayferry.plans.sync import sync, with_day
 from dayferry.registry import (
@@ -23,7 +26,8 @@ from dayferry.registry import (
     window_days,
 )
 from dayferry.sources.files import ParquetSource, ParquetTarget
-from dayferry.sources.jdbc import day_predicates
+from dayferry.sources.jdbc import day_predicates, quantile_bounds, range_clauses
+from dayferry.sources.lease import Busy
 from dayferry.sources.preflight import preflight
 from dayferry.sources.store import RunStore
 from dayferry.workload import standins
@@ -498,6 +502,216 @@ def sync_losses(spark, sf_dir):
     return results.groupBy("target_table", "status", "error").agg(F.sum("records").alias("records"))
 
 
+# --- overlapping runs, changed days, new files -------------------------------------------------
+
+
+def sync_overlap(spark, sf_dir):
+    """The ledger of two runs that overlap in a store that allows it: each has ids and results of its own."""
+    base = shared_dir(spark, "overlap")
+    store, target = RunStore(f"{base}/store", exclusive=False).create(spark), ParquetTarget(f"{base}/data")
+
+    def run(spec: TableSpec) -> DataFrame:
+        newest = _newest(spark, sf_dir, spec)
+        return sync(spark, [spec], standins.source(sf_dir), target, store, as_of=newest, tables=[spec.target_table])
+
+    with ThreadPoolExecutor(2) as pool:
+        results = standins.stack([r.result() for r in [pool.submit(inheritable_thread_target(spark)(run), s) for s in (EVENTS, ORDERS)]])
+    found = results.groupBy("target_table").agg(F.sum("records").alias("result_records"))
+    rows = store.ledger(spark)
+    ids = rows.agg(F.count_distinct("id")).scalar()
+    return rows.join(found, F.col("tables_migrated") == F.col("target_table")).select(
+        "tables_migrated", "status", "total_records", "result_records", ids.alias("distinct_ids")
+    )
+
+
+def sync_refused(spark, sf_dir):
+    """The ledger after a run was refused because another one was open, and then let in."""
+    base = shared_dir(spark, "refused")
+    store, refused = RunStore(f"{base}/store").create(spark), 0
+    newest = _newest(spark, sf_dir, EVENTS)
+    args = (spark, [EVENTS], standins.source(sf_dir), ParquetTarget(f"{base}/data"), RunStore(f"{base}/store"), newest)
+    with store.hold(spark, "somebody else"):
+        try:
+            sync(*args)
+        except Busy:
+            refused = 1
+    sync(*args)
+    return store.ledger(spark).select("id", "status", "total_records", F.lit(refused).cast("bigint").alias("refused"))
+
+
+def _orders_before_and_after(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Orders at two times: rows and days that came late, changed or went between them."""
+    day, k = F.to_date("o_orderdate"), F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").withColumn("day", day)
+    before = orders.where("day not between '1996-07-01' and '1996-07-03'")
+    price = F.when(k % 991 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    after = orders.where("day not between '1995-03-01' and '1995-03-05'").where(k % 997 != 0)
+    late = orders.where(k % 983 == 0).withColumn("o_orderkey", -k)
+    return before, after.withColumn("o_totalprice", price).unionByName(late)
+
+
+def changed_days(spark, sf_dir):
+    """Days of orders whose rows are others than before, found by digests alone."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    was, now = (digest.day_digests(rows, F.col("day"), columns) for rows in _orders_before_and_after(spark, sf_dir))
+    return digest.changed_days(was, now)
+
+
+def _changed_events(spark, sf_dir) -> DataFrame:
+    """Events later on: some have gone, some have another value, some have come late."""
+    k, day = F.col("event_id"), F.dayofmonth("ts")
+    events = table(spark, sf_dir, "events")
+    kept = events.where(~((k % 50 == 0) & day.isin(10, 20)))
+    value = F.when((k % 30 == 0) & (day == 15), F.col("value") + 1).otherwise(F.col("value"))
+    return kept.withColumn("value", value).unionByName(events.where((k % 40 == 0) & (day == 25)).withColumn("event_id", -k))
+
+
+def sync_changed_days(spark, sf_dir):
+    """The second of two runs that load changed days only: what each day holds, and which were loaded."""
+    base, newest = shared_dir(spark, "changed"), _newest(spark, sf_dir, EVENTS)
+    store, target = RunStore(f"{base}/store"), ParquetTarget(f"{base}/data")
+
+    def later(spark, spec, first, last):
+        return window.between_days(_changed_events(spark, sf_dir), spec.time_column, first, last)
+
+    for read in (standins.source(sf_dir), later):
+        results = sync(spark, [EVENTS], read, target, store, as_of=newest, changed_only=True)
+    return results.select("day", "records", "status", "loaded")
+
+
+def late_arrivals(spark, sf_dir):
+    """How far back the days lie that late orders have changed."""
+    newest = _newest(spark, sf_dir, ORDERS)
+    k, age = F.col("o_orderkey"), F.date_diff(F.lit(newest), "day")
+    after = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
+    before = after.where(~((k % 5 == 0) & (age <= F.floor(k / 5) % 30)))
+    was, now = (digest.day_digests(rows, F.col("day")) for rows in (before, after))
+    return digest.lateness(digest.changed_days(was, now), F.lit(newest))
+
+
+def late_arrival_window(spark, sf_dir):
+    """The shortest window that would have carried four of five of the changed days."""
+    return digest.covering_window(late_arrivals(spark, sf_dir), 0.8)
+
+
+def undated_new_files(spark, sf_dir):
+    """Undated rows of a source that grows by files, as each run counts them: only new files are opened."""
+    base, k = shared_dir(spark, "files"), F.col("event_id")
+    spec = TableSpec("texts", "ods_query", mapping(["Time", "event_id"], ["time", "event_id"]), "Time")
+    source, store = ParquetSource({"texts": f"{base}/in"}, {"texts": "Time string, event_id bigint"}), RunStore(f"{base}/store").create(spark)
+    time = F.when(k % 7 == 0, None).when(k % 11 == 0, "soon").otherwise(F.col("ts").cast("string"))
+    rows = table(spark, sf_dir, "events").select(time.alias("Time"), "event_id")
+    reports = []
+    for run, part in enumerate(("event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2"), 1):
+        rows.where(part).write.mode("append").parquet(f"{base}/in")
+        found = source.undated_in_new_files(spark, spec, store.files(spark, "texts"))
+        store.update_files(found, "texts", run)
+        known = store.files(spark, "texts")
+        reports.append(known.agg(F.lit(run).cast("bigint").alias("run"), F.sum("undated").alias("undated")))
+        reports[-1] = small_frame(spark, [r.asDict() for r in reports[-1].collect()], reports[-1].schema)
+    return standins.stack(reports)
+
+
+def window_sync_zone(spark, sf_dir):
+    """Records per day that a sync by Beijing's clock would carry; times are stored in UTC."""
+    zone = "Asia/Shanghai"
+    rows = table(spark, sf_dir, "events")
+    newest = rows.agg(F.max("ts")).first()[0].replace(tzinfo=dt.UTC)
+    inside = window.rolling_window(rows, "ts", EVENTS.default_days, window.today(zone, newest), zone)
+    return inside.groupBy(window.day_of(inside, "ts", zone).alias("day")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def lane_schedule(spark, sf_dir):
+    """Loads of unequal weight in three lanes: events by type, orders by status, lineitems by flag."""
+    kinds = (("events", "event_type"), ("orders", "o_orderstatus"), ("lineitem", "l_returnflag"))
+    counted = standins.stack([
+        table(spark, sf_dir, t).groupBy(F.concat(F.lit(f"{t}."), F.col(c)).alias("target_table")).agg(F.count(F.lit(1)).alias("weight"))
+        for t, c in kinds
+    ])
+    weights = {r["target_table"]: r["weight"] for r in counted.collect()}  # a row per load
+    return tasks.lane_schedule(spark, weights, 3)
+
+
+def ledger_compaction(spark, sf_dir):
+    """The collapsed runs of a ledger that was appended to in parts and folded twice in between."""
+    store = RunStore(f"{shared_dir(spark, 'compaction')}/store").create(spark)
+    rows = standins.ledger(spark, sf_dir)
+    for part in range(5):
+        store.append(rows.where(F.col("id") % 5 == part))
+        if part in (1, 3):
+            store.compact(spark)
+    return ledger.latest_run_state(store.ledger(spark))
+
+
+def hot_day_quantiles(spark, sf_dir):
+    """Whether ranges between quantiles of the order key cut lineitem into eight parts: each row in one, none too large."""
+    rows = table(spark, sf_dir, "lineitem")
+    clauses = range_clauses("l_orderkey", quantile_bounds(rows, "l_orderkey", 8))
+    hits = [F.coalesce(F.expr(c), F.lit(False)).cast("int") for c in clauses]
+    part = F.coalesce(*[F.when(F.expr(c), i) for i, c in enumerate(clauses)])
+    parts = rows.groupBy(part.alias("part"), reduce(Column.__add__, hits).alias("hits")).agg(F.count(F.lit(1)).alias("n"))
+    return parts.agg(
+        F.count_distinct("part").alias("parts"),
+        F.sum(F.when(F.col("hits") == 1, F.col("n")).otherwise(0)).alias("records"),
+        (F.max("n") <= 2 * F.sum("n") / len(clauses)).alias("balanced"),
+    )
+
+
+_REPORT_INPUTS = {
+    "ods_Query": ("events", "event_id"),
+    "ods_campain": ("orders", "o_orderkey"),
+    "ods_campaign_dsp": ("part", "p_partkey"),
+    "ods_aws_asin_philips": ("supplier", "s_suppkey"),
+}
+_REPORT_TEXTS = {
+    "string": "concat('v', k % {n})",
+    "bigint": "cast(k % {n} AS string)",
+    "decimal(18,4)": "cast(cast((k % 1000) / 8 AS decimal(18,4)) AS string)",
+    "double": "cast((k % 16) / 16D AS string)",
+    "date": "cast(d AS string)",
+    "timestamp_ntz": "concat(d, ' 12:30:00')",
+}
+
+
+def _report_source(spark, sf_dir):
+    """Reads a wide report source: all columns as text, those that the shipped mapping names, over 90 days."""
+
+    def read(spark, spec, first, last):
+        name, key = _REPORT_INPUTS[spec.source_table]
+        rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").selectExpr(
+            f"cast({key} AS bigint) AS k", f"date_sub(date '2024-01-30', cast({key} % 90 AS int)) AS d"
+        )
+        wide = []
+        for i, c in enumerate(spec.columns):
+            value = _REPORT_TEXTS[c.type].format(n=i + 2)
+            value = value if c.source == spec.time_column else f"CASE WHEN k % {i + 2} <> 0 THEN {value} END"
+            wide.append(f"{value} AS {project.quoted(c.source)}")
+        return window.between_days(rows.selectExpr(*wide), spec.time_column, first, last)
+
+    return read
+
+
+def sync_report_tables(spark, sf_dir):
+    """A sync of the four shipped report tables with their types: what each target column holds afterwards."""
+    base = shared_dir(spark, "reports")
+    target, as_of = ParquetTarget(f"{base}/data"), dt.date(2024, 1, 30)
+    results = sync(spark, REPORT_TABLES, _report_source(spark, sf_dir), target, RunStore(f"{base}/store"), as_of=as_of)
+    status = results.groupBy("target_table").agg(F.sum("records").alias("records"), F.max("status").alias("status"))
+    reports = []
+    for spec in REPORT_TABLES:
+        held = target.table(spark, spec)
+        entries = []
+        for name, kind in held.drop("day").dtypes:
+            c = project.quoted(name)
+            numbers = f"sum(cast({c} AS decimal(28,4)))" if kind in ("bigint", "double", "decimal(18,4)") else "NULL"
+            entries.append(
+                f"struct({project.text(spec.target_table)} AS of_table, {project.text(name)} AS target_column, "
+                f"{project.text(kind)} AS type, count({c}) AS filled, cast({numbers} AS decimal(18,4)) AS total)"
+            )
+        reports.append(project.column_report(held, entries))
+    return standins.stack(reports).join(status, F.col("of_table") == F.col("target_table")).drop("of_table")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -548,5 +762,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sync_run,
         sync_ledger,
         sync_losses,
+        sync_overlap,
+        sync_refused,
+        changed_days,
+        sync_changed_days,
+        late_arrivals,
+        late_arrival_window,
+        undated_new_files,
+        window_sync_zone,
+        lane_schedule,
+        ledger_compaction,
+        hot_day_quantiles,
+        sync_report_tables,
     )
 }

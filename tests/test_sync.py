@@ -84,7 +84,7 @@ def test_store_before_the_first_run(setup):
     for _ in range(2):
         setup["store"].create(setup["spark"])
         assert ledger(setup) == [] and status(setup) == []
-        assert setup["store"].next_id(setup["spark"]) == 1
+    assert [setup["store"].claim(setup["spark"]) for _ in range(3)] == [1, 2, 3]
 
 
 def test_rerun_subset_and_days(setup):
@@ -178,7 +178,7 @@ def test_run_stopped_by_its_user(setup):
     class Stopping(dayferry.ParquetTarget):
         def replace_days(self, *args):
             started = dayferry.run_history(store.ledger(spark), 1).first().start_time
-            store.append(stop_record(spark, store.next_id(spark), started, started, 0))
+            store.append(stop_record(spark, store.claim(spark), started, started, 0))
             return super().replace_days(*args)
 
     setup["target"] = Stopping(setup["target"].base)
