@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,31 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for made in _scratches:
+        made.append(path)
+    return path
+
+
+_scratches: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the shared folders that are made inside, also by other threads, at the end.
+
+    For a job that writes its result inside: frames that were built there can't be read afterwards.
+    """
+    from dayferry.sources.hadoop import Files
+
+    made: list[str] = []
+    _scratches.append(made)
+    try:
+        yield
+    finally:
+        _scratches[:] = [s for s in _scratches if s is not made]
+        for path in made:
+            Files(spark, path).delete(path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

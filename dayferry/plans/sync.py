@@ -27,7 +27,7 @@ _OUTCOME_SCHEMA = T.StructType([
     T.StructField("written", T.LongType()),
     T.StructField("error", T.StringType()),
     T.StructField("kept", T.LongType()),
-    T.StructField("kept_days", T.ArrayType(T.StringType())),
+    T.StructField("loaded_days", T.ArrayType(T.StringType())),
 ])
 
 _SOURCE_DAY = "__source_day"
@@ -146,7 +146,7 @@ def _enter_pool(spark: SparkSession, lane: int) -> None:
 
 def _copy_table(spark, spec, read, target, store, run_id, as_of, days, lost_allowed, undated_allowed, changed_only) -> dict:
     first, last = window_bounds(as_of, window_days(spec, days))
-    outcome = {"target_table": spec.target_table, "written": None, "error": None, "kept": 0, "kept_days": None}
+    outcome = {"target_table": spec.target_table, "written": None, "error": None, "kept": 0, "loaded_days": None}
     try:
         rows = read(spark, spec, first, last)
         missing = spec.missing_columns(rows.columns)
@@ -158,7 +158,7 @@ def _copy_table(spark, spec, read, target, store, run_id, as_of, days, lost_allo
         if changed_only:
             kept, todo, digests = _changes(spark, rows, spec, target, store, first, last)
             rows = in_days(rows, spec.time_column, todo, spec.zone)
-            outcome |= {"kept": sum(kept.values()), "kept_days": [str(d) for d in kept]}
+            outcome |= {"kept": sum(kept.values()), "loaded_days": [str(d) for d in todo]}
             only = (todo,)
         seen = Observation()  # counts on the way; a repeated task may count twice, but none is missed
         counted = rows.observe(seen, F.expr(lost_values(spec.columns)).alias("lost"))
@@ -241,7 +241,7 @@ def _task_results(spark, chosen, target, as_of, days, outcomes) -> DataFrame:
             "records",
             F.when(F.col("error").isNull(), "success").otherwise("failed").alias("status"),
             "error",
-            (F.col("written").isNotNull() & ~F.coalesce(F.array_contains("kept_days", F.col("date_str")), F.lit(False))).alias("loaded"),
+            (F.col("written").isNotNull() & F.coalesce(F.array_contains("loaded_days", F.col("date_str")), F.lit(True))).alias("loaded"),
         )
     )
 

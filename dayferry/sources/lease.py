@@ -47,19 +47,30 @@ def held(spark: SparkSession, folder: str, name: str, holder: str, stale_after:
     """Hold the lease ``name`` of a folder, or raise Busy.
 
     A lease that was not written for ``stale_after`` seconds by the file system's clock belonged to a driver that
-    died; of several that find it, one moves it away and the others are refused.
+    died. It is taken over behind a door that one can pass at a time, who looks again: else a slow one would take
+    the lease from the one that has just taken it over.
     """
     files, path = Files(spark, folder), f"{folder}/{name}"
+    door = f"{path}-takeover"
     token = json.dumps({"holder": holder, "token": uuid.uuid4().hex})
-    if not files.create(path, token):
-        written = files.modified(path)
-        stale = written is not None and files.now(folder) - written > stale_after
-        left = f"{path}-left-{uuid.uuid4().hex}"
-        moved = stale and files.rename(path, left)
-        if moved:
-            files.delete(left)
-        if not ((moved or written is None) and files.create(path, token)):
-            raise Busy(f"{path} is held: {files.read(path)}")
+
+    def stale(file: str) -> bool:
+        written = files.modified(file)
+        return written is not None and files.now(folder) - written > stale_after
+
+    mine = files.create(path, token)
+    if not mine and stale(path):
+        if files.create(door, token):
+            try:
+                if stale(path):
+                    files.delete(path)
+                    mine = files.create(path, token)
+            finally:
+                files.delete(door)
+        elif stale(door):
+            files.delete(door)  # for the next one
+    if not mine:
+        raise Busy(f"{path} is held: {files.read(path)}")
     lease = Lease(spark, path, token)
     beats = threading.Thread(target=lease._beat, args=(stale_after / 4,), daemon=True)
     beats.start()
