@@ -30,19 +30,24 @@ _LETTERS = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
 
 
 class Encoder:
-    """Encodes texts to unsigned 32-bit ids. Special tokens' strings are ordinary text."""
+    """Encodes texts to unsigned 32-bit ids, as the library does with ``add_special_tokens=False``.
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    So the string of a special token in a text becomes its id; with ``special_as_text`` it is ordinary text.
+    """
+
+    def __init__(self, path: str, remembered: int = REMEMBERED, special_as_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks use the cores
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = "|".join(re.escape(x) for x in added)  # texts with one of these can't be cut at spaces
         self.spaced = self._alone(" a").tolist() != self._alone("a").tolist()  # whether the space is part of a token
         if not self.spaced:
             # For lower-case Latin letters alone, which are one piece to the tokenizer and normal already.
             self.plain = Tokenizer.from_file(path)
-            self.plain.encode_special_tokens = True
+            self.plain.encode_special_tokens = special_as_text
             self.plain.normalizer = normalizers.Sequence([])
             self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.lower = self._alone("AÉ").tolist() == self._alone("aé").tolist()  # whether capitals make a difference
@@ -111,6 +116,8 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         # A zero is the mark of first pieces.
         marked = pc.match_substring(texts, "\0").to_numpy(zero_copy_only=False)
+        if self.added:
+            marked = marked | pc.match_substring_regex(texts, self.added, ignore_case=True).to_numpy(zero_copy_only=False)
         odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False) & ~marked
         found: list = [None] * len(texts)
         for i in np.flatnonzero(marked):
@@ -178,9 +185,9 @@ def _strings(column: pa.Array) -> list[str]:
 
 
 @functools.cache
-def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED, special_as_text: bool = False) -> Encoder:
     """One for each file in a worker."""
-    return Encoder(path, remembered)
+    return Encoder(path, remembered, special_as_text)
 
 
 #: Bytes of texts in a slice. What is worked out beside a text is some dozens of times as large.

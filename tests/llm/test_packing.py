@@ -6,28 +6,32 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from dayferry.llm.packing import pack
 from dayferry.llm.tokens import Encoder
 from tests.llm.helpers import empty, odd_docs, text
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
-ENCODERS = {p: Encoder(p, remembered=500) for p in (BYTES, WORDS)}
+ENCODERS = {(p, s): Encoder(p, 500, s) for p in (BYTES, WORDS) for s in (False, True)}
 PARTS = ["a", "Foo", "bar.", " ", "  ", "\n", "\t", "é", "ß", "Σ", "ς", "İ", "'s", "don't", "1", "!?", "...", "́",
-         "中文", "😀", "\0", "<|endoftext|>", ".,", "\x0b", "\x1c", "　", "_", "x" * 70]
+         "中文", "😀", "\0", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", ".,", "\x0b", "\x1c", "　", "_", "x" * 70]
 
 
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=40))
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_cut_and_remembered_pieces_give_the_tokenizers_ids(path, texts):
-    encode = ENCODERS[path]
-    found = encode(pa.array([t.encode() for t in texts], pa.binary()))
-    assert [x.tolist() for x in found] == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    for special_as_text in (False, True):
+        plain = Tokenizer.from_file(path)
+        plain.encode_special_tokens = special_as_text  # False is the library's own way
+        found = ENCODERS[path, special_as_text](column)
+        assert [x.tolist() for x in found] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_null_and_broken_bytes():
-    found = ENCODERS[BYTES](pa.array([None, b"", b"\xff a"], pa.binary()))
+    found = ENCODERS[BYTES, False](pa.array([None, b"", b"\xff a"], pa.binary()))
     assert [len(x) for x in found[:2]] == [0, 0] and len(found[2]) > 0
 
 

@@ -60,7 +60,6 @@ def test_documents_come_back_in_order(spark, monkeypatch):
     from tokenizers import Tokenizer
 
     encode = Tokenizer.from_file(WORDS)
-    encode.encode_special_tokens = True
     expected = sorted(
         (r["doc_id"], np.array(encode.encode(r["text"] or "", add_special_tokens=False).ids + [1], "<u4").tobytes())
         for r in docs.collect()
