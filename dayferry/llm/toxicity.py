@@ -2,14 +2,15 @@
 
 Two models, one of toxic and one of ordinary documents, give each letter of a word a probability after
 the letters before it. Both back off to one distribution that they share, whose lower orders count
-in how many different contexts a letter was seen; so an expression too rare to be told from chance
-is as likely in both, and an inflected one is judged by its stem. Toxic documents are fewer; the ordinary
-model is thinned to as many, in expectation and without drawing, so that neither has the longer memory.
-
-All words of a text, as often as they occur, have log-likelihood differences, against the same baseline
-in every text: none, as both models have learnt from as many documents. Two figures per word remain, whatever
-the length: the log-likelihood ratio of a text with a small share of toxic words to one without, and
-what passes a margin. A logistic curve, fitted on labelled documents that the models did not see, makes the score.
+in how many different contexts a letter was seen, down to single letters; so an expression too rare to be told
+from chance is about as likely in both, and an inflected one is judged by its stem. Toxic documents are fewer; the
+ordinary model is thinned to as many, in expectation and without drawing, so that neither has the longer memory.
+
+A toxic text is ordinary but for a small share of its words: its log-likelihood takes each word from the toxic model with
+that share and else from the ordinary one. A text's figures are the difference of its two length-normalised
+log-likelihoods, over all words as often as they occur, and how far single words pass a margin. A logistic
+curve, fitted on labelled documents that the models did not see, makes the score. Without the share, as all words
+from the one model or all from the other, what the few toxic words say vanishes among the others.
 """
 
 from __future__ import annotations
@@ -21,25 +22,26 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayferry.frames import written
+from dayferry.llm.shingles import as_strings, mix
 from dayferry.llm.text import fold, packed, unpacked
 from dayferry.llm.tokens import in_slices
 
 #: Labelled documents that are learnt from at most, chosen by the hash of their ids.
 SAMPLE_DOCS = 20_000
 CALIBRATED_PERCENT = 25  # of them, for the logistic curve
-ORDERS = (7, 3, 1)  # letters of context: of the two models and the shared one, then of the lower orders
-DISCOUNT = 0.75
-LEAST_CONTEXT = 10  # a context seen less often, after thinning, tells the models nothing apart
+ORDERS = (7, 5, 3, 1)  # letters of context: of the two models, then of the orders that they share
+DISCOUNT = 0.9
 SHARE = 0.02  # of toxic words in a toxic text
 MARGIN = 3.0  # nats from which a word counts as an expression of its class
 THRESHOLD = 0.7
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_START, _STOP, _MARK = "\x02", "\x03", "\x04"
+_START, _STOP = "\x02", "\x03"
 
 
 def core(token: str) -> str:
@@ -48,7 +50,7 @@ def core(token: str) -> str:
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
-    """word, toxic and ordinary: in how many documents of each class. Summed in each task, then by word."""
+    """word, toxic and ordinary: how often in documents of each class. Summed in each task, then by word."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counter(), Counter()
@@ -68,7 +70,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
         for part in in_slices(batches):
             for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                counts[toxic].update(set((text or b"").split()))
+                counts[toxic].update((text or b"").split())
             if len(counts[0]) + len(counts[1]) > 500_000:
                 yield out()
         yield out()
@@ -82,15 +84,13 @@ def _kept(context: Column, letters: int) -> Column:
     return F.substring(context, F.greatest(F.length(context) - (letters - 1), F.lit(1)), F.lit(letters))
 
 
-def letter_ratios(
-    words: DataFrame, thinned: float = 1.0, discount: float = DISCOUNT, least: int = LEAST_CONTEXT
-) -> DataFrame:
+def letter_ratios(words: DataFrame, thinned: float = 1.0, discount: float = DISCOUNT) -> DataFrame:
     """context, letter, ratio: log p(letter | context) in toxic words over that in ordinary ones.
 
     Of the ordinary counts a share ``thinned`` is taken in expectation: of n, n * thinned remain, and at
     least one does with probability 1 - (1 - thinned) ** n.
     The row of a context without a letter is for all letters not seen after it: there both models
-    are shares of the same shared probability. Contexts that are too rare have no rows: ratio 0.
+    are shares of the same shared probability. After a context that neither has seen both are that probability.
     """
     whole = F.concat(F.lit(_START), F.col("word"), F.lit(_STOP))
     places = F.sequence(F.lit(2), F.length(whole))
@@ -102,7 +102,8 @@ def letter_ratios(
         ),
     )
     grams = words.select("toxic", "ordinary", F.explode(pairs).alias("g")).groupBy("g.c", "g.a")
-    grams = grams.agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
+    # Read many times below; at most the letters of the labelled sample.
+    grams = written(grams.agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o")), "toxicity-letters")
 
     def stats(table: DataFrame, n: str, context: str, as_: str) -> DataFrame:
         seen = F.sum(F.when(F.col(n) > 0, 1).otherwise(0))
@@ -137,17 +138,16 @@ def letter_ratios(
         for n, x in {
             "t": F.col("t").cast("double"), "t_kept": F.when(F.col("t") > 0, 1.0).otherwise(0.0),
             "o": F.col("o") * F.lit(float(thinned)), "o_kept": kept,
-            "b": (F.col("t") + F.col("o")).cast("double"), "b_kept": F.lit(1.0),
         }.items()
     ])
     sums = both.groupBy("c").agg(
-        *[F.sum(n).alias(f"{n}_sum") for n in "tob"], *[F.sum(f"{n}_kept").alias(f"{n}_kinds") for n in "tob"]
+        *[F.sum(n).alias(f"{n}_sum") for n in "to"], *[F.sum(f"{n}_kept").alias(f"{n}_kinds") for n in "to"]
     )
-    sums = sums.where(F.col("t_sum") + F.col("o_sum") >= least)
 
     def rest(n: str) -> Column:
         """The share that a model leaves to the distribution below; all of it for a context it never saw."""
-        return F.when(F.col(f"{n}_sum") > 0, discount * F.col(f"{n}_kinds") / F.col(f"{n}_sum")).otherwise(1.0)
+        left = F.least(discount * F.col(f"{n}_kinds") / F.col(f"{n}_sum"), F.lit(1.0))  # thinned counts can be below their kinds
+        return F.when(F.col(f"{n}_sum") > 0, left).otherwise(1.0)
 
     def own(n: str) -> Column:
         share = F.greatest(F.col(n) - discount * F.col(f"{n}_kept"), F.lit(0.0)) / F.col(f"{n}_sum")
@@ -155,9 +155,8 @@ def letter_ratios(
 
     at = both.join(sums, "c").withColumn("short", _kept(F.col("c"), ORDERS[1]))
     at = at.join(shared, ["short", "a"], "left")
-    pool = own("b") + rest("b") * F.coalesce(F.col("lower_p"), F.lit(1.0 / letters_seen))
-    at = at.withColumn("pool", pool)
-    ratio = F.log(own("t") + rest("t") * F.col("pool")) - F.log(own("o") + rest("o") * F.col("pool"))
+    lower = F.coalesce(F.col("lower_p"), F.lit(1.0 / letters_seen))
+    ratio = F.log(own("t") + rest("t") * lower) - F.log(own("o") + rest("o") * lower)
     seen = at.select(F.col("c").alias("context"), F.col("a").alias("letter"), ratio.alias("ratio"))
     unseen = sums.select(
         F.col("c").alias("context"), F.lit("").alias("letter"), (F.log(rest("t")) - F.log(rest("o"))).alias("ratio")
@@ -165,59 +164,100 @@ def letter_ratios(
     return seen.unionByName(unseen)
 
 
+_STEP, _CONTEXT_ONLY = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x1F0000)
+
+
+def _keys(letters: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the contexts before places of a row of letters, and of contexts with the letter; zeros are none."""
+    context = np.zeros(len(at), np.uint64)
+    for j in range(ORDERS[0], 0, -1):
+        context = mix(context * _STEP + letters[at - j])
+    return mix(context * _STEP + _CONTEXT_ONLY), mix(context * _STEP + letters[at])
+
+
+def _letters(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of words on end, each after as many zeros as a context is long, and where each word starts."""
+    pad = "\0" * ORDERS[0]
+    lengths = np.array([len(w) for w in words], np.int64) + ORDERS[0]
+    text = "".join([x for w in words for x in (pad, w)])
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64), np.cumsum(lengths) - lengths + ORDERS[0]
+
+
+def pack_ratios(contexts: Sequence[str], letters: Sequence[str], ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The table of ``letter_ratios`` as sorted hashes and ratios, as tasks hold it: 16 bytes a row."""
+    codes, starts = _letters([c + a for c, a in zip(contexts, letters)])
+    ends = starts + np.array([len(c) for c in contexts], np.int64)  # the letter, or behind the end
+    codes = np.append(codes, np.uint64(0))
+    alone, with_letter = _keys(codes, ends)
+    keys = np.where(np.array([not a for a in letters], bool), alone, with_letter)
+    order = np.argsort(keys)
+    return keys[order], np.asarray(ratios, float)[order]
+
+
 class Scorer:
-    """The figures of a text; a worker remembers the differences of a bounded number of tokens."""
-
-    def __init__(self, ratios: dict[str, float], remembered: int = REMEMBERED):
-        self.ratios, self.remembered = ratios, remembered
-        self.known: dict[bytes, float] = {}
-
-    def word(self, word: str) -> float:
-        """The log-likelihood difference of a word; none, as not a number, if nothing is left of it."""
-        if not word:
-            return math.nan
-        whole, total, ratios = _START + word + _STOP, 0.0, self.ratios
-        for i in range(1, len(whole)):
-            context = whole[max(0, i - ORDERS[0]) : i] + _MARK
-            found = ratios.get(context + whole[i])
-            total += ratios.get(context, 0.0) if found is None else found
-        return total
-
-    def __call__(self, text: bytes | None) -> tuple[float, float, int]:
-        """Per word: the ratio of the mixture, and what passes the margin; and the number of words."""
-        found = Counter((text or b"").split())
+    """The figures of texts; a worker remembers the differences of a bounded number of tokens."""
+
+    def __init__(self, keys: np.ndarray, ratios: np.ndarray, remembered: int = REMEMBERED):
+        self.keys, self.ratios, self.remembered = keys, ratios, remembered
+        self.known: dict[str, float] = {}
+
+    def _look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(keys)), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        there = self.keys[at] == keys
+        return np.where(there, self.ratios[at], 0.0), there
+
+    def words(self, words: Sequence[str]) -> np.ndarray:
+        """The log-likelihood difference of each word; none, as not a number, of an empty one."""
+        letters, starts = _letters([_START + w + _STOP for w in words])
+        lengths = np.array([len(w) + 1 for w in words], np.int64)  # letters after the start
+        owner = np.repeat(np.arange(len(words)), lengths)
+        at = np.repeat(starts + 1 - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        alone, with_letter = _keys(letters, at)
+        found, there = self._look_up(with_letter)
+        found = np.where(there, found, self._look_up(alone)[0])
+        return np.where([bool(w) for w in words], np.bincount(owner, found, len(words)), np.nan)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per text: the difference of the log-likelihoods per word, what passes the margin per word, and the words."""
+        lists = pc.ascii_split_whitespace(as_strings(texts))
+        tokens = lists.flatten().dictionary_encode()
+        owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        different = tokens.dictionary.to_pylist()
         if len(self.known) > self.remembered:
             self.known.clear()
-        for t in set(found).difference(self.known):
-            self.known[t] = self.word(core(t.decode("utf-8", "replace")))
-        values = np.array([self.known[t] for t in found])
-        times = np.array(list(found.values()))[~np.isnan(values)] if found else values
-        values = values[~np.isnan(values)]
-        if not len(values):
-            return 0.0, 0.0, 0
-        n = int(times.sum())
+        new = [t for t in different if t not in self.known]
+        self.known.update(zip(new, self.words([core(t) for t in new]).tolist()))
+        values = np.array([self.known[t] for t in different])
         mixed = np.log(1 - SHARE + SHARE * np.exp(np.clip(values, -10, 10)))
-        return float(mixed @ times / n), float(np.maximum(values - MARGIN, 0) @ times / n), n
+        passed = np.maximum(values - MARGIN, 0)
+        codes = tokens.indices.to_numpy()
+        real = ~np.isnan(values)[codes] if len(values) else np.zeros(0, bool)
+        codes, owner = codes[real], owner[real]
+        n = np.bincount(owner, minlength=len(texts))
+        sums = [np.bincount(owner, x[codes] if len(codes) else None, len(texts)) / np.maximum(n, 1) for x in (mixed, passed)]
+        return sums[0], sums[1], n
 
 
 _SCORERS: dict = {}
 
 
-def _scorer(ratios, remembered: int) -> Scorer:
+def _scorer(model, remembered: int) -> Scorer:
     """One for the models a worker used last."""
-    if ratios.value is not _SCORERS.get("of"):
-        _SCORERS.update({"of": ratios.value, "scorer": Scorer(ratios.value, remembered)})
+    if model.value is not _SCORERS.get("of"):
+        _SCORERS.update({"of": model.value, "scorer": Scorer(*model.value, remembered)})
     return _SCORERS["scorer"]
 
 
-def _figures(rows: DataFrame, ratios, remembered: int) -> DataFrame:
-    """The rows, text replaced by figures; ``ratios`` is a Spark broadcast of the models' table."""
+def _figures(rows: DataFrame, model, remembered: int) -> DataFrame:
+    """The rows, text replaced by figures; ``model`` is a Spark broadcast of the models' table."""
     kept = [c for c in rows.columns if c != "__text"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = _scorer(ratios, remembered)
-        for part in in_slices(batches, 512):
-            mixed, passed, words = zip(*[score(t) for t in part.column(0).to_pylist()])
+        score = _scorer(model, remembered)
+        for part in in_slices(batches):
+            mixed, passed, words = score(part.column(0))
             found = [pa.array(mixed, pa.float64()), pa.array(passed, pa.float64()), pa.array(words, pa.int64())]
             yield pa.RecordBatch.from_arrays([*part.columns[1:], *found], names=[*kept, "__mixed", "__passed", "__words"])
 
@@ -281,9 +321,10 @@ def score_toxicity(
     fitted = known.where(~F.col("calibrates"))
     sizes = {r["toxic"]: r["n"] for r in fitted.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     thinned = min(1.0, sizes.get(1, 0) / max(sizes.get(0, 0), 1)) or 1.0
-    model = letter_ratios(_word_counts(fitted), thinned).toArrow()  # contexts of the sample that are not rare
-    keys = [c + _MARK + a for c, a in zip(model["context"].to_pylist(), model["letter"].to_pylist())]
-    ratios = spark.sparkContext.broadcast(dict(zip(keys, model["ratio"].to_pylist())))
+    found = letter_ratios(_word_counts(fitted), thinned).toArrow()  # the sample's contexts
+    ratios = spark.sparkContext.broadcast(
+        pack_ratios(found["context"].to_pylist(), found["letter"].to_pylist(), found["ratio"].to_numpy())
+    )
     held = known.where(F.col("calibrates")).select(F.col("text").alias("__text"), "toxic")
     inputs = _inputs()
     seen = _figures(held, ratios, remembered).select("toxic", *[c.cast("double").alias(f"x{i}") for i, c in enumerate(inputs)]).toArrow()

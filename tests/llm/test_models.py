@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dayferry.llm.ctw import Tree, op5_context_tree_score, score_texts
 from dayferry.llm.multi_index import op3_multi_index_search, search, walk
+from dayferry.llm import toxicity as tx
 from dayferry.llm.toxicity import op10_kneser_ney_toxicity, score_toxicity
 from tests.llm.helpers import empty, odd_docs
 
@@ -158,7 +159,57 @@ def test_toxic_documents_are_found(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
     hits = sum(r["predicted"] and r["toxic"] for r in held)
-    assert hits > 0.75 * sum(r["toxic"] for r in held) and hits > 0.9 * sum(r["predicted"] for r in held)
+    assert hits > 0.88 * sum(r["toxic"] for r in held) and hits > 0.95 * sum(r["predicted"] for r in held)
+
+
+def brute_ratios(words, thinned):
+    """Kneser-Ney by its formulas, letter by letter: p of each letter in a word, under both models."""
+    grams, pad = {}, lambda w: tx._START + w + tx._STOP
+    for w, (t, o) in words.items():
+        for i in range(1, len(pad(w))):
+            x = grams.setdefault((pad(w)[max(0, i - tx.ORDERS[0]) : i], pad(w)[i]), [0, 0])
+            x[0], x[1] = x[0] + t, x[1] + o
+    alphabet = len({a for _, a in grams})
+    seen = [set(grams)]
+    for letters in tx.ORDERS[1:]:
+        seen.append({(c[-letters:], a, c) for c, a, *_ in seen[-1]})
+
+    def shared(c, a, level):
+        if level == len(tx.ORDERS):
+            return 1 / alphabet
+        c = c[-tx.ORDERS[level] :]
+        kinds = [(x, y) for x, y, _ in seen[level] if x == c]
+        below = shared(c, a, level + 1)
+        if not kinds:
+            return below
+        k = sum(y == a for _, y in kinds)
+        return (max(k - tx.DISCOUNT, 0) + tx.DISCOUNT * len({y for _, y in kinds}) * below) / len(kinds)
+
+    def p(c, a, toxic):
+        found = {y: (n[0], 1.0 * (n[0] > 0)) if toxic else (n[1] * thinned, 1 - (1 - thinned) ** n[1]) for (x, y), n in grams.items() if x == c}
+        total, below = sum(n for n, _ in found.values()), shared(c, a, 1)
+        if not total:
+            return below
+        n, kept = found.get(a, (0, 0))
+        return max(n - tx.DISCOUNT * kept, 0) / total + min(tx.DISCOUNT * sum(k for _, k in found.values()) / total, 1) * below
+
+    return lambda w: sum(
+        math.log(p(pad(w)[max(0, i - tx.ORDERS[0]) : i], pad(w)[i], True) / p(pad(w)[max(0, i - tx.ORDERS[0]) : i], pad(w)[i], False))
+        for i in range(1, len(pad(w)))
+    )
+
+
+def test_word_ratios_match_brute_force(spark):
+    words = {"idiot": (9, 0), "idiotic": (1, 0), "idea": (2, 40), "plain": (5, 60), "plainly": (0, 1), "é😀": (1, 2), "x": (3, 3), "explained": (0, 7)}
+    frame = spark.createDataFrame([(w, *n) for w, n in words.items()], "word string, toxic bigint, ordinary bigint")
+    for thinned in (1.0, 0.3):
+        table = tx.letter_ratios(frame, thinned).toArrow()
+        packed = tx.pack_ratios(table["context"].to_pylist(), table["letter"].to_pylist(), table["ratio"].to_numpy())
+        brute, score = brute_ratios(words, thinned), tx.Scorer(*packed)
+        # Words seen once, inflected ones, and ones whose contexts or letters nobody has seen.
+        asked = [*words, "idiots", "idio", "plaint", "zzz", "ideal", "explainer", "\U0010ffff"]
+        assert score.words(asked).tolist() == pytest.approx([brute(w) for w in asked], abs=1e-9)
+    assert math.isnan(score.words(["", "x"])[0]) and tx.Scorer(np.zeros(0, np.uint64), np.zeros(0)).words(["a"]).tolist() == [0.0]
 
 
 def test_texts_of_mostly_and_only_toxic_words(spark):
