@@ -183,15 +183,22 @@ def _letters(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64), np.cumsum(lengths) - lengths + ORDERS[0]
 
 
-def pack_ratios(contexts: Sequence[str], letters: Sequence[str], ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The table of ``letter_ratios`` as sorted hashes and ratios, as tasks hold it: 16 bytes a row."""
-    codes, starts = _letters([c + a for c, a in zip(contexts, letters)])
-    ends = starts + np.array([len(c) for c in contexts], np.int64)  # the letter, or behind the end
-    codes = np.append(codes, np.uint64(0))
-    alone, with_letter = _keys(codes, ends)
-    keys = np.where(np.array([not a for a in letters], bool), alone, with_letter)
+def pack_ratios(ratios: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of ``letter_ratios`` as sorted hashes and ratios, 16 bytes a row, hashed in tasks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_slices(batches, 10_000):
+            contexts, letters = part.column(0).to_pylist(), part.column(1).to_pylist()
+            codes, starts = _letters([c + a for c, a in zip(contexts, letters)])
+            ends = starts + np.array([len(c) for c in contexts], np.int64)  # the letter, or behind the end
+            alone, with_letter = _keys(np.append(codes, np.uint64(0)), ends)
+            keys = np.where(np.array([not a for a in letters], bool), alone, with_letter)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), part.column(2)], names=["key", "ratio"])
+
+    found = ratios.select("context", "letter", "ratio").mapInArrow(run, "key bigint, ratio double").toArrow()
+    keys = found["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], np.asarray(ratios, float)[order]
+    return keys[order], found["ratio"].to_numpy()[order]
 
 
 class Scorer:
@@ -321,10 +328,8 @@ def score_toxicity(
     fitted = known.where(~F.col("calibrates"))
     sizes = {r["toxic"]: r["n"] for r in fitted.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     thinned = min(1.0, sizes.get(1, 0) / max(sizes.get(0, 0), 1)) or 1.0
-    found = letter_ratios(_word_counts(fitted), thinned).toArrow()  # the sample's contexts
-    ratios = spark.sparkContext.broadcast(
-        pack_ratios(found["context"].to_pylist(), found["letter"].to_pylist(), found["ratio"].to_numpy())
-    )
+    model = pack_ratios(letter_ratios(_word_counts(fitted), thinned))  # the contexts of the sample
+    ratios = spark.sparkContext.broadcast(model)
     held = known.where(F.col("calibrates")).select(F.col("text").alias("__text"), "toxic")
     inputs = _inputs()
     seen = _figures(held, ratios, remembered).select("toxic", *[c.cast("double").alias(f"x{i}") for i, c in enumerate(inputs)]).toArrow()

@@ -203,8 +203,7 @@ def test_word_ratios_match_brute_force(spark):
     words = {"idiot": (9, 0), "idiotic": (1, 0), "idea": (2, 40), "plain": (5, 60), "plainly": (0, 1), "é😀": (1, 2), "x": (3, 3), "explained": (0, 7)}
     frame = spark.createDataFrame([(w, *n) for w, n in words.items()], "word string, toxic bigint, ordinary bigint")
     for thinned in (1.0, 0.3):
-        table = tx.letter_ratios(frame, thinned).toArrow()
-        packed = tx.pack_ratios(table["context"].to_pylist(), table["letter"].to_pylist(), table["ratio"].to_numpy())
+        packed = tx.pack_ratios(tx.letter_ratios(frame, thinned))
         brute, score = brute_ratios(words, thinned), tx.Scorer(*packed)
         # Words seen once, inflected ones, and ones whose contexts or letters nobody has seen.
         asked = [*words, "idiots", "idio", "plaint", "zzz", "ideal", "explainer", "\U0010ffff"]
