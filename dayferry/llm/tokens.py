@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from dayferry.llm.workers import takes_over
+
 #: Pieces a worker remembers; beyond it only those at hand stay. About 250 bytes each.
 REMEMBERED = 600_000
 LONGEST = 64
@@ -184,10 +186,13 @@ def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-@functools.cache
 def encoder(path: str, remembered: int = REMEMBERED, special_as_text: bool = False) -> Encoder:
     """One for each file in a worker."""
-    return Encoder(path, remembered, special_as_text)
+    takes_over("tokens", _encoder.cache_clear)
+    return _encoder(path, remembered, special_as_text)
+
+
+_encoder = functools.cache(Encoder)
 
 
 #: Bytes of texts in a slice. What is worked out beside a text is some dozens of times as large.

@@ -30,6 +30,7 @@ from dayferry.frames import written
 from dayferry.llm.shingles import as_strings, mix
 from dayferry.llm.text import fold, packed, unpacked
 from dayferry.llm.tokens import in_slices
+from dayferry.llm.workers import takes_over
 
 #: Labelled documents that are learnt from at most, chosen by the hash of their ids.
 SAMPLE_DOCS = 20_000
@@ -252,6 +253,7 @@ _SCORERS: dict = {}
 
 def _scorer(model, remembered: int) -> Scorer:
     """One for the models a worker used last."""
+    takes_over("toxicity", _SCORERS.clear)
     if model.value is not _SCORERS.get("of"):
         _SCORERS.update({"of": model.value, "scorer": Scorer(*model.value, remembered)})
     return _SCORERS["scorer"]

@@ -7,6 +7,23 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
+
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def takes_over(owner: str, forget: Callable[[], None]) -> None:
+    """Let go what other operators' tasks remember in this worker, which outlives their stages.
+
+    ``forget`` lets go what this one will remember, when another one takes over.
+    """
+    others = [name for name in _HELD if name != owner]
+    for name in others:
+        _HELD.pop(name)()
+    if others:
+        pa.default_memory_pool().release_unused()
+    _HELD[owner] = forget
+
 
 def reaching_workers(query: Callable) -> Callable:
     """A query, its session first, whose Python workers import this package from where the driver did.

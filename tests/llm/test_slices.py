@@ -26,3 +26,17 @@ def test_strings_of_long_texts_come_in_parts():
         owners = np.concatenate([np.repeat(t, np.diff(np.append(s, len(f)))) for f, t, s in parts])
         assert owners.tolist() == np.repeat(whole[0][1], np.diff(np.append(whole[0][2], len(whole[0][0])))).tolist()
         assert max(len(f) for f, _, _ in parts) <= max(most, 1)
+
+
+def test_a_worker_forgets_what_other_operators_remember():
+    from dayferry.llm import workers
+
+    gone = []
+    workers.takes_over("one", lambda: gone.append("one"))
+    workers.takes_over("one", lambda: gone.append("one"))
+    assert gone == []
+    workers.takes_over("two", lambda: gone.append("two"))
+    workers.takes_over("two", lambda: gone.append("two"))
+    assert gone == ["one"]
+    workers.takes_over("one", lambda: None)
+    assert gone == ["one", "two"]
