@@ -27,6 +27,7 @@ from dayferry.frames import written
 from dayferry.llm.shingles import WORDS, shingles
 from dayferry.llm.text import packed, unpacked
 from dayferry.llm.tokens import in_slices
+from dayferry.llm.workers import leaves_nothing
 
 SIMILARITY = 0.8
 RECALL = 0.99999
@@ -50,6 +51,7 @@ def _sketches(rows: DataFrame, tokens: int, words: int) -> DataFrame:
     shifts = rng.integers(0, 1 << 63, tokens, dtype=np.uint64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaves_nothing()
         for part in in_slices(batches):
             found, starts = shingles(part.column(0), words)
             full = np.diff(starts) > 0
@@ -64,6 +66,7 @@ def _sketches(rows: DataFrame, tokens: int, words: int) -> DataFrame:
             )
             whole = pa.RecordBatch.from_arrays([part.column(1), part.column(2), lists], names=["digest", "id", "tokens"])
             yield whole.filter(pa.array(full))
+        leaves_nothing()
 
     schema = rows.select("digest", "id", F.array().cast("array<bigint>").alias("tokens")).schema
     return rows.select("text", "digest", "id").mapInArrow(run, schema)
@@ -120,6 +123,7 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
             found, starts = shingles(part.column(0), words)
             sets = [np.unique(found[a:b]).tobytes() for a, b in zip(starts[:-1], starts[1:])]
             yield pa.RecordBatch.from_arrays([part.column(1), pa.array(sets, pa.binary())], names=["digest", "shingles"])
+        leaves_nothing()
 
     return rows.select("text", "digest").mapInArrow(run, "digest binary, shingles binary")
 
@@ -171,7 +175,7 @@ def _compare(similarity: float):
     """Compares the sets of a bucket, or of two of its blocks; returns each linked set's number of links and a root."""
     percent = round(similarity * 100)
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def compared(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         bucket, low, high = int(key[0]), int(key[1]), int(key[2])
         rows = rows.sort_values("digest").reset_index(drop=True)
         sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
@@ -197,6 +201,12 @@ def _compare(similarity: float):
         digests = rows["digest"].to_numpy()
         return pd.DataFrame({"digest": digests[linked], "root": digests[roots[linked]], "links": n[linked].astype(np.int64)})
 
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = compared(key, rows)
+        if len(rows) > BUCKET:  # the matrices of such a bucket are some megabytes each
+            leaves_nothing()
+        return out
+
     return run
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 from collections.abc import Callable
@@ -21,10 +22,28 @@ def takes_over(owner: str, forget: Callable[[], None]) -> None:
     for name in others:
         _HELD.pop(name)()
     if others:
-        pa.default_memory_pool().release_unused()
+        _hand_back()
     _HELD[owner] = forget
 
 
+def leaves_nothing() -> None:
+    """Let go what any operator's tasks remember in this worker, for tasks that remember nothing themselves.
+
+    An idle worker lives on beside stages without Python, and holds what it was left with.
+    """
+    while _HELD:
+        _HELD.popitem()[1]()
+    _hand_back()
+
+
+def _hand_back() -> None:
+    """Hand freed memory back to the system, where its allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def reaching_workers(query: Callable) -> Callable:
     """A query, its session first, whose Python workers import this package from where the driver did.
 
