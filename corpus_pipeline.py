@@ -10,6 +10,9 @@ said there, by the operator that it calls in detail.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ from dayferry.llm.quality import judge, trusted_ids
 from dayferry.llm.toxicity import score_toxicity
 from dayferry.llm.workers import reaching_workers
 
+READ = ("doc_id", "text", "source")  # columns that stages read
 TOKENIZER = "byte_bpe_50k.json"
 #: Tokens and pieces that a Python worker remembers. It outlives its stage, beside the memory of the next ones.
 REMEMBERED = 200_000
@@ -30,24 +34,35 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _columns(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+def keeps_columns(stage: Callable) -> Callable:
+    """A stage that returns the columns it got; those it does not read can't clash with any that its operator adds."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in READ else f"__further_{i}" for i, c in enumerate(docs.columns)]
+        made = stage(spark, docs.toDF(*names), sf_dir)
+        return made.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+
+    return run
 
 
+@keeps_columns
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep. A null or empty text has no words and goes; rows that repeat fare alike."""
     judged = judge(docs, trusted_ids(_labels(spark, sf_dir)))
-    return _columns(judged.where("kept"), docs)
+    return judged.where("kept")
 
 
 @reaching_workers
+@keeps_columns
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic. A null or empty text stays; without labels of both classes all do."""
     scored = score_toxicity(docs, _labels(spark, sf_dir).select("doc_id", "toxic"), remembered=REMEMBERED)
-    return _columns(scored.where(F.col("predicted") == 0), docs)
+    return scored.where(F.col("predicted") == 0)
 
 
 @reaching_workers
+@keeps_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar texts: the least id's, a null one only if there is no other.
 
@@ -56,10 +71,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one_of_each_class(docs)
 
 
+@keeps_columns
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; null is a source of its own, and texts without a word come once."""
-    mixed = mix(docs).withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return _columns(mixed, docs)
+    return mix(docs).withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
 
 
 @reaching_workers
