@@ -27,7 +27,7 @@ from dayferry.llm.workers import reaching_workers
 READ = ("doc_id", "text", "source")  # columns that stages read
 TOKENIZER = "byte_bpe_50k.json"
 #: Tokens and pieces that a Python worker remembers. It outlives its stage, beside the memory of the next ones.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
