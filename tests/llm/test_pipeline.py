@@ -1,8 +1,11 @@
+from collections import Counter
+
 import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from dayferry.frames import written
+from tests.llm.helpers import empty, odd_docs
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +54,36 @@ def test_registered(spark):
     names = contract.queries()
     assert "pipeline" in names and sum(n.startswith("op") for n in names) == 13
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
+
+
+def _counted(rows):
+    return Counter(tuple(r) for r in rows.collect())
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1])
+def test_odd_rows_clashing_names_and_empty_tables(spark, name, stage):
+    docs = written(odd_docs(spark), "test-odd")
+    made = stage(spark, docs, SF)
+    assert made.dtypes == docs.dtypes
+    rows, found = _counted(docs), _counted(made)
+    assert found and found.keys() <= rows.keys()
+    wordless = {r for r in rows if not (r[1] or "").split()}
+    if name == "quality":
+        assert not wordless & found.keys() and all(found[r] == rows[r] for r in found)  # rows that repeat fare alike
+    if name == "toxicity":
+        assert wordless <= found.keys() and all(found[r] == rows[r] for r in found)
+    if name == "near_duplicates":
+        assert wordless <= found.keys() and max(found.values()) == 1 and len(found) == len(rows)  # no two texts are alike
+    if name == "mixture":
+        assert all(found[r] == rows[r] for r in wordless) and all(n <= 2 * rows[r] for r, n in found.items())
+    nothing = stage(spark, empty(docs), SF)
+    assert nothing.dtypes == docs.dtypes and nothing.count() == 0
+
+
+def test_packing_odd_rows_and_empty_tables(spark):
+    docs = written(odd_docs(spark), "test-odd")
+    pieces = corpus_pipeline.packing(spark, docs, SF).collect()
+    assert {r["doc_id"] for r in pieces} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert all(r["doc_tokens"] == r["length"] == 1 for r in pieces if r["doc_id"] in (100, 101))  # the end id alone
+    assert sum(r["start"] == 0 for r in pieces) == docs.count()  # rows that repeat are packed each
+    assert corpus_pipeline.packing(spark, empty(docs), SF).count() == 0
