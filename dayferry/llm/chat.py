@@ -61,7 +61,7 @@ def _spans(turns: Column, budget: Column) -> Column:
 
 
 def _window(turns: Column, system: Column, number: Column, first: Column, end: Column, history: int, most: int) -> Column:
-    """The window of the turns first..end-1 (from 0): its text, its loss spans, and how many turns it repeats."""
+    """The window of the turns first..end-1 (from 0): the places of all its turns, and how many of them it repeats."""
     lead = F.when(system & (first > 0), F.lit(1)).otherwise(F.lit(0))
     # The history: the latest turns before the span, as many as fit both limits.
     before = F.get(turns, first)["upto"] - F.get(turns, first)["tokens"]
@@ -69,38 +69,27 @@ def _window(turns: Column, system: Column, number: Column, first: Column, end: C
         F.sequence(F.greatest(first - most, lead), first),
         lambda i: (i == first) | (before - F.get(turns, i)["upto"] + F.get(turns, i)["tokens"] <= history),
     )
+    leading = F.when(lead == 1, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return let(
+        F.array_min(recent),
+        lambda at: F.struct(
+            number.alias("window"),
+            F.concat(leading, F.sequence(at, end - 1)).alias("places"),
+            (lead + first - at).alias("repeated"),
+            (end - first).alias("turns"),
+        ),
+    )
 
-    def build(at: Column) -> Column:
-        shown = F.concat(F.slice(turns, 1, lead), F.slice(turns, at + 1, end - at))
-        repeated = lead + first - at
-
-        def masked(x: Column) -> Column:
-            ends = F.transform(x, lambda t, i: F.aggregate(F.slice(x, 1, i + 1), F.lit(0), lambda a, u: a + F.length(u["shown"])))
-            spans = F.transform(
-                x,
-                lambda t, i: F.when(
-                    t["target"] & (i >= repeated),
-                    F.struct(
-                        (F.get(ends, i) - F.length(t["body"]) - F.lit(len(CLOSE))).alias("start"),
-                        F.length(t["body"]).alias("length"),
-                    ),
-                ),
-            )
-            return F.filter(spans, lambda s: s.isNotNull())
-
-        return let(
-            shown,
-            lambda x: F.struct(
-                number.alias("window"),
-                F.array_join(F.transform(x, lambda t: t["shown"]), "").alias("text"),
-                masked(x).alias("loss"),
-                repeated.alias("repeated"),
-                (end - first).alias("turns"),
-                F.aggregate(x, F.lit(0).cast("bigint"), lambda a, t: a + t["tokens"]).alias("tokens"),
-            ),
-        )
 
-    return let(F.array_min(recent), build)
+def _loss(parts: Column, repeated: Column) -> Column:
+    """Start and length, in code points, of the targets among a window's turns that it does not repeat."""
+    ends = F.transform(parts, lambda t, i: F.aggregate(F.slice(parts, 1, i + 1), F.lit(0), lambda a, u: a + F.length(u["shown"])))
+    spans = F.zip_with(
+        F.transform(parts, lambda t, i: F.struct(t["target"] & (i >= repeated), t["chars"])),
+        ends,
+        lambda t, end: F.when(t["col1"], F.struct((end - t["chars"] - F.lit(len(CLOSE))).alias("start"), t["chars"].alias("length"))),
+    )
+    return F.filter(spans, lambda s: s.isNotNull())
 
 
 def format_windows(
@@ -117,9 +106,8 @@ def format_windows(
     The input has conv_id, turn, role and text; other columns take no part. Rows of one conversation are
     ordered by turn, null first, ties by role and text; rows that repeat are turns of their own. A null
     text or role is an empty one, rows without conv_id are one conversation. A turn is never cut: one
-    that alone passes the budget has a window of its own. An empty table gives no windows. The
-    turns of a conversation meet in one row, as its digest needs them in order; each window is
-    made from its own slice of them.
+    that alone passes the budget has a window of its own. An empty table gives no windows. Of a whole
+    conversation only numbers meet in one row, where the spans are found; texts meet by window.
     """
     clean = conversations.select(
         "conv_id",
@@ -130,28 +118,39 @@ def format_windows(
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "body")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
     counted = clean.withColumn("tokens", tokens(F.col("body")) + F.lit(TURN_TOKENS))
-    counted = counted.withColumn("upto", F.sum("tokens").over(running)).withColumn("place", F.row_number().over(order))
-    name = F.replace(_escape(F.col("role")), F.lit(":"), F.lit("\\c"))
-    turns = counted.select(
-        "conv_id",
-        F.struct(
-            "place", "tokens", "upto", (F.col("role") == target_role).alias("target"),
-            (F.col("role") == system_role).alias("system"), _escape(F.col("body")).alias("body"),
-            F.concat(F.lit(OPEN), name, F.lit(SEP), _escape(F.col("body")), F.lit(CLOSE)).alias("shown"),
-        ).alias("turn"),
-    )
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    whole = whole.withColumn("system", F.get("turns", F.lit(0))["system"])
+    counted = counted.withColumn("upto", F.sum("tokens").over(running)).withColumn("place", F.row_number().over(order) - 1)
+    numbers = counted.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("place", "tokens", "upto"))).alias("turns"),
+        F.bool_or((F.col("place") == 0) & (F.col("role") == system_role)).alias("system"),
+    )
     lead = F.when(F.col("system"), F.get("turns", F.lit(0))["tokens"]).otherwise(F.lit(0))
     room = F.greatest(F.lit(budget) - F.lit(history_tokens) - lead, F.lit(1))
-    starts = whole.select("conv_id", "turns", "system", _spans(F.col("turns"), room).alias("starts"))
+    starts = numbers.select("conv_id", "turns", "system", _spans(F.col("turns"), room).alias("starts"))
 
     def window(first: Column, k: Column) -> Column:
         end = F.coalesce(F.get("starts", k + 1), F.size("turns"))
         return _window(F.col("turns"), F.col("system"), k, first, end, history_tokens, history_turns)
 
     made = starts.select("conv_id", F.explode(F.transform("starts", window)).alias("w"))
-    return made.select("conv_id", "w.*")
+    wanted = made.select("conv_id", "w.window", "w.repeated", "w.turns", F.explode("w.places").alias("wanted"))
+    said = counted.select(F.col("conv_id").alias("of"), "place", "tokens", "role", "body")
+    joined = wanted.join(said, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("wanted") == F.col("place")))
+    name = F.replace(_escape(F.col("role")), F.lit(":"), F.lit("\\c"))
+    part = F.struct(
+        "place", "tokens", (F.col("role") == target_role).alias("target"), F.length("escaped").alias("chars"),
+        F.concat(F.lit(OPEN), name, F.lit(SEP), F.col("escaped"), F.lit(CLOSE)).alias("shown"),
+    )
+    parts = joined.withColumn("escaped", _escape(F.col("body"))).select("conv_id", "window", "repeated", "turns", part.alias("part"))
+    windows = parts.groupBy("conv_id", "window", "repeated", "turns").agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    return windows.select(
+        "conv_id",
+        "window",
+        F.array_join(F.transform("parts", lambda t: t["shown"]), "").alias("text"),
+        _loss(F.col("parts"), F.col("repeated")).alias("loss"),
+        "repeated",
+        "turns",
+        F.aggregate("parts", F.lit(0).cast("bigint"), lambda a, t: a + t["tokens"]).alias("tokens"),
+    )
 
 
 def read_windows(windows: DataFrame) -> DataFrame:

@@ -58,6 +58,18 @@ def test_history_is_repeated_but_masked(spark):
     assert sum(len(w["loss"]) for w in windows) == 6
 
 
+def test_a_conversation_of_very_many_turns(spark):
+    rows = [(1, 0, "system", "be brief")] + [(1, i, "user" if i % 2 else "assistant", f"turn {i} </turn>") for i in range(1, 4001)]
+    frame = spark.createDataFrame(rows + [(2, 0, "user", "x")], "conv_id bigint, turn bigint, role string, text string")
+    windows = format_windows(frame, budget=200, history_tokens=40)
+    found = windows.where("conv_id = 1").orderBy("window").collect()
+    assert [w["window"] for w in found] == list(range(len(found))) and sum(w["turns"] for w in found) == 4001
+    assert all(w["tokens"] <= 200 and w["text"].startswith("### system: be brief") for w in found)
+    back = read_windows(windows).where("conv_id = 1").orderBy("window").collect()
+    assert [(t["role"], t["text"]) for r in back for t in r["turns"]] == [(r, x) for _, _, r, x in rows]
+    assert [x for r in back for x in r["targets"]] == [x for _, _, r, x in rows if r == "assistant"]
+
+
 def test_query(spark, sf_dir):
     found = {r["conv_id"]: r for r in op9_chat_windows(spark, sf_dir).collect()}
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
