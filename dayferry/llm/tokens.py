@@ -1,14 +1,15 @@
 """Token ids of texts by a public tokenizer file, inside tasks.
 
 A space before a character that is no white space always starts a new piece in the tokenizers used
-here, so a text can be cut there, each cut piece encoded alone, and the ids joined: the result is the
-same. Pieces repeat: Arrow finds the different ones of a slice of texts, a worker remembers their ids,
+here, and so does the end of a line after such a character. So a text can be cut there, each cut piece
+encoded alone, and the ids joined: the result is the same. Pieces repeat: Arrow finds the different ones of a slice of texts, a worker remembers their ids,
 and numpy joins them. What a worker remembers is bounded and lives as long as the worker.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 from collections.abc import Iterable, Iterator, Sequence
@@ -25,6 +26,8 @@ LONGEST = 64
 #: A space before white space or the end, where a text can't simply be cut; wider than needed.
 _ODD = r" [\pZ\s\x0b\x1c-\x1f\x85]| $"
 _CUT = re.compile(r" (?=\S)")
+#: The end of a line that does not end in white space, which always starts a new piece, too.
+_LINE_END = r"([^\pZ\s\x0b\x1c-\x1f\x85])\n"
 _MARKS = ".,!?;:"
 #: What marks are surely no part of: Latin letters that stay letters in lower case, and digits.
 _PLAIN_END = r"[0-9A-Za-zÀ-ÖØ-öø-įı-ɏ]$"
@@ -46,14 +49,17 @@ class Encoder:
         added = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = "|".join(re.escape(x) for x in added)  # texts with one of these can't be cut at spaces
         self.spaced = self._alone(" a").tolist() != self._alone("a").tolist()  # whether the space is part of a token
-        if not self.spaced:
-            # For lower-case Latin letters alone, which are one piece to the tokenizer and normal already.
-            self.plain = Tokenizer.from_file(path)
-            self.plain.encode_special_tokens = special_as_text
-            self.plain.normalizer = normalizers.Sequence([])
-            self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.lower = self._alone("AÉ").tolist() == self._alone("aé").tolist()  # whether capitals make a difference
+        # For Latin letters alone, in lower case if case is normalised, which are one piece to the tokenizer and normal already.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = special_as_text
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        whole = self.tokenizer.pre_tokenizer
+        self.keeps_bytes = isinstance(whole, pre_tokenizers.ByteLevel) and not whole.add_prefix_space
+        self.keeps_bytes &= self.tokenizer.normalizer is None
         self.vocabulary = self.tokenizer.get_vocab_size()
+        self.token_bytes = self._token_bytes()
+        self.lower = self._alone("AÉ").tolist() == self._alone("aé").tolist()  # whether capitals make a difference
         self.remembered = remembered
         self._forget()
 
@@ -62,23 +68,48 @@ class Encoder:
         self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
-    def _keep_only(self, keys: list[str], places: list[int | None]) -> list[int | None]:
-        """Forget all pieces but those at hand, which hold the frequent ones. Returns where these are now."""
-        held = {k: p for k, p in zip(keys, places) if p is not None}
+    def _keep_only(self, keys: list[str]) -> None:
+        """Forget all pieces but those at hand, which hold the frequent ones."""
+        held = {k: self.known[k] for k in keys if k in self.known}
         at = np.array(list(held.values()), np.int64)
         ids, counts = self._joined(at), self.length[at]
         self._forget()
         self._remember(list(held), ids, counts)
-        return list(map(self.known.get, keys))
 
     def _encode(self, texts: Sequence[str], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, and how many each has; each text is encoded alone."""
         if not texts:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        found = (self.plain if plain else self.tokenizer).encode(list(texts), is_pretokenized=True, add_special_tokens=False)
+        texts, tokenizer = list(texts), self.plain if plain else self.tokenizer
+        if self.keeps_bytes or plain:
+            # The quicker call does not say which text an id is of; its bytes do.
+            ids = np.array(tokenizer.encode_batch_fast([texts], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            counts = self._counts(ids, texts)
+            if counts is not None:
+                return ids, counts
+        found = tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
         words = np.array(found.word_ids, np.int64)
         return np.array(found.ids, np.uint32), np.bincount(words, minlength=len(texts))
 
+    def _token_bytes(self) -> np.ndarray:
+        """Bytes that each id stands for: a byte is one character of a token; 0 for added tokens."""
+        end = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        sizes = np.zeros(self.vocabulary, np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            sizes[i] = len(token.removesuffix(end)) if end else len(token)
+        sizes[list(self.tokenizer.get_added_tokens_decoder())] = 0
+        return sizes
+
+    def _counts(self, ids: np.ndarray, texts: list[str]) -> np.ndarray | None:
+        """How many of the ids each text has, if the bytes of ids end wherever a text ends; else None."""
+        sizes = self.token_bytes[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        wanted = np.cumsum(pc.binary_length(pa.array(texts, pa.string())).to_numpy(), dtype=np.int64)
+        if not sizes.all() or ends[-1] != wanted[-1]:
+            return None
+        at = np.searchsorted(ends, wanted)
+        return np.diff(at, prepend=0) if (ends[at] == wanted).all() else None
+
     def _remember(self, pieces: Sequence[str], ids: np.ndarray, counts: np.ndarray) -> None:
         n, first = len(pieces), len(self.known)
         while first + n > len(self.start):
@@ -96,7 +127,7 @@ class Encoder:
         return piece[1:] if piece[:1] == "\0" else " " + piece if self.spaced else piece
 
     def _learn(self, pieces: list[str]) -> None:
-        plain = set() if self.spaced else {p for p in pieces if p.isalpha() and p.islower() and max(p) < "ɐ"}
+        plain = {p for p in pieces if p.isalpha() and (self.spaced or p.islower()) and (p.isascii() or max(p) < "ɐ")}
         for some in (list(plain), [p for p in pieces if p not in plain]):
             self._remember(some, *self._encode([self._text(p) for p in some], plain=some and some[0] in plain))
 
@@ -126,7 +157,9 @@ class Encoder:
             found[i] = self._alone(texts[int(i)].as_py())
         for chosen, cut in ((~odd & ~marked, self._even), (odd, self._odd)):
             if chosen.any():
-                for i, ids in zip(np.flatnonzero(chosen), cut(texts.filter(pa.array(chosen)))):
+                # Where a space is no part of a token a line end is like one; else it starts a piece without one.
+                lines = pc.replace_substring_regex(texts.filter(pa.array(chosen)), _LINE_END, r"\1 " + "\0\n" * self.spaced)
+                for i, ids in zip(np.flatnonzero(chosen), cut(lines)):
                     found[i] = ids
         return found
 
@@ -159,19 +192,19 @@ class Encoder:
         marks = ["\0" + w[len(s) :] for w, s in zip(_strings(whole.take(some)), _strings(stems.take(some)))]
         different = stems.dictionary_encode()
         keys = [*_strings(different.dictionary), *dict.fromkeys(marks), "\0"]
-        found = list(map(self.known.get, keys))
         if len(self.known) > self.remembered:
-            found = self._keep_only(keys, found)
+            self._keep_only(keys)
         known = self.known
-        new = [k for k, place in zip(keys, found) if place is None]
-        new = list(dict.fromkeys(new))
+        found = np.fromiter(map(known.get, keys, itertools.repeat(-1)), np.int64, len(keys))
+        unknown = np.flatnonzero(found < 0)
+        new = list(dict.fromkeys(keys[i] for i in unknown))
         long = [k for k in new if len(k) > LONGEST]
         self._learn([k for k in new if len(k) <= LONGEST] if long else new)
         used = self.used
         self._remember(long, *self._encode([self._text(k) for k in long]))
-        places = np.array([known[k] if place is None else place for k, place in zip(keys, found)], np.int64)
+        found[unknown] = [known[keys[i]] for i in unknown]
         pairs = np.full((len(whole), 2), known["\0"], np.int64)  # the empty piece, without ids
-        pairs[:, 0] = places[different.indices.to_numpy()]
+        pairs[:, 0] = found[different.indices.to_numpy()]
         pairs[at, 1] = [known[m] for m in marks]
         places = pairs[codes]
         ids = self._joined(places.reshape(-1))
