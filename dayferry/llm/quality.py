@@ -13,10 +13,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dayferry.frames import written
 from dayferry.llm.text import WORD, let, packed, unpacked, word_array
 
 BUCKETS = 32_768
-TRUSTED_DOCS = 50_000  # trusted ids that are learnt from at most, those with the smallest hashes
+BROADCAST_IDS = 500_000  # trusted ids that are broadcast at most, about 32 bytes each; more are joined by a shuffle
 PRIOR = 65_536.0  # n-grams of the raw corpus that smooth the trusted counts
 THRESHOLD = -0.05  # nats per n-gram
 MIN_WORDS = 50
@@ -36,17 +37,19 @@ def _buckets(hashes: Column, buckets: int) -> Column:
 
 
 def bucket_weights(
-    docs: DataFrame, trusted: DataFrame, id_column: str, text_column: str, buckets: int, trusted_docs: int
+    docs: DataFrame, trusted: DataFrame, id_column: str, text_column: str, buckets: int, broadcast_ids: int
 ) -> list[float]:
     """The log ratio of each bucket, rounded: as many numbers as buckets, whatever the size of the corpus.
 
-    The raw counts cover all documents; the trusted ones cover at most ``trusted_docs`` ids, so that
-    they can be broadcast and no text is shuffled. Each task sums its own buckets before the shuffle.
+    The raw counts cover all documents, the trusted ones all trusted documents. Up to ``broadcast_ids`` ids
+    are broadcast, and no text is shuffled; with more the texts are dealt by id once, without a sort, and
+    the adaptive planner splits an id of many rows. Each task sums its own buckets before the shuffle.
     """
     ids = trusted.select(F.col(id_column).alias("__id")).where(F.col("__id").isNotNull()).distinct()
-    marks = ids.orderBy(F.xxhash64(F.lit(2), "__id"), "__id").limit(trusted_docs).withColumn("__trusted", F.lit(1))
+    marks = written(ids, "quality-trusted").withColumn("__trusted", F.lit(1))
+    marks = F.broadcast(marks) if marks.count() <= broadcast_ids else marks.hint("shuffle_hash")
     texts = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text"))
-    known = texts.join(F.broadcast(marks), "__id", "left")
+    known = texts.join(marks, "__id", "left")
     grams = known.select(
         "__trusted", F.explode(_buckets(_word_hashes(word_array(F.col("__text"))), buckets)).alias("bucket")
     )
@@ -119,7 +122,7 @@ def judge(
     text_column: str = "text",
     buckets: int = BUCKETS,
     threshold: float = THRESHOLD,
-    trusted_docs: int = TRUSTED_DOCS,
+    broadcast_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """All columns of ``docs`` with the counts of the base rules, ``quality_score`` and ``kept``.
 
@@ -129,7 +132,7 @@ def judge(
     judged alike, an empty table stays empty. Whole texts are read, of any length; each row is
     judged where it lies. Other columns pass through, but for those that have an added name.
     """
-    weights = bucket_weights(docs, trusted, id_column, text_column, buckets, trusted_docs)
+    weights = bucket_weights(docs, trusted, id_column, text_column, buckets, broadcast_ids)
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")  # folded to a literal
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(packed(docs), text.alias("__text"), word_array(text).alias("__words"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from dayferry.llm import mixing
 from dayferry.llm.mixing import mix
-from dayferry.llm.quality import judge, op2_llr_quality, trusted_ids
+from dayferry.llm.quality import PRIOR, _buckets, _word_hashes, bucket_weights, judge, op2_llr_quality, trusted_ids
+from dayferry.llm.text import word_array
 from tests.llm.helpers import empty, odd_docs, text
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -102,6 +103,24 @@ def test_quality_of_odd_rows(spark):
     assert judge(docs, docs.select("doc_id")).where("kept").count() <= len(rows)
 
 
+def test_trusted_texts_count_whole_however_many(spark):
+    rng = random.Random(8)
+    docs = [(i if i % 7 else None, text(rng, rng.randint(0, 60))) for i in range(120)] + [(5, "ba be"), (5, "ba be"), (6, None)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    ids = [None, 5, 5, 6, *range(30, 90, 2), 999]
+    trusted = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    hashed = docs.select("doc_id", _buckets(_word_hashes(word_array(F.col("text"))), 64).alias("grams")).collect()
+    raw, good = Counter(), Counter()
+    for r in hashed:
+        raw.update(r["grams"] or [])
+        good.update((r["grams"] or []) if r["doc_id"] in set(ids) - {None} else [])
+    all_raw, all_good = sum(raw.values()), sum(good.values())
+    p = [(raw[b] + 0.5) / (all_raw + 32) for b in range(64)]
+    expected = [round(math.log((good[b] + PRIOR * p[b]) / (all_good + PRIOR) / p[b]), 4) for b in range(64)]
+    for broadcast_ids in (0, 1000):  # by a shuffle and by a broadcast
+        assert bucket_weights(docs, trusted, "doc_id", "text", 64, broadcast_ids) == expected
+
+
 def test_good_and_bad_documents_part(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = op2_llr_quality(spark, sf_dir).join(labels, "doc_id").where("not base_failed")
