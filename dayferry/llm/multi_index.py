@@ -7,7 +7,8 @@ vectors, and reranks their entries by the exact distance.
 
 Entries are dealt by the first centroid, and a centroid with many entries over several tasks. A query
 goes to each of them with the pairs it has chosen there and takes its nearest from each; only
-these meet.
+these meet. Many queries are dealt into blocks by hash, and each block meets entries of its own, so
+neither side of a group grows with the table.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ SHARE = 0.5  # of all vectors that a query reranks
 LEAST = 1_000  # vectors that a query reranks at least, if there are so many
 NEAREST = 10
 TASK_ENTRIES = 20_000
+QUERY_BLOCK = 16_384  # queries that meet a task's entries at once, on average
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -130,6 +132,7 @@ def search(
     share: float = SHARE,
     least: int = LEAST,
     sample: int = SAMPLE,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """query_id, rank, the neighbour's id, and score, the Euclidean distance, for each row that is a query.
 
@@ -180,12 +183,15 @@ def search(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
     asked = entries.where(queries).select(F.col("id").alias("query"), "vector").distinct()
+    blocks = max(1, -(-asked.count() // query_block))
     routed = asked.mapInArrow(choose, "query bigint, vector binary, first int, task int, seconds array<int>")
+    routed = routed.withColumn("block", F.pmod(F.xxhash64("query", "vector"), F.lit(blocks)).cast("int"))
     numbers = F.element_at(F.array(*[F.lit(int(t)) for t in tasks]), F.col("first") + 1)
     dealt = entries.withColumn("task", F.pmod(F.xxhash64("id"), numbers).cast("int"))
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = (
-        dealt.groupBy("first", "task")
-        .cogroup(routed.groupBy("first", "task"))
+        dealt.groupBy("first", "task", "block")
+        .cogroup(routed.groupBy("first", "task", "block"))
         .applyInPandas(_nearest(nearest), "query bigint, id bigint, score double")
     )
     # The rank is limited in every task before the shuffle.

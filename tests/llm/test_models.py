@@ -285,6 +285,16 @@ def test_odd_vectors(spark):
     assert search(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_blocks_of_queries_find_the_same(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").limit(300)
+    vectors = vectors.unionByName(vectors.limit(20))  # rows that repeat
+    found = [
+        sorted(tuple(r) for r in search(vectors, F.col("id") % 3 == 0, least=40, share=0.2, **block).collect())
+        for block in ({}, {"query_block": 9})
+    ]
+    assert found[0] == found[1] and len(found[0]) > 300
+
+
 def test_walk_goes_by_the_sum_of_distances():
     rng = np.random.default_rng(2)
     first, second, sizes = rng.random(7), rng.random(9), rng.integers(0, 3, (7, 9))
