@@ -12,6 +12,7 @@ import functools
 import itertools
 import os
 import re
+import string
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -28,7 +29,7 @@ _ODD = r" [\pZ\s\x0b\x1c-\x1f\x85]| $"
 _CUT = re.compile(r" (?=\S)")
 #: The end of a line that does not end in white space, which always starts a new piece, too.
 _LINE_END = r"([^\pZ\s\x0b\x1c-\x1f\x85])\n"
-_MARKS = ".,!?;:"
+_MARKS = string.punctuation.replace("'", "")  # an apostrophe may belong to what follows
 #: What marks are surely no part of: Latin letters that stay letters in lower case, and digits.
 _PLAIN_END = r"[0-9A-Za-zÀ-ÖØ-öø-įı-ɏ]$"
 _LETTERS = r"^[A-Za-zÀ-ÖØ-öø-įı-ɏ]+$"
@@ -178,9 +179,11 @@ class Encoder:
     def _join_pieces(self, pieces: pa.Array, offsets: np.ndarray) -> list[np.ndarray]:
         coded = pieces.dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
-        codes[offsets[:-1]] = len(coded.dictionary) + np.arange(len(offsets) - 1)
-        firsts = pc.binary_join_element_wise("\0", pieces.take(pa.array(offsets[:-1])), "")
-        whole = pa.concat_arrays([coded.dictionary, firsts])
+        whole = coded.dictionary
+        if self.spaced:  # first pieces have no space before them
+            codes[offsets[:-1]] = len(whole) + np.arange(len(offsets) - 1)
+            firsts = pc.binary_join_element_wise("\0", pieces.take(pa.array(offsets[:-1])), "")
+            whole = pa.concat_arrays([whole, firsts])
         # Marks after a letter or digit are tokens of their own, so stems and marks are looked up apart.
         stems = pc.utf8_rtrim(whole, _MARKS)
         marked = pc.and_(pc.not_equal(stems, whole), pc.match_substring_regex(stems, _PLAIN_END))

@@ -15,7 +15,7 @@ from tests.llm.helpers import empty, odd_docs, text
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 ENCODERS = {(p, s): Encoder(p, 500, s) for p in (BYTES, WORDS) for s in (False, True)}
 PARTS = ["a", "Foo", "bar.", " ", "  ", "\n", "\t", "é", "ß", "Σ", "ς", "İ", "'s", "don't", "1", "!?", "...", "́",
-         "中文", "😀", "\0", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", ".,", "\x0b", "\x1c", "　", "_", "x" * 70, "Wört", "word.\nNext", "\r\n", " \n", "\n\n", "\x85", "\u2028", "***"]
+         "中文", "😀", "\0", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", ".,", "\x0b", "\x1c", "　", "_", "x" * 70, "Wört", "word.\nNext", "\r\n", " \n", "\n\n", "\x85", "\u2028", "***", "$%", "1|>", "a'.", "-_", "\"("]
 
 
 @settings(max_examples=60, deadline=None)
