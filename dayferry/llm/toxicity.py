@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from dayferry.frames import written
 from dayferry.llm.shingles import as_strings, mix
+from dayferry.llm.slots import Slots
 from dayferry.llm.text import fold, packed, unpacked
 from dayferry.llm.tokens import in_slices
 from dayferry.llm.workers import takes_over
@@ -42,6 +43,7 @@ MARGIN = 3.0  # nats from which a word counts as an expression of its class
 THRESHOLD = 0.7
 REMEMBERED = 500_000
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+_ASCII_EDGES = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 _START, _STOP = "\x02", "\x03"
 
 
@@ -50,6 +52,16 @@ def core(token: str) -> str:
     return _EDGES.sub("", token.lower())
 
 
+def cores(tokens: pa.Array) -> pa.Array:
+    """The word in each token, as ``core`` finds it; only tokens with other letters than ASCII's are looked at one by one."""
+    plain = pc.string_is_ascii(tokens)
+    words = pc.ascii_trim(pc.ascii_lower(tokens), characters=_ASCII_EDGES)
+    others = tokens.filter(pc.invert(plain)).to_numpy(zero_copy_only=False).tolist()
+    if others:
+        words = pc.replace_with_mask(words, pc.invert(plain), pa.array([core(t) for t in others], pa.string()))
+    return words
+
+
 def _word_counts(docs: DataFrame) -> DataFrame:
     """word, toxic and ordinary: how often in documents of each class. Summed in each task, then by word."""
 
@@ -203,19 +215,12 @@ def pack_ratios(ratios: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scorer:
-    """The figures of texts; a worker remembers the differences of a bounded number of tokens."""
+    """The figures of texts; a worker remembers the differences of a bounded number of words."""
 
     def __init__(self, keys: np.ndarray, ratios: np.ndarray, remembered: int = REMEMBERED):
-        self.keys, self.ratios, self.remembered = keys, ratios, remembered
+        self.ratios, self.remembered = Slots(keys, ratios), remembered
         self.known: dict[str, float] = {}
 
-    def _look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(keys)), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        there = self.keys[at] == keys
-        return np.where(there, self.ratios[at], 0.0), there
-
     def words(self, words: Sequence[str]) -> np.ndarray:
         """The log-likelihood difference of each word; none, as not a number, of an empty one."""
         letters, starts = _letters([_START + w + _STOP for w in words])
@@ -223,8 +228,9 @@ class Scorer:
         owner = np.repeat(np.arange(len(words)), lengths)
         at = np.repeat(starts + 1 - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
         alone, with_letter = _keys(letters, at)
-        found, there = self._look_up(with_letter)
-        found = np.where(there, found, self._look_up(alone)[0])
+        found, there = self.ratios(with_letter)
+        unseen = np.flatnonzero(~there)
+        found[unseen] = self.ratios(alone[unseen])[0]
         return np.where([bool(w) for w in words], np.bincount(owner, found, len(words)), np.nan)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,15 +238,18 @@ class Scorer:
         lists = pc.ascii_split_whitespace(as_strings(texts))
         tokens = lists.flatten().dictionary_encode()
         owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-        different = tokens.dictionary.to_pylist()
+        words = cores(tokens.dictionary).dictionary_encode()  # one for all its cases and the marks beside it
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > self.remembered:
             self.known.clear()
-        new = [t for t in different if t not in self.known]
-        self.known.update(zip(new, self.words([core(t) for t in new]).tolist()))
-        values = np.array([self.known[t] for t in different])
+        found = list(map(self.known.get, different))
+        new = [i for i, x in enumerate(found) if x is None]
+        values = np.array(found, np.float64)
+        values[new] = self.words([different[i] for i in new])
+        self.known.update(zip([different[i] for i in new], values[new].tolist()))
         mixed = np.log(1 - SHARE + SHARE * np.exp(np.clip(values, -10, 10)))
         passed = np.maximum(values - MARGIN, 0)
-        codes = tokens.indices.to_numpy()
+        codes = words.indices.to_numpy()[tokens.indices.to_numpy()]
         real = ~np.isnan(values)[codes] if len(values) else np.zeros(0, bool)
         codes, owner = codes[real], owner[real]
         n = np.bincount(owner, minlength=len(texts))
@@ -315,7 +324,7 @@ def score_toxicity(
     have the smallest hashes. A null text counts as an empty one and gets the score of no evidence;
     null ids are scored but never learnt from; rows that repeat are scored alike; without labels of both
     classes every score is about 0. Whole texts are read. Other columns pass through, but for those
-    that have an added name. An empty table stays empty. ``remembered`` bounds the tokens whose figures a
+    that have an added name. An empty table stays empty. ``remembered`` bounds the words whose figures a
     worker holds, about 150 bytes each.
     """
     spark = docs.sparkSession
