@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayferry.frames import written
-from dayferry.llm.shingles import as_strings, word_hashes
+from dayferry.llm.shingles import as_strings, mix, word_hashes
+from dayferry.llm.slots import Slots
 from dayferry.llm.text import fold
 from dayferry.llm.tokens import SLICE_BYTES, in_slices
 
@@ -83,22 +84,34 @@ def _codes(texts: list[tuple[int, bytes]], depth: int) -> tuple[np.ndarray, np.n
     data = np.frombuffer(b"".join([t for _, t in texts]), np.uint8)
     sizes = np.array([len(t) - depth for _, t in texts], np.int64)
     ends = np.cumsum(sizes)
-    n = int(ends[-1])
-    at = np.repeat(depth * np.arange(1, len(texts) + 1), sizes) + np.arange(n)
-    found = np.zeros(n, np.uint64)
-    for j in range(depth, -1, -1):
-        found = (found << _EIGHT) | data[at - j]
+    found = np.zeros(len(data) - depth, np.uint64)
+    for j in range(depth + 1):
+        found <<= _EIGHT
+        found |= data[j : j + len(found)]
+    if len(texts) > 1:  # without those that end in what is before a text
+        found = found[np.repeat(depth * np.arange(len(texts)), sizes) + np.arange(ends[-1])]
     return found, np.array([i for i, _ in texts], np.int64), ends - sizes
 
 
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Where each different one of sorted values starts."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)])
+
+
 def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found = pc.value_counts(pa.array(values))
-    return found.field(0).to_numpy(), found.field(1).to_numpy()
+    """The different values, sorted, and how often they occur."""
+    values = np.sort(values)
+    first = _firsts(values)
+    return values[first], np.diff(first, append=len(values))
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+    """Counts of parts as one. The stable sort is quick for parts that are sorted."""
+    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = _firsts(keys)
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
 def count_texts(texts: DataFrame, depth: int) -> DataFrame:
@@ -220,7 +233,7 @@ class Tree:
         for j in range(8):
             key = (context << _EIGHT) | ((1 << j) | (byte >> (8 - j))).astype(np.uint64)
             bit = (byte >> (7 - j)) & 1
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+            first = _firsts(key)
             if len(first):
                 parts.append((key[first], np.add.reduceat(counts * (1 - bit), first), np.add.reduceat(counts * bit, first)))
         if not parts:
@@ -333,17 +346,6 @@ def _others(keys: np.ndarray, known: np.ndarray, bounds: np.ndarray) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys[~known].view(np.int64)))
 
 
-def _looked_up(strings: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The logs of strings among sorted keys, 0 for the others, and which are there; each different one is looked up once."""
-    coded = pa.array(strings).dictionary_encode()
-    unique, places = coded.dictionary.to_numpy(), coded.indices.to_numpy()
-    if not len(keys):
-        return np.zeros(len(strings)), np.zeros(len(strings), bool)
-    at = np.minimum(np.searchsorted(keys, unique), len(keys) - 1)
-    hit = keys[at] == unique
-    return np.where(hit, logs[at], 0.0)[places], hit[places]
-
-
 def score_texts(
     docs: DataFrame,
     training: Column,
@@ -374,38 +376,37 @@ def score_texts(
     strings = written(string_logs(strings, depth), "ctw-logs")
     frequent = _threshold(strings, held_strings, "seen")
     kept = strings.where(F.col("seen") >= frequent).toArrow()  # bounded by ``held_strings``
-    known = np.argsort(kept["key"].to_numpy().view(np.uint64))
     least = _threshold(words, held_words)
     held = words.where(F.col("n") >= least).toArrow()  # bounded by ``held_words``
-    order = np.argsort(held["key"].to_numpy().view(np.uint64))
+    below = total + 0.5 * (distinct + 1)
+    # Strings are spread over 64 bits; words are hashes.
+    grams, hashes = mix(kept["key"].to_numpy().view(np.uint64)), held["key"].to_numpy().view(np.uint64)
+    known, order = np.argsort(grams), np.argsort(hashes)
     model = spark.sparkContext.broadcast(
         (
-            kept["key"].to_numpy().view(np.uint64)[known], kept["log"].to_numpy()[known],
-            held["key"].to_numpy().view(np.uint64)[order], held["n"].to_numpy()[order],
+            (grams[known], kept["log"].to_numpy()[known]),
+            (hashes[order], np.log10((held["n"].to_numpy()[order] + 0.5) / below)),
         )
-    )
-    below = total + 0.5 * (distinct + 1)
+    )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_keys, held_logs, keys, counts = model.value
+        log_of_string, log_of_word = (Slots(*table) for table in model.value)
         row = TaskContext.get().partitionId() << 40
         for part in in_slices(batches, 1024):
             lower, found, starts = _lower_words(part.column(1))
             n = np.diff(starts)
-            at = np.minimum(np.searchsorted(keys, found), max(len(keys) - 1, 0))
-            hit = keys[at] == found if len(keys) else np.zeros(len(found), bool)
-            logs = np.zeros(len(found))
-            logs[hit] = np.log10((counts[at[hit]] + 0.5) / below)
+            logs, hit = log_of_word(found)
             rare = _others(found, hit, starts)
             score, sizes = np.zeros(part.num_rows), np.zeros(part.num_rows, np.int64)
             unknown, unknown_of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for grams, texts, first in _strings_of(lower, depth):
-                logs_of, there = _looked_up(grams, held_keys, held_logs)
+                logs_of, there = log_of_string(mix(grams))
                 lengths = np.diff(np.append(first, len(grams)))
                 score[texts] += _sums(logs_of, first) / math.log(10)
                 sizes[texts] += lengths
-                unknown.append(grams[~there])
-                unknown_of.append(np.repeat(texts, lengths)[~there])
+                at = np.flatnonzero(~there)
+                unknown.append(grams[at])
+                unknown_of.append(texts[np.searchsorted(first, at, "right") - 1])
             rare_of = np.concatenate(unknown_of)
             offsets = np.searchsorted(rare_of, np.arange(part.num_rows + 1)).astype(np.int32)
             rare_strings = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(unknown).view(np.int64)))

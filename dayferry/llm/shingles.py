@@ -34,10 +34,11 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     words = lists.flatten()
     real = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
     coded = words.dictionary_encode()
-    unique = [xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+    unique = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, unique), np.uint64, len(unique))
     codes = coded.indices.to_numpy()[real]
     starts = np.concatenate([[0], np.cumsum(real)])[offsets - offsets[0]]
-    return np.array(unique, np.uint64)[codes], starts
+    return hashes[codes], starts
 
 
 def shingles(column: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
